@@ -1,6 +1,14 @@
 """Checked queries over the test tables."""
 
-from statflow.catalog import figures, parsing  # noqa: F401
+from statflow.catalog import (  # noqa: F401
+    checks,
+    figures,
+    lookups,
+    merging,
+    parsing,
+    queueing,
+    storage,
+)
 from statflow.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
@@ -9,6 +10,7 @@ from itertools import chain, islice
 from typing import Any, Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,4 +160,9 @@ def enrich_batches(
                     rows = failed(chunk, spent)
             yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
 
-    return df.select(F.col(key).cast("string")).mapInPandas(run, out)
+    # sent with the task, so that executors need no copy of this package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    try:
+        return df.select(F.col(key).cast("string")).mapInPandas(run, out)
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])

@@ -150,5 +150,10 @@ def collect_trends(
     details = parse.flatten_videos(items, as_of, category)
     checked = quality.check_rows(details, quality.row_rules("video_trends"))
     good = quality.clean(parse.readable(checked))
-    rows = lookup.lookup_chain(ids.select("channel_id"), channels, uploads, good)
+    rows = lookup.lookup_chain(
+        ids.select("channel_id"),
+        channels.select("channel_id", "uploads_playlist_id"),
+        uploads.select("uploads_playlist_id", "position", "video_id"),
+        good,
+    )
     return append_trends(rows.select(*VIDEO_TRENDS.names), path, as_of)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from statflow.schemas import CHANNEL_SEED
 
+# what the parser puts in place of an unquoted empty field; no text contains it
+_ABSENT = "\x01"
+
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Seed rows by header name; an empty field is null, a quoted empty field is ''."""
@@ -14,5 +17,7 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
         .option("header", True)
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
+        .option("nullValue", _ABSENT)
+        .option("emptyValue", "")
         .csv(path)
     )

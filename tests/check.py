@@ -16,6 +16,7 @@ from statflow.session import local_session  # noqa: E402
 folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 wanted = sys.argv[2:]
 spark = local_session(8)
+spark.sparkContext.setLogLevel("OFF")
 con = connect(folder)
 bad = []
 for name, run in QUERIES.items():
@@ -27,7 +28,7 @@ for name, run in QUERIES.items():
         problem = difference(df, con, ORACLES[name]) if name in ORACLES else None
         n = "" if name in ORACLES else f"rows-only {df.count()}"
     except Exception:
-        problem, n = traceback.format_exc()[-1500:], ""
+        problem, n = traceback.format_exc()[-1000:], ""
     print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s {n}", flush=True)
     if problem:
         bad.append(name)
