@@ -260,6 +260,7 @@ def _read_back(t: Tables):
     (
         rows.write.option("header", True)
         .option("encoding", "UTF-8")
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

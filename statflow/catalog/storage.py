@@ -11,20 +11,24 @@ from statflow.catalog.registry import Tables, query
 from statflow.operators.parse import wire_frame
 from statflow.plans.jobs import collect_snapshots, collect_trends, refresh_channels
 from statflow.plans.publish import VersionedTable
-from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
+from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.session import scratch_path
 from statflow.sinks.series import append_series, read_series
 from statflow.sources.events import as_event_frame, read_event_files
 from statflow.streaming import run
-from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore
+from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore, state_table
 
 
-@query("w4_append_series", cte("snapshots") + "select * from snapshots")
+@query(
+    "w4_append_series",
+    cte("snapshots") + "select * replace (date_trunc('year', scraped_at) as scraped_at) from snapshots",
+)
 def series(t: Tables):
     """The series laid out by day and key; writing the run again adds nothing."""
     path = scratch_path(t.spark, "series")
+    rows = fixture(t, "snapshots").withColumn("scraped_at", F.date_trunc("year", "scraped_at"))
     for _ in range(2):
-        append_series(fixture(t, "snapshots"), path, RUN)
+        append_series(rows, path, RUN)
     return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
 
 
@@ -228,7 +232,7 @@ def stream_state(t: Tables):
     rows = messages(t).withColumn("day", F.dayofmonth("timestamp"))
     source = scratch_path(t.spark, "messages")
     checkpoint = scratch_path(t.spark, "checkpoint")
-    table = VersionedTable(t.spark, scratch_path(t.spark, "state"), CHANNEL_STATS_V1)
+    table = state_table(t.spark, scratch_path(t.spark, "state"))
     sink = CurrentStateSink(table, "state")
     for half in (F.col("day") <= 15, F.col("day") > 15):
         rows.where(half).drop("day").write.mode("append").parquet(source)

@@ -42,18 +42,20 @@ def fold_batch(
     order: Sequence[str],
     first: Sequence[str] = (),
     last: Sequence[str] = (),
+    last_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: ``last`` columns of the last row, ``first`` columns of the first.
 
     Each side travels as one struct, so the columns of a row stay together and a null in
-    the winning row survives.  Both aggregates combine before the shuffle.
+    the winning row survives.  Both aggregates combine before the shuffle.  ``last_order``
+    replaces ``order`` for the ``last`` side.
     """
-    place = F.struct(*order)
     sides: list[Column] = []
     if last:
+        place = F.struct(*(last_order or order))
         sides.append(F.max_by(F.struct(*last), place).alias("__last"))
     if first:
-        sides.append(F.min_by(F.struct(*first), place).alias("__first"))
+        sides.append(F.min_by(F.struct(*first), F.struct(*order)).alias("__first"))
     folded = batch.groupBy(key).agg(*sides)
     return folded.select(
         key,

@@ -27,8 +27,17 @@ def typed_times(df: DataFrame, *columns: str) -> DataFrame:
 def parse_messages(raw: DataFrame) -> DataFrame:
     """Message bytes to typed columns; unusable messages give rows of nulls."""
     record = F.from_json(F.col("value").cast("string"), WIRE)
-    flat = raw.select(F.col("timestamp").alias("kafka_timestamp"), record.alias("record"))
-    return typed_times(flat.select("kafka_timestamp", "record.*"), *_WIRE_TIMES)
+    flat = raw.select(F.col("timestamp").alias("kafka_timestamp"), _once(record))
+    return typed_times(flat, *_WIRE_TIMES)
+
+
+def _once(record: Column) -> Column:
+    """The fields of a parsed record as columns.
+
+    A filter on a field stays above ``inline``.  Above a plain projection it would be pushed
+    below it, and the text would be parsed again for each use in the filter.
+    """
+    return F.inline(F.array(record))
 
 
 def parse_checked(raw: DataFrame, require_time: bool = True) -> DataFrame:
@@ -38,8 +47,8 @@ def parse_checked(raw: DataFrame, require_time: bool = True) -> DataFrame:
     flat = raw.select(
         F.col("timestamp").alias("kafka_timestamp"),
         message.alias("message"),
-        record.alias("record"),
-    ).select("kafka_timestamp", "message", "record.*")
+        _once(record),
+    )
     typed = typed_times(flat, *_WIRE_TIMES)
     reason = (
         F.when(F.col("message").isNull(), F.lit("no_value"))

@@ -1,9 +1,13 @@
-"""Atomic publication of a whole table on plain Parquet.
+"""Atomic publication of keyed tables on plain Parquet.
 
-Each version is a new folder.  A small commit file names it; readers follow the newest
+A version is a list of folders, named by a small commit file.  Readers follow the newest
 commit, so they see all of a version or nothing of it, and nobody overwrites a folder that
 is being read.  One writer at a time is expected; a second one fails on the commit.
 
+``publish`` writes the whole table.  ``add_layer`` writes only new rows: what a small batch
+costs then depends on the batch, not on the table.  Readers fold the layers by key, and
+``compact`` puts them together again.
+
 With a catalog that supports row-level merges (Delta, Iceberg) ``merge_into`` does the same
 in place.
 """
@@ -13,6 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +27,9 @@ from statflow.operators.merge import Policy, fold_batch
 from statflow.sinks.metrics import write_counted
 
 
+_LAYER = "__layer"
+
+
 class PublishConflict(RuntimeError):
     """Another writer published the same version first."""
 
@@ -29,15 +37,26 @@ class PublishConflict(RuntimeError):
 @dataclass(frozen=True)
 class Commit:
     version: int
-    folder: str
+    folders: list[str]
+    # rows written for this version
     rows: int
     # last micro-batch of each stream that went into this version
     batches: dict[str, int] = field(default_factory=dict)
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType) -> None:
+    """A published table.  Layers need a ``policy`` that says how rows of a key fold."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        policy: Policy | None = None,
+        newer_by: str | None = None,
+    ) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.policy, self.newer_by = policy, newer_by
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         conf = spark._jsparkSession.sessionState().newHadoopConf()
@@ -70,18 +89,48 @@ class VersionedTable:
         versions = self._versions()
         return self._load(versions[-1]) if versions else None
 
+    def _folder(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
+
     def read(self) -> DataFrame:
         commit = self.current()
         if commit is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{commit.folder}")
+        if len(commit.folders) == 1:
+            return self._folder(commit.folders[0])
+        policy = self.policy
+        layers = reduce(
+            DataFrame.unionByName,
+            (self._folder(name).withColumn(_LAYER, F.lit(n)) for n, name in enumerate(commit.folders)),
+        )
+        # what an update leaves alone is what the first layer with the key holds
+        kept = [n for n in self.schema.names if n != policy.key and n not in policy.last]
+        newest = (self.newer_by, _LAYER) if self.newer_by else (_LAYER,)
+        folded = fold_batch(layers, policy.key, (_LAYER,), kept, policy.last, newest)
+        return folded.select(*self.schema.names)
 
     def seen_batch(self, stream: str, batch_id: int) -> bool:
         commit = self.current()
         return commit is not None and commit.batches.get(stream, -1) >= batch_id
 
     def publish(self, df: DataFrame, stream: str | None = None, batch_id: int = -1) -> Commit:
-        """Writes ``df`` as the next version and makes it the current one."""
+        """Writes ``df`` as the whole next version and makes it the current one."""
+        return self._advance(df, [], stream, batch_id)
+
+    def add_layer(self, df: DataFrame, stream: str | None = None, batch_id: int = -1) -> Commit:
+        """Adds rows, one per key, on top of the current version."""
+        if self.policy is None:
+            raise ValueError("a table without a merge policy has no layers")
+        before = self.current()
+        return self._advance(df, before.folders if before else [], stream, batch_id)
+
+    def compact(self) -> Commit:
+        """The same rows in one folder."""
+        return self.publish(self.read())
+
+    def _advance(
+        self, df: DataFrame, below: list[str], stream: str | None, batch_id: int
+    ) -> Commit:
         before = self.current()
         version = before.version + 1 if before else 1
         folder = f"v{version:012d}-{uuid.uuid4().hex}"
@@ -92,13 +141,13 @@ class VersionedTable:
         batches = dict(before.batches) if before else {}
         if stream is not None:
             batches[stream] = batch_id
-        commit = Commit(version, folder, rows, batches)
+        commit = Commit(version, [*below, folder], rows, batches)
         self._write_commit(commit)
         return commit
 
     def _write_commit(self, commit: Commit) -> None:
         # written aside and renamed, so a commit file is never seen half written
-        aside = self._path(f"{self._log}/.{commit.folder}")
+        aside = self._path(f"{self._log}/.{commit.folders[-1]}")
         stream = self._fs.create(aside, True)
         try:
             stream.write(bytearray(json.dumps(asdict(commit)).encode("utf-8")))
@@ -111,10 +160,13 @@ class VersionedTable:
 
     def expire(self, keep: int = 2) -> int:
         """Removes all but the newest ``keep`` versions; returns how many went."""
-        old = self._versions()[: -max(keep, 1)]
+        versions = self._versions()
+        old, kept = versions[: -max(keep, 1)], versions[-max(keep, 1) :]
+        used = {folder for version in kept for folder in self._load(version).folders}
         for version in old:
-            folder = self._load(version).folder
-            self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+            for folder in self._load(version).folders:
+                if folder not in used:
+                    self._fs.delete(self._path(f"{self.root}/{folder}"), True)
             self._fs.delete(self._commit_path(version), False)
         return len(old)
 

@@ -5,18 +5,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statflow.operators.merge import upsert_channels
+from statflow.operators.merge import channel_policy, fold_batch
 from statflow.plans.publish import VersionedTable
+from statflow.schemas import CHANNEL_STATS_V1
 from statflow.sinks.metrics import write_counted
 from statflow.sinks.tables import append_table
 from statflow.sources.tables import Database, read_table
 
+# the policy names the columns; the time of first insertion comes with the rows
+_ANY_TIME = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Handler = Callable[[DataFrame, int], None]
 LEDGER = T.StructType(
     [
@@ -115,31 +119,48 @@ class AppendSink:
         )
 
 
+def state_table(
+    spark: SparkSession, root: str, newer_only: bool = False
+) -> VersionedTable:
+    """The current row per channel; with ``newer_only`` event time decides, not arrival."""
+    newer_by = "processed_at" if newer_only else None
+    return VersionedTable(spark, root, CHANNEL_STATS_V1, channel_policy(_ANY_TIME), newer_by)
+
+
 @dataclass(frozen=True)
 class CurrentStateSink:
-    """Keeps the newest state per channel in a versioned table.
+    """Keeps the newest state per channel in a ``state_table``.
 
-    The batch number is published with the table in one commit, so a batch that is delivered
-    again changes nothing.
+    A micro-batch is folded to one row per channel and added as a layer, so a trigger costs
+    what the batch costs; every ``compact_every`` layers the table is put together.  The batch
+    number is published in the same commit, so a batch that is delivered again changes nothing.
     """
 
     table: VersionedTable
     stream: str
     order: tuple[str, ...] = ("kafka_timestamp", "processed_at", "total_views", "subscriber_count")
-    newer_only: bool = False
+    compact_every: int = 50
     keep_versions: int = 2
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.table.seen_batch(self.stream, batch_id):
             return
-        batch = batch.persist()
+        policy = self.table.policy
+        last_order = ("processed_at", *self.order) if self.table.newer_by else self.order
+        folded = fold_batch(
+            batch.withColumn("created_at", F.col("processed_at")),
+            policy.key,
+            self.order,
+            (*policy.first, *policy.on_insert),
+            policy.last,
+            last_order,
+        ).persist()
         try:
-            if batch.isEmpty():
+            if folded.isEmpty():
                 return
-            # one instant for all rows of the batch, and the same one if it is delivered again
-            as_of = batch.agg(F.max("processed_at")).first()[0].astimezone()
-            merged = upsert_channels(self.table.read(), batch, as_of, self.order, self.newer_only)
-            self.table.publish(merged, self.stream, batch_id)
+            commit = self.table.add_layer(folded, self.stream, batch_id)
+            if len(commit.folders) > self.compact_every:
+                self.table.compact()
             self.table.expire(self.keep_versions)
         finally:
-            batch.unpersist()
+            folded.unpersist()
