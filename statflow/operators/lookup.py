@@ -9,11 +9,12 @@ from functools import reduce
 from itertools import chain, islice
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from statflow.schemas import BATCH_SIZE
 
@@ -99,6 +100,8 @@ class Client(Protocol):
 # Attempts per batch, and bounds on the doubling pause in seconds
 ATTEMPTS = 5
 PAUSE_FROM, PAUSE_TO = 4.0, 60.0
+# answers handed back to Spark at a time
+_ROWS_PER_ARROW_BATCH = 5_000
 
 
 def pause_after(attempt: int) -> float:
@@ -136,33 +139,42 @@ def enrich_batches(
     out = T.StructType(
         [*fields, T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())]
     )
-    names = out.names
+    arrow = to_arrow_schema(out)
 
     def failed(keys: list[str], error: str) -> list[dict[str, Any]]:
         return [{key: k, "ok": False, "error": error} for k in keys]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answers(keys: Iterator[str]) -> Iterator[list[dict[str, Any]]]:
         client: Client | None = None
         spent: str | None = None
-        keys = chain.from_iterable(frame[key] for frame in frames)
         while chunk := list(islice(keys, batch)):
             client = client or client_factory()
             if spent is not None:
-                rows = failed(chunk, spent)
-            else:
-                try:
-                    found = _fetch_with_retry(client, chunk, sleep)
-                    rows = [{**row, "ok": True, "error": None} for row in found]
-                except TransientError as error:
-                    rows = failed(chunk, str(error))
-                except QuotaExhausted as error:
-                    spent = str(error)
-                    rows = failed(chunk, spent)
-            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
+                yield failed(chunk, spent)
+                continue
+            try:
+                found = _fetch_with_retry(client, chunk, sleep)
+                yield [{**row, "ok": True, "error": None} for row in found]
+            except TransientError as error:
+                yield failed(chunk, str(error))
+            except QuotaExhausted as error:
+                spent = str(error)
+                yield failed(chunk, spent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = chain.from_iterable(b.column(0).to_pylist() for b in batches)
+        rows: list[dict[str, Any]] = []
+        for answer in answers(keys):
+            rows += answer
+            if len(rows) >= _ROWS_PER_ARROW_BATCH:
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     # sent with the task, so that executors need no copy of this package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     try:
-        return df.select(F.col(key).cast("string")).mapInPandas(run, out)
+        return df.select(F.col(key).cast("string")).mapInArrow(run, out)
     finally:
         cloudpickle.unregister_pickle_by_value(sys.modules[__name__])

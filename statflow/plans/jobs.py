@@ -15,6 +15,7 @@ from statflow.functions.instants import instant
 from statflow.operators import enrich, lookup, merge, parse, quality, queue
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import DEFAULT_CATEGORY, VIDEO_TRENDS, VIEW_TIMESERIES
+from statflow.session import scratch_path
 from statflow.sinks.series import append_series, append_trends, read_series
 from statflow.sinks.tables import overwrite_table
 from statflow.sources.tables import Database, Split, read_table
@@ -118,20 +119,23 @@ def collect_snapshots(
     """Measures the due videos, stores the snapshots, and sets the next poll times.
 
     ``measure`` takes the due rows and returns video id and counters of those it could read.
-    The series is written first, under the name of the run, and the queue is updated from
-    what was written: a run that is repeated after a failure neither doubles snapshots nor
-    moves a video that was not measured.
+    Its answers are landed as they come, so that nothing is asked for twice.  The series is
+    written next, under the name of the run, and the queue is updated from what was written:
+    a run that is repeated after a failure neither doubles snapshots nor moves a video that
+    was not measured.
     """
     waiting = table.read()
     due = queue.due_videos(waiting, as_of, only_active).select("video_id", "published_at")
-    snapshots = measure(due).select(
-        "video_id",
-        instant(as_of).alias("scraped_at"),
-        *(F.col(name).cast("bigint").alias(name) for name in VIEW_TIMESERIES.names[2:]),
-    )
-    stored = append_series(snapshots, series_path, as_of)
+    spark = waiting.sparkSession
+    landed = scratch_path(spark, "measured")
+    counters = (F.col(name).cast("bigint").alias(name) for name in VIEW_TIMESERIES.names[2:])
+    measure(due).select(
+        "video_id", instant(as_of).alias("scraped_at"), *counters
+    ).write.parquet(landed)
+    answers = spark.read.schema(VIEW_TIMESERIES).parquet(landed)
+    stored = append_series(answers, series_path, as_of)
     if stored:
-        written = read_series(waiting.sparkSession, series_path, VIEW_TIMESERIES, as_of)
+        written = read_series(spark, series_path, VIEW_TIMESERIES, as_of)
         measured = due.join(written.select("video_id").distinct(), "video_id", "left_semi")
         table.publish(merge.apply_cadence(waiting, measured, as_of))
     return stored

@@ -20,6 +20,7 @@ _PART, _ROW, _COPIES = "__part", "__row", "__copies"
 _ROW_BITS = 33
 # upper bound on the keys that are split out, and thus on what is broadcast
 _MAX_HOT_KEYS = 10_000
+_SAMPLE_ROWS = 1_000
 _COPIES_PER_TASK_ROW = 10_000
 
 
@@ -78,19 +79,34 @@ def with_previous(
     ``order`` should be total up to rows that are equal in all columns.  Keys with more than
     ``max_rows_per_key`` rows are split across tasks; all others take the plain window.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    cap = max(max_rows_per_key, -(-(total or 0) // _MAX_HOT_KEYS))
-    if (largest or 0) <= cap:
+    hot_keys = frequent_keys(df, key, max_rows_per_key)
+    if hot_keys is None:
         return _previous_by_window(df, key, order, columns)
-    # at most total / cap <= _MAX_HOT_KEYS keys
-    hot = F.broadcast(counts.where(F.col("__n") > cap).select(F.col(key).alias("__hot")))
+    hot = F.broadcast(hot_keys.select(F.col(key).alias("__hot")))
     is_hot = F.col(key).eqNullSafe(F.col("__hot"))
     usual = _previous_by_window(df.join(hot, is_hot, "left_anti"), key, order, columns)
     split = _previous_by_range(df.join(hot, is_hot, "left_semi"), key, order, columns, partitions)
     return usual.unionByName(split)
 
 
+def frequent_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
+    """Keys with (about) more than ``max_rows`` rows, or None if there are none.
+
+    Counted on a sample, in which a key at the limit still has a thousand rows.  Which keys
+    are named decides how work is split, never what comes out.  A named key holds more than
+    1 / ``_MAX_HOT_KEYS`` of the sample, so there are fewer than ``_MAX_HOT_KEYS`` of them.
+    """
+    rate = min(1.0, _SAMPLE_ROWS / max_rows)
+    keys = df.select(key) if rate == 1.0 else df.select(key).sample(rate, seed=7)
+    counts = keys.groupBy(key).agg(F.count("*").alias("__n"))
+    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
+    limit = max(max_rows * rate, (total or 0) / _MAX_HOT_KEYS)
+    if (largest or 0) <= limit:
+        return None
+    found = counts.where(F.col("__n") > limit).select(key)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
 def _previous_by_window(
     df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

@@ -14,6 +14,14 @@ LOCAL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# for streams whose state outgrows the heap of an executor
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A single-machine session; cluster jobs bring their own."""

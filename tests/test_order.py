@@ -97,3 +97,12 @@ def test_numbering_matches_a_window(spark):
     wanted = frame.withColumn("n", F.row_number().over(Window.orderBy("x", "id")) - 1)
     got = numbering.number_rows(frame, ["x", "id"], "n", 9)
     assert got.exceptAll(wanted.select(got.columns)).isEmpty() and got.count() == 5000
+
+
+def test_frequent_keys_on_a_sample(spark):
+    frame = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
+    )
+    assert [r.k for r in numbering.frequent_keys(frame, "k", 10_000).collect()] == [0]
+    assert numbering.frequent_keys(frame, "k", 100_000) is None
+    assert numbering.frequent_keys(frame.limit(0), "k", 10) is None

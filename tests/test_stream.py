@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statflow.operators import parse
+from statflow.session import STREAM_SETTINGS
 from statflow.sources.events import STREAM_FRAME, read_event_files
 from statflow.streaming import dedup, run
 from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore, state_table
@@ -53,10 +54,17 @@ FEEDS = [
 ]
 
 
-def test_redelivered_rows_go_and_late_rows_go_and_snapshots_stay(spark, tmp_path):
+@pytest.mark.parametrize("settings", [{}, STREAM_SETTINGS], ids=["default", "large_state"])
+def test_redelivered_rows_go_and_late_rows_go_and_snapshots_stay(spark, tmp_path, settings):
     stream = Run(spark, str(tmp_path))
-    for feed in FEEDS:
-        stream.feed(*feed)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for feed in FEEDS:
+            stream.feed(*feed)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
     assert hours(stream.rows) == [("a", 0), ("a", 6), ("a", 12)]
     assert run.late_rows(stream.progress) == 1
     assert run.state_rows(stream.progress) == 1

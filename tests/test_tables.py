@@ -5,9 +5,10 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statflow import session
-from statflow.operators import boards, queue
+from statflow.operators import boards, lookup, queue
 from statflow.plans import jobs
 from statflow.plans.publish import PublishConflict, VersionedTable
 from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
@@ -233,6 +234,34 @@ def test_collect_is_repeatable(spark, path):
     assert table.current().version == version
 
 
+def test_a_client_is_asked_once_per_batch(spark, path):
+    due = [(f"{i:03d}", "c", T0, "active", None, T0, 6, T0) for i in range(120)]
+    table = video_table(spark, path, *due)
+    log = path("requests")
+
+    class Client:
+        def fetch(self, keys):
+            with open(log, "a") as out:
+                out.write(" ".join(keys) + "\n")
+            return [
+                {"video_id": k, "view_count": 1, "like_count": 2, "comment_count": 3}
+                for k in keys
+                if k != "007"
+            ]
+
+    result = T.StructType([f for f in VIEW_TIMESERIES.fields if f.name.endswith("_count")])
+
+    def measure(rows):
+        return lookup.enrich_batches(rows.coalesce(1), "video_id", Client, result).where("ok")
+
+    assert jobs.collect_snapshots(table, measure, path("s"), T1) == 119
+    with open(log) as lines:
+        asked = [key for line in lines for key in line.split()]
+    assert sorted(asked) == [row[0] for row in due]
+    waiting = queue.due_videos(table.read(), T1).collect()
+    assert [r.video_id for r in waiting] == ["007"]
+
+
 def test_trends_of_nothing(spark, path):
     empty = spark.createDataFrame([], VIDEO_TRENDS)
     assert series.append_trends(empty, path("t"), T0) == {"inserted_videos": 0}
