@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from statflow.catalog.figures import PLAIN_SQL
@@ -13,7 +15,7 @@ from statflow.plans.jobs import collect_snapshots, collect_trends, refresh_chann
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.session import scratch_path
-from statflow.sinks.series import append_series, read_series
+from statflow.sinks.series import TREND_DATE, append_series, read_series
 from statflow.sources.events import as_event_frame, read_event_files
 from statflow.streaming import run
 from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore, state_table
@@ -57,7 +59,7 @@ def trend_rows(t: Tables):
     lists = fixture(t, "channel_lists")
     path = scratch_path(t.spark, "trends")
     collect_trends(lists, lists, fixture(t, "uploads"), items, path, RUN)
-    written = t.spark.read.schema(VIDEO_TRENDS).parquet(path)
+    written = read_series(t.spark, path, VIDEO_TRENDS, RUN, TREND_DATE)
     return written.select("video_id", "title", "view_count", "captured_at", "project_category")
 
 
@@ -156,12 +158,15 @@ def _land(t: Tables, frame, label: str) -> str:
     return path
 
 
+def _sent(t: Tables):
+    sent = wire_frame(fixture(t, "channel_obs").drop("event_id"))
+    written = F.get_json_object("value", "$.processed_at")
+    return sent.withColumn("at", written.cast("timestamp"))
+
+
 def _delivered_twice(t: Tables):
     """Every snapshot of the source, those of some channels delivered again later."""
-    rows = fixture(t, "channel_obs").drop("event_id")
-    sent = wire_frame(rows).withColumn(
-        "at", F.get_json_object("value", "$.processed_at").cast("timestamp")
-    )
+    sent = _sent(t)
     again = sent.where(F.col("key").like("%1")).withColumn("at", F.expr("at + interval 2 hours"))
     return as_event_frame(sent.unionByName(again), "key", "value", "at")
 
@@ -239,3 +244,53 @@ def stream_state(t: Tables):
         distinct = run.snapshots(read_event_files(t.spark, source))
         run.start(distinct, sink, checkpoint, trigger=None).awaitTermination()
     return table.read().drop("created_at")
+
+
+def _distinct_channels(t: Tables, mode: str):
+    source = _land(t, _delivered_twice(t), "messages")
+    first = run.snapshots(read_event_files(t.spark, source), mode)
+    sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "firsts", mode)
+    run.start(first, sink, scratch_path(t.spark, "checkpoint"), trigger=None).awaitTermination()
+    return sink.read(t.spark, first.schema)
+
+
+_CHANNELS_SEEN = (
+    cte("channel_obs") + "select channel_id, cast(1 as bigint) as n from channel_obs group by channel_id"
+)
+
+
+@query("t2_stream_first_ever", _CHANNELS_SEEN)
+def stream_first_ever(t: Tables):
+    """One snapshot per channel, whatever follows; which one is up to arrival."""
+    rows = _distinct_channels(t, "first_ever")
+    return rows.groupBy("channel_id").agg(F.count("*").alias("n"))
+
+
+@query("t3_stream_within_watermark", _CHANNELS_SEEN)
+def stream_within_watermark(t: Tables):
+    """One snapshot per channel while its state is held."""
+    rows = _distinct_channels(t, "within_watermark")
+    return rows.groupBy("channel_id").agg(F.count("*").alias("n"))
+
+
+@query(
+    "t6_stream_late_rows",
+    cte("channel_obs")
+    + """select channel_id, processed_at,
+      (select count(*) from channel_obs where dayofmonth(processed_at) <= 15) as late
+    from channel_obs where dayofmonth(processed_at) > 15""",
+)
+def stream_late_rows(t: Tables):
+    """The second half of the month arrives first; what comes later is dropped, and counted."""
+    frame = as_event_frame(_sent(t), "key", "value", "at")
+    source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
+    sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "snapshots", "late")
+    late = 0
+    for half in (F.dayofmonth("timestamp") > 15, F.dayofmonth("timestamp") <= 15):
+        frame.where(half).write.mode("append").parquet(source)
+        distinct = run.snapshots(read_event_files(t.spark, source))
+        started = run.start(distinct, sink, checkpoint, trigger=None)
+        started.awaitTermination()
+        late += run.late_rows(json.loads(p.json) for p in started.recentProgress)
+    stored = sink.read(t.spark, distinct.schema).select("channel_id", "processed_at")
+    return stored.withColumn("late", F.lit(late).cast("bigint"))

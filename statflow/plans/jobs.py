@@ -16,6 +16,7 @@ from statflow.operators import enrich, lookup, merge, parse, quality, queue
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import DEFAULT_CATEGORY, VIDEO_TRENDS, VIEW_TIMESERIES
 from statflow.session import scratch_path
+from statflow.sinks.metrics import write_counted
 from statflow.sinks.series import append_series, append_trends, read_series
 from statflow.sinks.tables import overwrite_table
 from statflow.sources.tables import Database, Split, read_table
@@ -51,6 +52,17 @@ def refresh_channels(
         checked.unpersist()
 
 
+def publish_channels(
+    items: DataFrame, as_of: datetime | str, write: Callable[[DataFrame], None]
+) -> int:
+    """Channel objects as keyed messages; returns how many were handed to ``write``.
+
+    ``write`` gets columns ``key`` and ``value``, as ``messages.send`` takes them.
+    """
+    flat = parse.readable(parse.flatten_channels(items, as_of))
+    return write_counted(parse.wire_frame(flat), write)
+
+
 def _clean_and_bad(checked: DataFrame) -> dict[str, int]:
     bad = F.size(quality.VIOLATED) > 0
     row = checked.agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad")).first()

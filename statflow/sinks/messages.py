@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from statflow.operators.parse import wire_frame
 
+def send_options(servers: str, topic: str) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": servers,
+        "kafka.acks": "all",
+        "kafka.compression.type": "gzip",
+        "topic": topic,
+    }
 
-def write_events(df: DataFrame, servers: str, topic: str, key: str = "channel_id") -> None:
-    """Rows as JSON messages; needs the Kafka connector on the class path."""
-    (
-        wire_frame(df, key)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("kafka.acks", "all")
-        .option("kafka.compression.type", "gzip")
-        .option("topic", topic)
-        .save()
-    )
+
+def send(messages: DataFrame, servers: str, topic: str) -> None:
+    """Writes columns ``key`` and ``value``; needs the Kafka connector on the class path."""
+    messages.write.format("kafka").options(**send_options(servers, topic)).save()

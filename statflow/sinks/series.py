@@ -13,6 +13,7 @@ from statflow.functions.instants import instant
 from statflow.sinks.metrics import write_counted
 
 RUN = "run_id"
+TREND_DATE = "captured_date"
 
 
 def series_layout(
@@ -34,10 +35,14 @@ def run_name(as_of: datetime | str) -> Column:
 
 
 def read_series(
-    spark: SparkSession, path: str, schema: T.StructType, as_of: datetime | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    as_of: datetime | str | None = None,
+    date: str = "scraped_date",
 ) -> DataFrame:
     """The series, or only the rows of one run."""
-    parts = [T.StructField("scraped_date", T.DateType()), T.StructField(RUN, T.StringType())]
+    parts = [T.StructField(date, T.DateType()), T.StructField(RUN, T.StringType())]
     rows = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
     return rows if as_of is None else rows.where(F.col(RUN) == run_name(as_of))
 
@@ -73,7 +78,7 @@ def append_trends(
     df: DataFrame, path: str, as_of: datetime | str, partitions: int | None = None
 ) -> dict[str, object]:
     """Adds the trend rows of a run; a run without rows adds none."""
-    rows = append_series(df, path, as_of, "captured_at", "video_id", "captured_date", partitions)
+    rows = append_series(df, path, as_of, "captured_at", "video_id", TREND_DATE, partitions)
     return {"inserted_videos": rows, "captured_at": as_of} if rows else {"inserted_videos": 0}
 
 

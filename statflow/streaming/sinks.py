@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Protocol
 
@@ -83,6 +83,8 @@ class AppendSink:
     store: Store
     table: str
     stream: str
+    # last batch of this process; only the first one after a start can be in the ledger already
+    _seen: dict[str, int] = field(default_factory=dict)
 
     @property
     def ledger(self) -> str:
@@ -93,7 +95,7 @@ class AppendSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not self.committed(spark).where(F.col("batch_id") == batch_id).isEmpty():
+        if self._was_written(spark, batch_id):
             return
         attempt = uuid.uuid4().hex
         tagged = batch.withColumns(
@@ -108,6 +110,12 @@ class AppendSink:
         if rows:
             line = spark.createDataFrame([(self.stream, batch_id, attempt, rows)], LEDGER)
             self.store.append(line.coalesce(1), self.ledger)
+        self._seen["batch_id"] = batch_id
+
+    def _was_written(self, spark: SparkSession, batch_id: int) -> bool:
+        if "batch_id" in self._seen:
+            return batch_id <= self._seen["batch_id"]
+        return not self.committed(spark).where(F.col("batch_id") == batch_id).isEmpty()
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """Rows of finished attempts."""

@@ -120,6 +120,9 @@ def test_append_sink_ignores_a_batch_delivered_again(spark, tmp_path):
     frame = spark.range(5)
     sink(frame, 0)
     sink(frame, 0)
+    # after a restart, and within one process
+    AppendSink(FolderStore(str(tmp_path)), "rows", "s")(frame, 0)
+    sink(spark.range(5, 7), 1)
     sink(spark.range(5, 7), 1)
     sink(spark.range(0), 2)
     assert sorted(r.id for r in sink.read(spark, frame.schema).collect()) == list(range(7))

@@ -13,6 +13,7 @@ from statflow.plans import jobs
 from statflow.plans.publish import PublishConflict, VersionedTable
 from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.sinks import series, tables
+from statflow.sinks.messages import send_options
 from statflow.sinks.metrics import write_counted
 from statflow.sources.events import broker_options
 from statflow.sources.tables import Database, Split
@@ -189,6 +190,30 @@ def test_refresh_quarantines_and_leaves_the_table_alone_without_good_rows(spark,
     assert table.read().first().channel_title == "A"
 
 
+def test_channels_as_messages(spark, path):
+    items = spark.createDataFrame(
+        [("a", {"title": "A"}, {"viewCount": "5"}), ("b", {}, {"viewCount": "?"}), (None, {}, {})],
+        "id string, snippet map<string,string>, statistics map<string,string>",
+    )
+    sent = jobs.publish_channels(items, T0, lambda df: df.write.parquet(path("topic")))
+    rows = {r.key: r.value for r in spark.read.parquet(path("topic")).collect()}
+    assert sent == 2 and set(rows) == {"a", None}
+    assert '"total_views":5' in rows["a"] and '"country":""' in rows["a"]
+    assert send_options("b:1", "t")["kafka.acks"] == "all"
+
+
+def test_channels_as_messages(spark, path):
+    items = spark.createDataFrame(
+        [("a", {"title": "A"}, {"viewCount": "5"}), ("b", {}, {"viewCount": "?"}), (None, {}, {})],
+        "id string, snippet map<string,string>, statistics map<string,string>",
+    )
+    sent = jobs.publish_channels(items, T0, lambda df: df.write.parquet(path("topic")))
+    rows = {r.key: r.value for r in spark.read.parquet(path("topic")).collect()}
+    assert sent == 2 and set(rows) == {"a", None}
+    assert '"total_views":5' in rows["a"] and '"country":""' in rows["a"]
+    assert send_options("b:1", "t")["kafka.acks"] == "all"
+
+
 def test_ingest_checks_the_parent(spark, path):
     channels = spark.createDataFrame(
         [("a", " x?list=UUa "), ("b", ""), ("c", None), (" d ", "UUd")],
