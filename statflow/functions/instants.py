@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from statflow.schemas import POLL_CADENCE, SLOWEST_POLL_HOURS
 
 MICROS_PER_HOUR = 3_600_000_000
+MICROS_PER_DAY = 24 * MICROS_PER_HOUR
 
 
 def instant(as_of: datetime | str | Column) -> Column:
@@ -28,20 +29,37 @@ def parse_instant(text: Column) -> Column:
     return F.try_to_timestamp(F.nullif(text, F.lit("")))
 
 
+def utc_clock(at: Column) -> Column:
+    """What a clock in UTC shows at the instant, without a zone; free of the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(at), epoch)
+
+
+def utc_date(at: Column) -> Column:
+    return utc_clock(at).cast("date")
+
+
 def iso_text(at: Column) -> Column:
     """Timestamp to ISO-8601 text in UTC, without a fraction when it is zero."""
-    whole = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    micros = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return F.when(F.unix_micros(at) % 1_000_000 == 0, whole).otherwise(micros)
+    seconds = F.replace(F.substring(utc_clock(at).cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+    micros = F.pmod(F.unix_micros(at), F.lit(1_000_000))
+    fraction = F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
+    return F.concat(seconds, F.when(micros == 0, F.lit("")).otherwise(fraction), F.lit("+00:00"))
 
 
 def elapsed_days(since: Column, until: Column) -> Column:
     """Whole 24-hour days between two instants, truncated toward zero."""
-    return F.timestamp_diff("DAY", since, until).cast("int")
+    micros = F.unix_micros(until) - F.unix_micros(since)
+    return F.call_function("div", micros, F.lit(MICROS_PER_DAY)).cast("int")
 
 
 def hours_later(at: Column, hours: Column) -> Column:
-    return at + F.make_dt_interval(F.lit(0), hours)
+    return F.timestamp_micros(F.unix_micros(at) + hours.cast("bigint") * F.lit(MICROS_PER_HOUR))
+
+
+def earlier(at: Column, by: timedelta) -> Column:
+    micros = by // timedelta(microseconds=1)
+    return F.timestamp_micros(F.unix_micros(at) - F.lit(micros).cast("bigint"))
 
 
 def poll_interval_hours(published_at: Column, as_of: Column) -> Column:
@@ -55,4 +73,4 @@ def poll_interval_hours(published_at: Column, as_of: Column) -> Column:
 
 def quota_day(at: Column, zone: str) -> Column:
     """Calendar day in the zone whose midnight resets the quota."""
-    return F.to_date(F.from_utc_timestamp(at, zone))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock(at)).cast("date")

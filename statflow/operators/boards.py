@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.functions.instants import instant
+from statflow.functions.instants import earlier, instant
 
 
 def leaderboard(df: DataFrame, by: str, top: int = 10, key: str = "channel_id") -> DataFrame:
@@ -22,4 +22,4 @@ def in_country(df: DataFrame, country: str) -> DataFrame:
 
 def stale(df: DataFrame, as_of: datetime | str, after: timedelta) -> DataFrame:
     """Rows last processed longer ago than ``after``."""
-    return df.where(F.col("processed_at") < instant(as_of) - F.lit(after))
+    return df.where(F.col("processed_at") < earlier(instant(as_of), after))

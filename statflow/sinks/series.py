@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statflow.functions.instants import instant
+from statflow.functions.instants import instant, utc_date
 from statflow.sinks.metrics import write_counted
 
 RUN = "run_id"
@@ -24,14 +24,14 @@ def series_layout(
     The range partitioning uses the whole sort order, so a day or a key with very many rows
     is spread over tasks, and min/max statistics of the row groups prune on the key.
     """
-    dated = df.withColumn(date, F.to_date(time))
+    dated = df.withColumn(date, utc_date(F.col(time)))
     order = [F.col(date), F.col(key), F.col(time).desc()]
     wanted = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dated.repartitionByRange(wanted, *order).sortWithinPartitions(*order)
 
 
 def run_name(as_of: datetime | str) -> Column:
-    return F.concat(F.lit("r"), F.date_format(instant(as_of), "yyyyMMddHHmmssSSSSSS"))
+    return F.concat(F.lit("r"), F.unix_micros(instant(as_of)).cast("string"))
 
 
 def read_series(

@@ -1,6 +1,6 @@
 """Hand-written rows for the edge of each rule."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +15,14 @@ from statflow.sources.seeds import read_seeds
 NOW = datetime(2024, 1, 3, 22, tzinfo=timezone.utc)
 
 
+@pytest.fixture(autouse=True, params=["UTC", "America/New_York"])
+def zone(spark, request):
+    """No rule may depend on the zone of the session."""
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def one(spark, column, **values):
     """The value of an expression over one row of literals."""
     frame = spark.range(1).withColumns({k: F.lit(v) for k, v in values.items()})
@@ -246,3 +254,17 @@ def test_quota_day_turns_at_pacific_midnight(spark):
     days = ledger.quota_ledger(log).orderBy("quota_day").collect()
     assert [str(r.quota_day) for r in days] == ["2024-06-30", "2024-07-01", "2024-11-30"]
     assert [(r.exhausted, r.remaining) for r in days] == [(False, 9997), (True, 0), (False, 0)]
+
+
+def test_steps_across_a_clock_change(spark):
+    before = instants.instant("2024-03-09T20:00:00")
+    after = one(spark, instants.iso_text(instants.hours_later(before, F.lit(168))))
+    assert after == "2024-03-16T20:00:00+00:00"
+    week_later = instants.instant("2024-03-16T19:59:59")
+    assert one(spark, instants.elapsed_days(before, week_later)) == 6
+    earlier = instants.earlier(instants.instant("2024-03-16T20:00:00"), timedelta(days=7))
+    assert one(spark, instants.iso_text(earlier)) == "2024-03-09T20:00:00+00:00"
+    # 06:30 and 05:30 UTC show the same time of day in New York on that day
+    twice = instants.instant("2024-11-03T06:30:00")
+    assert one(spark, instants.iso_text(twice)) == "2024-11-03T06:30:00+00:00"
+    assert str(one(spark, instants.utc_date(instants.instant("2024-01-02T01:00:00")))) == "2024-01-02"

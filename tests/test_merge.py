@@ -145,3 +145,51 @@ def test_clean_and_quarantine_make_up_the_input(spark):
         ("current_interval_hours:range", "status:domain", "video_id:length"),
         ("video_id:unique",),
     ]
+
+
+ARRIVALS = st.lists(
+    st.tuples(
+        st.sampled_from("abcd"),
+        st.sampled_from(["US", "DE", None]),
+        st.integers(0, 99) | st.none(),
+        st.integers(0, 5),
+    ),
+    max_size=15,
+)
+
+
+def row_by_row(known, arrivals):
+    """The same merge, one statement per record."""
+    state = {k: dict(v) for k, v in known.items()}
+    for key, country, views, hour in arrivals:
+        if key not in state:
+            state[key] = {"country": country, "views": views, "hour": hour}
+        else:
+            state[key].update(views=views, hour=hour)
+    return state
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ARRIVALS, ARRIVALS)
+def test_upsert_is_the_row_by_row_merge(spark, before, arrivals):
+    def frame(rows):
+        made = [
+            batch_row(n, key, None, country, views, T0 + timedelta(hours=hour))
+            for n, (key, country, views, hour) in enumerate(rows)
+        ]
+        return spark.createDataFrame(made, BATCH).repartition(3)
+
+    known = row_by_row({}, before)
+    target = merge.upsert_channels(channels(spark), frame(before), T0, ["n"])
+    merged = merge.upsert_channels(target, frame(arrivals), T1, ["n"])
+    got = {
+        r.channel_id: {
+            "country": r.country,
+            "views": r.total_views,
+            "hour": int((r.processed_at - T0.replace(tzinfo=None)).total_seconds() // 3600),
+        }
+        for r in merged.collect()
+    }
+    assert got == row_by_row(known, arrivals)
+    created = {r.channel_id: r.created_at for r in merged.collect()}
+    assert {k for k, at in created.items() if at == T0.replace(tzinfo=None)} == set(known)
