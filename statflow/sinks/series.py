@@ -21,13 +21,19 @@ def series_layout(
 ) -> DataFrame:
     """Rows ordered for the declared access paths: by day, then key, newest first.
 
-    The range partitioning uses the whole sort order, so a day or a key with very many rows
-    is spread over tasks, and min/max statistics of the row groups prune on the key.
+    The range partitioning uses the whole sort order and all other plain columns, so a day, a
+    key or an instant with very many rows is spread over tasks, and min/max statistics of the
+    row groups prune on the key.
     """
     dated = df.withColumn(date, utc_date(F.col(time)))
     order = [F.col(date), F.col(key), F.col(time).desc()]
+    rest = [
+        F.col(f.name)
+        for f in df.schema.fields
+        if f.name not in (key, time) and not isinstance(f.dataType, (T.ArrayType, T.MapType))
+    ]
     wanted = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dated.repartitionByRange(wanted, *order).sortWithinPartitions(*order)
+    return dated.repartitionByRange(wanted, *order, *rest).sortWithinPartitions(*order)
 
 
 def run_name(as_of: datetime | str) -> Column:

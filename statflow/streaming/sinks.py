@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from statflow.operators.merge import channel_policy, fold_batch
 from statflow.plans.publish import VersionedTable
-from statflow.schemas import CHANNEL_STATS_V1
+from statflow.schemas import CHANNEL_STATS_V1, WIRE
 from statflow.sinks.metrics import write_counted
 from statflow.sinks.tables import append_table
 from statflow.sources.tables import Database, read_table
@@ -22,6 +22,8 @@ from statflow.sources.tables import Database, read_table
 # the policy names the columns; the time of first insertion comes with the rows
 _ANY_TIME = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Handler = Callable[[DataFrame, int], None]
+# arrival first; the other columns make the order total
+ARRIVAL = ("kafka_timestamp", "processed_at", *(n for n in WIRE.names if n != "processed_at"))
 LEDGER = T.StructType(
     [
         T.StructField("stream", T.StringType()),
@@ -146,7 +148,7 @@ class CurrentStateSink:
 
     table: VersionedTable
     stream: str
-    order: tuple[str, ...] = ("kafka_timestamp", "processed_at", "total_views", "subscriber_count")
+    order: tuple[str, ...] = ARRIVAL
     compact_every: int = 50
     keep_versions: int = 2
 

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from statflow import session
 from statflow.operators import boards, lookup, queue
+from statflow.operators.merge import Policy
 from statflow.plans import jobs
-from statflow.plans.publish import PublishConflict, VersionedTable
+from statflow.plans.publish import PublishConflict, VersionedTable, merge_into
 from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.sinks import series, tables
 from statflow.sinks.messages import send_options
@@ -59,6 +60,27 @@ def test_layers_need_a_policy(spark, path):
         numbers(spark, path).add_layer(spark.range(1))
 
 
+def test_files_are_sorted_for_the_due_scan(spark, path):
+    table = VersionedTable(spark, path("v"), VIDEOS, sorted_by=queue.DUE_ORDER)
+    rows = [
+        (f"v{i}", "c", T0, "active", None, T0 + timedelta(hours=i * 37 % 100), 6, T0)
+        for i in range(100)
+    ]
+    table.publish(spark.createDataFrame(rows, VIDEOS).coalesce(1))
+    polls = [r.next_poll_at for r in table.read().coalesce(1).collect()]
+    assert polls == sorted(polls) and len(polls) == 100
+
+
+def test_merge_needs_a_catalog_that_can(spark):
+    spark.range(3).withColumn("x", F.lit(1)).write.saveAsTable("plain_target")
+    policy = Policy("id", last=("x",), on_insert={"x": 0})
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            merge_into(spark.range(5).withColumn("x", F.lit(2)), "plain_target", policy, ["x"])
+    finally:
+        spark.sql("drop table plain_target")
+
+
 def test_old_versions_expire(spark, path):
     table = numbers(spark, path)
     for n in range(1, 5):
