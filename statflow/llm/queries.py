@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statflow.llm import html_text, url_filter
+from statflow.llm import decontaminate, html_text, language_id, url_filter
 from statflow.llm.common import table
 
 #: (host, path, verdict) of the rules that ``op10_url_filter`` applies.
@@ -23,6 +23,53 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(pages)
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.scan(docs, table(spark, folder, "benchmark")).drop("text", "hits")
+
+
+OP4_SQL = """
+with words as (
+  select doc_id, row_number() over () as row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), item_words as (
+  select item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark where item_id is not null
+), windows as (
+  select distinct item_id, size, array_to_string(w[i : i + size - 1], ' ') as win
+  from (select item_id, w, least(10, len(w)) as size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i
+        from item_words where len(w) > 0)
+), grams as (
+  select row, i, size, array_to_string(w[i : i + size - 1], ' ') as win
+  from (select row, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from words, (select distinct size from windows) where len(w) >= size)
+), found as (
+  select row, i, size, item_id from grams join windows using (size, win)
+), hits as (
+  select row, count(*) as n_hit from (select distinct row, unnest(range(i, i + size)) from found) group by row
+), items as (
+  select row, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct row, cast(item_id as varchar) as item from found) group by row
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hits using (row) left join items using (row)
+"""
+
+
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -49,5 +96,10 @@ select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdic
 from parsed p left join (select * from fits where rank = 1) f using (page_id, host, path)
 """
 
-QUERIES = {"op2_main_text": op2_main_text, "op10_url_filter": op10_url_filter}
-ORACLES = {"op10_url_filter": OP10_SQL}
+QUERIES = {
+    "op2_main_text": op2_main_text,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_language": op5_language,
+    "op10_url_filter": op10_url_filter,
+}
+ORACLES = {"op4_decontaminate": OP4_SQL, "op10_url_filter": OP10_SQL}
