@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, html_text, language_id, url_filter
+from statflow.llm import decontaminate, html_text, language_id, packing, url_filter
 from statflow.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 #: (host, path, verdict) of the rules that ``op10_url_filter`` applies.
 URL_RULES = (
     ("org", "/", "allow"),
@@ -70,6 +74,13 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -100,6 +111,7 @@ QUERIES = {
     "op2_main_text": op2_main_text,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op6_pack": op6_pack,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {"op4_decontaminate": OP4_SQL, "op10_url_filter": OP10_SQL}
