@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, html_text, language_id, packing, url_filter
-from statflow.llm.common import table
+from statflow.llm import decontaminate, grammar, html_text, language_id, packing, url_filter
+from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -81,6 +81,13 @@ def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written in grammar files and read back."""
+    docs, path = table(spark, folder, "documents"), scratch_path(spark, "grammar")
+    grammar.write(docs, path, public_tokenizers.path(TOKENIZER))
+    return grammar.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -112,6 +119,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op6_pack": op6_pack,
+    "op7_token_files": op7_token_files,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {"op4_decontaminate": OP4_SQL, "op10_url_filter": OP10_SQL}
