@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, packing, url_filter
+from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, url_filter
 from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -88,6 +88,12 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return grammar.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector."""
+    rows = table(spark, folder, "embeddings")
+    return neighbours.search(rows, rows.where("vec_id % 20 = 0"), "vec_id", "embedding")
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -120,6 +126,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_pack": op6_pack,
     "op7_token_files": op7_token_files,
+    "op8_neighbours": op8_neighbours,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {"op4_decontaminate": OP4_SQL, "op10_url_filter": OP10_SQL}
