@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, url_filter
+from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, private_data, url_filter
 from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,13 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(pages)
 
 
+def op3_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = private_data.annotate(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [f"n_{kind}" for kind in private_data.BASE]
+    return found.withColumns(private_data.digests(found)).select("doc_id", *counts, "base_sha256", "spans")
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -122,6 +129,7 @@ from parsed p left join (select * from fits where rank = 1) f using (page_id, ho
 
 QUERIES = {
     "op2_main_text": op2_main_text,
+    "op3_private_data": op3_private_data,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op6_pack": op6_pack,
