@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, private_data, url_filter
+from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, private_data, secrets, url_filter
 from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -101,6 +101,41 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(rows, rows.where("vec_id % 20 = 0"), "vec_id", "embedding")
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[value.alias(name) for name, value in secrets.digests().items()])
+
+
+def _op9_sql() -> str:
+    """All matches of each rule, placed by the lengths of the pieces between them."""
+    parts = []
+    for at, rule in enumerate((*secrets.BASE, *secrets.MORE)):
+        pattern = rule.pattern.replace("'", "''")
+        value = f"regexp_extract(found, '{rule.value.replace("'", "''")}', 1)" if rule.value else "found"
+        parts.append(f"""
+  select row, {at} as place, '{rule.kind}' as kind, passed + gaps as "start", passed + gaps + len(found) as "end" from (
+    select row, found, i,
+      list_sum([len(x) for x in gap[1:i]]) as gaps,
+      coalesce(list_sum([len(x) for x in hit[1:i - 1]]), 0) as passed
+    from (select row, hit, gap, unnest(hit) as found, unnest(range(1, len(hit) + 1)) as i
+          from (select row, regexp_extract_all(text, '{pattern}') as hit, regexp_split_to_array(text, '{pattern}') as gap from docs)
+          where len(hit) > 0)
+  ) where len({value}) >= {rule.least}""")
+    listed = """string_agg(kind || ':' || cast("start" as bigint) || ':' || cast("end" as bigint), ',' order by "start", place)"""
+    counts = ", ".join(f"count(*) filter (where kind = '{rule.kind}') as n_{rule.kind}" for rule in secrets.BASE)
+    return f"""
+with docs as (select row_number() over () as row, doc_id, coalesce(text, '') as text from documents),
+found as ({" union all ".join(parts)}),
+summed as (
+  select row, {counts}, {listed} filter (where place < {len(secrets.BASE)}) as base, {listed} as spans from found group by row
+)
+select doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) as n_{rule.kind}" for rule in secrets.BASE)},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join summed using (row)
+"""
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -135,6 +170,7 @@ QUERIES = {
     "op6_pack": op6_pack,
     "op7_token_files": op7_token_files,
     "op8_neighbours": op8_neighbours,
+    "op9_secrets": op9_secrets,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES = {"op4_decontaminate": OP4_SQL, "op10_url_filter": OP10_SQL}
+ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL}
