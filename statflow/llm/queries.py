@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, neighbours, packing, private_data, secrets, url_filter
+from statflow.llm import decontaminate, grammar, html_text, language_id, near_duplicates, neighbours, packing, private_data, secrets, url_filter
 from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,11 @@ URL_RULES = (
 )
 
 
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_duplicates.classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
@@ -163,6 +168,7 @@ from parsed p left join (select * from fits where rank = 1) f using (page_id, ho
 """
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
     "op3_private_data": op3_private_data,
     "op4_decontaminate": op4_decontaminate,
