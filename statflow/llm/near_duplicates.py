@@ -7,10 +7,10 @@
    in a large group of copies the shared shingles are frequent and the edits rare.
 3. ``BANDS * ROWS`` consistent samples of the weighted set make ``BANDS`` keys.  Texts that share a
    key are candidates.
-4. In each bucket every text is compared with a few pivots, not with all others.  Those that link to
-   no pivot get new pivots, twice as many each round, until none is left.  Distances obey the
-   triangle inequality, so a text that links to a pivot stays in the bucket as long as one that does
-   not could still be near enough to it: no link inside a bucket is lost.
+4. In each bucket every text is compared with one pivot, not with all others.  Where the texts of a
+   bucket are then not all in one class, those outside its largest class are compared with all texts
+   of the bucket, in cells of bounded size, each by an inverted index of its own shingles: no link
+   between different classes is lost.
 5. A pair is a link if its weighted Jaccard similarity, or that of the plain sets, is at least 0.8.
 6. Links are joined to classes by passing smallest ids along links and over labels.
 
@@ -37,6 +37,8 @@ WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 12, 3
 #: Cells in which document frequencies are counted, parts in which they travel, the spread of weights.
 CELL_BITS, PARTS, RARE = 18, 16, 0.25
+#: Texts of a bucket that meet in one cell, on either side.
+CELL = 512
 #: Bytes of text and shingles that are worked on at once.
 TEXT_BYTES, BLOCK = 1 << 20, 1 << 13
 
@@ -228,55 +230,90 @@ def _similar(left: tuple, right: tuple, factor: np.ndarray) -> tuple[float, floa
     return float(shared / total), count / (len(left[0]) + len(right[0]) - count)
 
 
-def links(bands: DataFrame, docs: DataFrame, key: str, text: str, factor: np.ndarray) -> DataFrame:
-    """``a, b`` of similar texts among those of ``bands`` (``id, bucket``)."""
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    waiting = stored(bands.join(shared, "bucket").withColumn("open", F.lit(True)), "buckets")
-    # only texts that share a bucket are compared
-    sources = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).dropDuplicates(["id"])
-    sources = stored(sources.join(waiting.select("id").distinct(), "id", "left_semi"), "texts")
-    compared, pivots, turn = None, 1, 0
-    while not waiting.where("open").isEmpty():
-        order = [F.xxhash64("id", F.lit(turn * 64 + at)) for at in range(pivots)]
-        some = F.array_distinct(F.array(*[F.min_by("id", one) for one in order]))
-        chosen = waiting.where("open").groupBy("bucket").agg(some.alias("pivots"))
-        met = waiting.join(chosen, "bucket").withColumn("pivot", F.explode("pivots")).drop("pivots")
-        met = met.withColumns({"a": F.least("pivot", "id"), "b": F.greatest("pivot", "id")})
-        asked = met.where("a <> b").select("a", "b").distinct()
-        known = asked if compared is None else asked.join(compared, ["a", "b"], "left_anti")
-        left = known.join(sources.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
-        both = left.join(sources.withColumnsRenamed({"id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-        fresh = stored(similarities(both, factor), "similar")
-        compared = fresh if compared is None else compared.unionByName(fresh)
-        waiting = stored(_left_over(met, compared), "buckets")
-        turn, pivots = turn + 1, min(2 * pivots, 64)
-    if compared is None:
-        return bands.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
-    return compared.where(LINKED).select("a", "b")
-
-
 LINKED = f"weighted >= {SIMILAR} or plain >= {SIMILAR}"
 
 
-def _left_over(met: DataFrame, compared: DataFrame) -> DataFrame:
-    """What stays in each bucket: texts that no pivot links to, and linked ones that might link to those.
-
-    A text y and another x are at least d(y) - d(x) apart, for their distances d from any pivot."""
-    pairs = met.join(compared, ["a", "b"], "left").withColumns({"far": 1 - F.col("weighted"), "off": 1 - F.col("plain")})
-    each = pairs.groupBy("bucket", "id").agg(
-        F.bool_or(F.col("pivot") == F.col("id")).alias("was"),
-        (F.first("open") & ~F.bool_or((F.col("pivot") == F.col("id")) | F.coalesce(F.expr(LINKED), F.lit(False)))).alias("open"),
-    )
-    each = pairs.drop("open").where("pivot <> id").join(each.where("not was"), ["bucket", "id"])
-    edges = each.where("open").groupBy("bucket", "pivot").agg(F.min("far").alias("least_far"), F.min("off").alias("least_off"))
-    slack = each.join(edges, ["bucket", "pivot"]).groupBy("bucket", "id").agg(
-        F.first("open").alias("open"),
-        F.min(F.col("far") - F.col("least_far")).alias("far"),
-        F.min(F.col("off") - F.col("least_off")).alias("off"),
-    )
-    left = slack.where(f"open or far >= -{1 - SIMILAR + 1e-9} or off >= -{1 - SIMILAR + 1e-9}").select("bucket", "id", "open")
-    many = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return left.join(many, "bucket").select("id", "bucket", "open")
+def links(bands: DataFrame, docs: DataFrame, key: str, text: str, factor: np.ndarray) -> DataFrame:
+    """``a, b`` of similar texts among those of ``bands`` (``id, bucket``), enough to join all that belong together."""
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "bucket")).alias("pivot")).where("n > 1")
+    buckets = stored(bands.join(shared, "bucket").select("bucket", "id", "pivot", "n"), "buckets")
+    # only texts that share a bucket are compared
+    sources = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).dropDuplicates(["id"])
+    sources = stored(sources.join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
+    asked = buckets.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct()
+    left = asked.join(sources.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
+    both = left.join(sources.withColumnsRenamed({"id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
+    stars = stored(similarities(both, factor).where(LINKED).select("a", "b"), "stars")
+    rest = _unsettled(buckets.where("n > 2"), components(stars))
+    met = rest.join(sources, "id")
+    more = met.groupBy("bucket", "asking", "asked").applyInArrow(_cell(factor), "a long, b long")
+    return stars.unionByName(stored(more, "cells"))
+
+
+def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Buckets whose texts are not all in one class yet, dealt out to cells of bounded size.
+
+    Texts outside the largest class of a bucket ask all others: each block of those that ask meets
+    each block of all texts.  ``bucket, asking, asked, id, label, asks``."""
+    named = buckets.select("bucket", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    counted = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    split = counted.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    split = split.where("most < all").select(
+        "bucket", "largest", F.ceil(F.col("all") / CELL).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("most")) / CELL).cast("int").alias("askers"),
+    )
+    rows = stored(named.join(split, "bucket").withColumn("asks", F.col("label") != F.col("largest")), "unsettled")
+    block = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    asked = rows.withColumns({"asked": block("blocks"), "asks": F.lit(False)}).withColumn("asking", every("askers"))
+    asking = rows.where("asks").withColumn("asking", block("askers")).withColumn("asked", every("blocks"))
+    columns = ("bucket", "asking", "asked", "id", "label", "asks")
+    return asked.select(*columns).unionByName(asking.select(*columns))
+
+
+def _cell(factor: np.ndarray):
+    """Links from the asking texts of a cell to texts of other classes, through an inverted index of its shingles."""
+
+    def meet(rows: pa.Table) -> pa.Table:
+        ids, labels = rows["id"].to_pylist(), rows["label"].to_pylist()
+        asks = np.array(rows["asks"].to_pylist(), bool)
+        sets = shingles(rows["text"].to_pylist())
+        sizes = np.array([len(found) for found, _ in sets])
+        weight = [weights(*one, factor).astype(np.float64) for one in sets]
+        total = np.array([one.sum() for one in weight])
+        held = np.flatnonzero(~asks)
+        owner = np.repeat(held, sizes[held])
+        flat = np.concatenate([sets[at][0] for at in held]) if len(held) else np.zeros(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        posted = np.concatenate([weight[at] for at in held])[order] if len(held) else np.zeros(0)
+        parent: dict[int, int] = {}
+        found = []
+        for at in np.flatnonzero(asks):
+            first, last = np.searchsorted(flat, sets[at][0], "left"), np.searchsorted(flat, sets[at][0], "right")
+            count = last - first
+            after = np.cumsum(count)
+            places = np.repeat(first - after + count, count) + np.arange(after[-1] if len(after) else 0)
+            near = owner[places]
+            common = np.bincount(near, minlength=len(ids))
+            least = np.bincount(near, np.minimum(posted[places], np.repeat(weight[at], count)), len(ids))
+            plain = common / np.maximum(1, sizes[at] + sizes - common)
+            weighted = least / np.maximum(1e-9, total[at] + total - least)
+            for other in np.flatnonzero((plain >= SIMILAR) | (weighted >= SIMILAR)).tolist():
+                one, two = _root(parent, labels[at]), _root(parent, labels[other])
+                if one != two:
+                    parent[max(one, two)] = min(one, two)
+                    found.append((min(ids[at], ids[other]), max(ids[at], ids[other])))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return meet
+
+
+def _root(parent: dict[int, int], label: int) -> int:
+    while label in parent:
+        label = parent[label]
+    return label
 
 
 # --- classes -----------------------------------------------------------------------------------
