@@ -11,7 +11,8 @@ languages, those with the smallest hash; counting and prediction cover all rows.
 sample is kept from the dictionaries to fit the scale that turns margins into scores.
 
 Defined results: a NULL text, or one without a letter, is ``und`` with score 0 and is rejected.
-Equal sizes go to the language first in order, with a score that says so.  Rejected is what is
+Equal sizes go to the language
+with more learning rows, with a score that says so.  Rejected is what is
 ``und`` or wins by less than ``narrow`` of the winner's bytes.  Without learning rows every text
 is ``und``.  Repeated rows each keep their row; other columns are kept; ``lang_pred, score,
 rejected`` are replaced.
@@ -34,6 +35,8 @@ from statflow.llm.common import pass_through, schema_with
 PER_LANGUAGE, PIECES, PIECE, DICTIONARY = 400, 8, 512, 131072
 #: Bytes that are encoded at once, and the level of compression.
 CHUNK, LEVEL = 1024, 3
+#: Put before each chunk: without it, zstandard leaves very short texts as they are.
+FILLER = bytes(64)
 MOST_LANGUAGES = 500
 UNKNOWN = "und"
 _NO_WORD = re.compile(r"[\W\d_]+")
@@ -42,8 +45,8 @@ _NO_WORD = re.compile(r"[\W\d_]+")
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = PER_LANGUAGE) -> dict:
     """Dictionaries by language and the scale of margins, from labelled rows."""
     known = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    count = known.select(lang).distinct().limit(MOST_LANGUAGES + 1).count()
-    if count > MOST_LANGUAGES:
+    counts = {row[lang]: row["count"] for row in known.groupBy(lang).count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     drawn = Window.partitionBy(lang).orderBy("__draw", key)
     hashed = known.select(key, lang, F.xxhash64(F.col(key).cast("string")).alias("__draw"))
@@ -55,7 +58,7 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     for language, _, found in sorted(cut.collect(), key=lambda row: (row[0], row[1], row[2])):
         pieces.setdefault(language, []).append([bytes(one) for one in found])
     model = {"dictionaries": {}, "scale": 1.0}
-    for language, found in sorted(pieces.items()):
+    for language, found in sorted(pieces.items(), key=lambda one: (-counts[one[0]], one[0])):
         model["dictionaries"][language] = _dictionary([one for at, one in enumerate(found) if at % 8] or found)
     model["scale"] = _scale(model, {language: found[::8] for language, found in pieces.items()})
     return model
@@ -109,7 +112,8 @@ class Judge:
             )
 
     def sizes(self, data: bytes) -> list[int]:
-        chunks = [data[at : at + CHUNK] for at in range(0, len(data), CHUNK)]
+        data = b" %b " % data if data else data
+        chunks = [FILLER + data[at : at + CHUNK] for at in range(0, len(data), CHUNK)]
         return [sum(len(one.compress(chunk)) for chunk in chunks) for one in self.compressors] if chunks else []
 
     def __call__(self, text: str | None, narrow: float) -> tuple[str, float, bool]:
