@@ -118,7 +118,8 @@ def _kmeans(points: np.ndarray, parts: int, random) -> tuple[np.ndarray, np.ndar
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A column of equally long vectors in double precision."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def _wide(points: np.ndarray, norm: float) -> np.ndarray:
@@ -143,7 +144,9 @@ def search(rows: DataFrame, queries: DataFrame, key: str, vector: str, count: in
     known = stored(taking_part(rows, key, vector), "vectors")
     asked = taking_part(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector"))
     total, norm2 = known.agg(F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))).first()
-    norm = float(norm2 or 0) ** 0.5
+    if not total:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    norm = float(norm2) ** 0.5
     drawn = known.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("vector").toArrow()
     tree = Tree(_wide(matrix(drawn["vector"]), norm), min(MOST_LEAVES, max(1, round(total**0.5))))
     shared = context.broadcast(tree)  # at most MOST_LEAVES leaves
