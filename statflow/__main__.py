@@ -32,7 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topic", required=True)
     stream.add_argument("--group", default="statflow")
-    stream.add_argument("--per-trigger", type=int, default=1000)
+    stream.add_argument("--per-trigger", type=int, help="most messages of a trigger; no limit by default")
     stream.add_argument("--checkpoint", required=True, help="on a shared file system")
     stream.add_argument("--dedup", choices=sorted(MODES), default="redelivered")
     stream.add_argument("--delay", default=DELAY)

@@ -60,4 +60,6 @@ def best_thumbnail(thumbnails: Column) -> Column:
 
 
 def thumbnail_url(snippet: Column) -> Column:
-    return best_thumbnail(F.from_json(value(snippet, "thumbnails"), THUMBNAILS))
+    # a list of one element: the text is parsed once, however often its parts are used
+    parsed = F.array(F.from_json(value(snippet, "thumbnails"), THUMBNAILS))
+    return F.transform(parsed, best_thumbnail)[0]

@@ -50,12 +50,16 @@ def lookup_chain(
     ``uploads(uploads_playlist_id, position, video_id)``; ``details(video_id, ...)``.
     A channel asked for twice is looked up twice; keys without a match fall out.
     """
-    page = first_per_key(uploads, "uploads_playlist_id", ["position", "video_id"], per_channel)
-    return (
-        ids.join(channels, "channel_id")
-        .join(page, "uploads_playlist_id")
-        .join(details, "video_id")
-    )
+    asked = ids.join(channels, "channel_id")
+    page = first_page(uploads, asked, per_channel)
+    return asked.join(page, "uploads_playlist_id").join(details, "video_id")
+
+
+def first_page(uploads: DataFrame, asked: DataFrame, limit: int = BATCH_SIZE) -> DataFrame:
+    """The first ``limit`` uploads of the lists in ``asked``; other lists are not ranked."""
+    lists = asked.select("uploads_playlist_id").distinct()
+    wanted = uploads.join(lists, "uploads_playlist_id", "left_semi")
+    return first_per_key(wanted, "uploads_playlist_id", ["position", "video_id"], limit)
 
 
 def dropped_keys(
@@ -68,13 +72,12 @@ def dropped_keys(
     """What ``lookup_chain`` leaves out, and at which step."""
     asked = ids.select("channel_id")
     found = asked.join(channels, "channel_id")
-    lists = uploads.select("uploads_playlist_id").distinct()
-    page = first_per_key(uploads, "uploads_playlist_id", ["position", "video_id"], per_channel)
+    page = first_page(uploads, found, per_channel)
     steps = [
         asked.join(channels, "channel_id", "left_anti").select(
             F.lit("channel_not_found").alias("reason"), "channel_id", F.lit(None).alias("video_id")
         ),
-        found.join(lists, "uploads_playlist_id", "left_anti").select(
+        found.join(page, "uploads_playlist_id", "left_anti").select(
             F.lit("no_uploads").alias("reason"), "channel_id", F.lit(None).alias("video_id")
         ),
         found.join(page, "uploads_playlist_id")
@@ -84,7 +87,11 @@ def dropped_keys(
     return reduce(DataFrame.unionByName, steps)
 
 
-class TransientError(Exception):
+class RequestError(Exception):
+    """A request that fails however often it is repeated."""
+
+
+class TransientError(RequestError):
     """A request that may succeed when repeated."""
 
 
@@ -132,7 +139,7 @@ def enrich_batches(
 ) -> DataFrame:
     """Details for each key from an outside service, ``batch`` keys per request.
 
-    One client per partition.  A batch that keeps failing is skipped: its keys come back
+    One client per partition.  A batch that is refused or keeps failing is skipped: its keys come back
     with ``ok`` false and the error.  Keys the service does not know give no row.
     """
     fields = [T.StructField(key, T.StringType()), *(f for f in result.fields if f.name != key)]
@@ -155,7 +162,7 @@ def enrich_batches(
             try:
                 found = _fetch_with_retry(client, chunk, sleep)
                 yield [{**row, "ok": True, "error": None} for row in found]
-            except TransientError as error:
+            except RequestError as error:  # also one that was repeated in vain
                 yield failed(chunk, str(error))
             except QuotaExhausted as error:
                 spent = str(error)

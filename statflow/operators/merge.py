@@ -71,8 +71,14 @@ def upsert(
     order: Sequence[str],
     newer_by: str | None = None,
 ) -> DataFrame:
-    """Target after the batch.  With ``newer_by`` an older row does not update a newer one."""
-    folded = fold_batch(batch, policy.key, order, policy.first, policy.last)
+    """Target after the batch.  With ``newer_by`` an older row does not update a newer one.
+
+    Rows without a key are not stored, so that a repeated batch changes nothing; the callers
+    set them aside before, as rows that break the primary key.
+    """
+    last_order = (newer_by, *order) if newer_by is not None else order
+    keyed = batch.where(F.col(policy.key).isNotNull())
+    folded = fold_batch(keyed, policy.key, order, policy.first, policy.last, last_order)
     left = target.withColumn(_TARGET, F.lit(True)).alias("t")
     right = folded.withColumn(_SOURCE, F.lit(True)).alias("s")
     joined = left.join(right, F.col(f"t.{policy.key}") == F.col(f"s.{policy.key}"), "full_outer")

@@ -5,6 +5,8 @@ Each takes the run instant and returns counts.  The stream is in ``statflow.stre
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -15,9 +17,9 @@ from statflow.functions.instants import instant
 from statflow.operators import enrich, lookup, merge, parse, quality, queue
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import DEFAULT_CATEGORY, VIDEO_TRENDS, VIEW_TIMESERIES
-from statflow.session import scratch_path
+from statflow.session import shared_folder
 from statflow.sinks.metrics import write_counted
-from statflow.sinks.series import append_series, append_trends, read_series
+from statflow.sinks.series import append_series, append_trends, read_series, run_name
 from statflow.sinks.tables import overwrite_table
 from statflow.sources.tables import Database, Split, read_table
 
@@ -46,7 +48,7 @@ def refresh_channels(
         counts = _clean_and_bad(checked)
         if counts["affected"]:
             batch = quality.clean(checked)
-            table.publish(merge.upsert_channels(table.read(), batch, as_of, order))
+            table.update(lambda rows: merge.upsert_channels(rows, batch, as_of, order))
         return counts
     finally:
         checked.unpersist()
@@ -96,9 +98,7 @@ def ingest_uploads(
     that the channel table lacks are quarantined.
     """
     seeds = queue.clean_seeds(queue.active_seeds(channel_stats))
-    page = lookup.first_per_key(
-        uploads, "uploads_playlist_id", ["position", "video_id"], per_channel
-    )
+    page = lookup.first_page(uploads, seeds, per_channel)
     found = seeds.join(page, "uploads_playlist_id").select(
         "channel_id", "position", "video_id", "published_at"
     )
@@ -115,7 +115,7 @@ def ingest_uploads(
                 "video_id", "channel_id", "published_at", "position"
             )
             order = ("channel_id", "position", "published_at")
-            table.publish(merge.upsert_queue(table.read(), batch, as_of, order))
+            table.update(lambda rows: merge.upsert_queue(rows, batch, as_of, order))
         return counts
     finally:
         checked.unpersist()
@@ -131,28 +131,70 @@ def collect_snapshots(
     """Measures the due videos, stores the snapshots, and sets the next poll times.
 
     ``measure`` takes the due rows and returns video id and counters of those it could read.
-    Its answers are landed as they come, so that nothing is asked for twice.  The series is
-    written next, under the name of the run, and the queue is updated from what was written:
-    a run that is repeated after a failure neither doubles snapshots nor moves a video that
-    was not measured.
+    Its answers are landed as they come, below a name that belongs to the series and the run.
+    A run that is repeated asks only for what has no answer yet, writes the series of the run
+    from all answers, those of earlier attempts included, and moves the videos in it: nothing is
+    asked for twice, no snapshot is lost or doubled, and a video that was not measured stays due.
+    The queue is updated as it is then; what other jobs wrote meanwhile stays.  Returns the number
+    of snapshots that the run has stored.
     """
-    waiting = table.read()
-    due = queue.due_videos(waiting, as_of, only_active).select("video_id", "published_at")
+    waiting, _ = table.snapshot()
     spark = waiting.sparkSession
-    landed = scratch_path(spark, "measured")
+    landing = _Landing(spark, series_path, as_of)
+    earlier = read_series(spark, series_path, VIEW_TIMESERIES, as_of).select(*VIEW_TIMESERIES.names)
+    if not landing.attempts() and not earlier.isEmpty():
+        landing.add(earlier)  # the run ended well before; its folder is going to be replaced
+    due = queue.due_videos(waiting, as_of, only_active).select("video_id", "published_at")
+    known = landing.answers()
+    asked = due.join(known.select("video_id").distinct(), "video_id", "left_anti")
     counters = (F.col(name).cast("bigint").alias(name) for name in VIEW_TIMESERIES.names[2:])
-    measure(due).select(
-        "video_id", instant(as_of).alias("scraped_at"), *counters
-    ).write.parquet(landed)
-    answers = spark.read.schema(VIEW_TIMESERIES).parquet(landed)
-    stored = append_series(answers, series_path, as_of)
+    landing.add(measure(asked).select("video_id", instant(as_of).alias("scraped_at"), *counters))
+    answers = landing.answers()
+    stored = append_series(answers, series_path, as_of) if not answers.isEmpty() else 0
     if stored:
-        written = read_series(spark, series_path, VIEW_TIMESERIES, as_of)
-        measured = due.join(written.select("video_id").distinct(), "video_id", "left_semi")
-        table.publish(merge.apply_cadence(waiting, measured, as_of))
+        written = read_series(spark, series_path, VIEW_TIMESERIES, as_of).select("video_id").distinct()
+
+        def moved(rows: DataFrame) -> DataFrame:
+            # as it is now: another job may have made a video due again, or known
+            measured = queue.due_videos(rows, as_of, only_active).select("video_id", "published_at")
+            return merge.apply_cadence(rows, measured.join(written, "video_id", "left_semi"), as_of)
+
+        if not due.join(written, "video_id", "left_semi").isEmpty():
+            table.update(moved)
+    landing.remove()
     return stored
 
 
+class _Landing:
+    """Answers of one run, a folder per attempt; an attempt counts once it is complete."""
+
+    def __init__(self, spark: SparkSession, series_path: str, as_of: datetime | str) -> None:
+        name = hashlib.sha256(series_path.rstrip("/").encode()).hexdigest()[:24]
+        self.spark = spark
+        self.root = f"{shared_folder(spark).rstrip('/')}/statflow-measured-{name}-{run_name(as_of)}"
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._fs = self._path(self.root).getFileSystem(conf)
+
+    def attempts(self) -> list[str]:
+        if not self._fs.exists(self._path(self.root)):
+            return []
+        found = [status.getPath().toString() for status in self._fs.listStatus(self._path(self.root))]
+        return sorted(path for path in found if self._fs.exists(self._path(f"{path}/_SUCCESS")))
+
+    def add(self, answers: DataFrame) -> None:
+        answers.write.parquet(f"{self.root}/{uuid.uuid4().hex}")
+
+    def answers(self) -> DataFrame:
+        attempts = self.attempts()
+        if not attempts:
+            return self.spark.createDataFrame([], VIEW_TIMESERIES)
+        return self.spark.read.schema(VIEW_TIMESERIES).parquet(*attempts)
+
+    def remove(self) -> None:
+        self._fs.delete(self._path(self.root), True)
+
+
 def collect_trends(
     ids: DataFrame,
     channels: DataFrame,
@@ -162,14 +204,15 @@ def collect_trends(
     as_of: datetime | str,
     category: str = DEFAULT_CATEGORY,
 ) -> dict[str, object]:
-    """Details of the latest uploads of the given channels as new trend rows."""
-    details = parse.flatten_videos(items, as_of, category)
+    """Details of the latest uploads of the given channels as new trend rows.
+
+    Only items that are asked for are flattened and checked.
+    """
+    asked = ids.select("channel_id").join(channels.select("channel_id", "uploads_playlist_id"), "channel_id")
+    page = lookup.first_page(uploads.select("uploads_playlist_id", "position", "video_id"), asked)
+    wanted = asked.join(page, "uploads_playlist_id")
+    named = wanted.select(F.col("video_id").alias("id")).distinct()
+    details = parse.flatten_videos(items.join(named, "id", "left_semi"), as_of, category)
     checked = quality.check_rows(details, quality.row_rules("video_trends"))
-    good = quality.clean(parse.readable(checked))
-    rows = lookup.lookup_chain(
-        ids.select("channel_id"),
-        channels.select("channel_id", "uploads_playlist_id"),
-        uploads.select("uploads_playlist_id", "position", "video_id"),
-        good,
-    )
+    rows = wanted.join(quality.clean(parse.readable(checked)), "video_id")
     return append_trends(rows.select(*VIDEO_TRENDS.names), path, as_of)

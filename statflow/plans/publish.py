@@ -2,7 +2,9 @@
 
 A version is a list of folders, named by a small commit file.  Readers follow the newest
 commit, so they see all of a version or nothing of it, and nobody overwrites a folder that
-is being read.  One writer at a time is expected; a second one fails on the commit.
+is being read.  A commit follows the version its writer has read: if another writer was faster,
+the commit fails and nothing is published.  ``update`` then reads again and applies the change
+again, so jobs that write the same table at the same time lose nothing.
 
 ``publish`` writes the whole table.  ``add_layer`` writes only new rows: what a small batch
 costs then depends on the batch, not on the table.  Readers fold the layers by key, and
@@ -15,11 +17,13 @@ in place.
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +36,11 @@ _LAYER = "__layer"
 
 
 class PublishConflict(RuntimeError):
-    """Another writer published the same version first."""
+    """Another writer published a version after the one that was read."""
+
+
+# attempts of an update that other writers keep overtaking
+ATTEMPTS = 10
 
 
 @dataclass(frozen=True)
@@ -41,7 +49,7 @@ class Commit:
     folders: list[str]
     # rows written for this version
     rows: int
-    # last micro-batch of each stream that went into this version
+    # last micro-batch of each stream and checkpoint that went into this version
     batches: dict[str, int] = field(default_factory=dict)
 
 
@@ -84,6 +92,7 @@ class VersionedTable:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def _load(self, version: int) -> Commit:
+        # JSON that is cut short is a ValueError
         stream = self._fs.open(self._commit_path(version))
         try:
             text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -92,14 +101,26 @@ class VersionedTable:
         return Commit(**json.loads(text))
 
     def current(self) -> Commit | None:
-        versions = self._versions()
-        return self._load(versions[-1]) if versions else None
+        # a commit file that is still being written is not there yet
+        for version in reversed(self._versions()):
+            try:
+                return self._load(version)
+            except ValueError:
+                continue
+        return None
 
     def _folder(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
 
     def read(self) -> DataFrame:
+        return self._rows(self.current())
+
+    def snapshot(self) -> tuple[DataFrame, int]:
+        """The rows and the version they belong to, 0 before the first."""
         commit = self.current()
+        return self._rows(commit), commit.version if commit else 0
+
+    def _rows(self, commit: Commit | None) -> DataFrame:
         if commit is None:
             return self.spark.createDataFrame([], self.schema)
         if len(commit.folders) == 1:
@@ -119,26 +140,56 @@ class VersionedTable:
         commit = self.current()
         return commit is not None and commit.batches.get(stream, -1) >= batch_id
 
-    def publish(self, df: DataFrame, stream: str | None = None, batch_id: int = -1) -> Commit:
-        """Writes ``df`` as the whole next version and makes it the current one."""
-        return self._advance(df, [], stream, batch_id)
+    def publish(
+        self, df: DataFrame, stream: str | None = None, batch_id: int = -1, base: int | None = None
+    ) -> Commit:
+        """Writes ``df`` as the whole next version and makes it the current one.
+
+        ``base`` is the version ``df`` was derived from; a newer one is a ``PublishConflict``.
+        Without it ``df`` stands for itself and follows what is current now.
+        """
+        return self._advance(df, self._basis(base), False, stream, batch_id)
+
+    def update(self, change: Callable[[DataFrame], DataFrame]) -> Commit:
+        """Publishes ``change`` of the rows; after a conflict, of the rows as they are then."""
+        for attempt in range(ATTEMPTS):
+            rows, base = self.snapshot()
+            try:
+                return self.publish(change(rows), base=base)
+            except PublishConflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
+        raise AssertionError("unreachable")
 
     def add_layer(self, df: DataFrame, stream: str | None = None, batch_id: int = -1) -> Commit:
         """Adds rows, one per key, on top of the current version."""
         if self.policy is None:
             raise ValueError("a table without a merge policy has no layers")
-        before = self.current()
-        return self._advance(df, before.folders if before else [], stream, batch_id)
+        if self.policy.on_update:
+            raise ValueError("layers can't hold constants that an update sets")
+        for attempt in range(ATTEMPTS):
+            try:
+                return self._advance(df, self.current(), True, stream, batch_id)
+            except PublishConflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
+        raise AssertionError("unreachable")
 
     def compact(self) -> Commit:
-        """The same rows in one folder."""
-        return self.publish(self.read())
+        """The same rows in one folder.  To be run beside streams, not by them."""
+        return self.update(lambda rows: rows)
+
+    def _basis(self, base: int | None) -> Commit | None:
+        before = self.current()
+        if base is not None and base != (before.version if before else 0):
+            raise PublishConflict(f"{self.root} has moved on from version {base}")
+        return before
 
     def _advance(
-        self, df: DataFrame, below: list[str], stream: str | None, batch_id: int
+        self, df: DataFrame, before: Commit | None, above: bool, stream: str | None, batch_id: int
     ) -> Commit:
-        before = self.current()
         version = before.version + 1 if before else 1
+        below = before.folders if before and above else []
         folder = f"v{version:012d}-{uuid.uuid4().hex}"
         laid_out = df.select(*self.schema.names)
         if self.sorted_by:
@@ -155,23 +206,57 @@ class VersionedTable:
         return commit
 
     def _write_commit(self, commit: Commit) -> None:
-        # written aside and renamed, so a commit file is never seen half written
+        """Creates the commit file, which must not exist: of two writers one fails."""
+        final = self._commit_path(commit.version)
+        data = bytearray(json.dumps(asdict(commit)).encode("utf-8"))
+        scheme = self._fs.getUri().getScheme()
+        if scheme not in ("file", "hdfs", "viewfs"):
+            # an object store: the file appears as a whole, and only if there is none
+            self._create(final, data)
+            return
         aside = self._path(f"{self._log}/.{commit.folders[-1]}")
-        stream = self._fs.create(aside, True)
+        self._create(aside, data)
         try:
-            stream.write(bytearray(json.dumps(asdict(commit)).encode("utf-8")))
+            if scheme == "file":
+                paths = self._jvm.java.nio.file.Paths
+                local = (paths.get(p.toUri().getPath(), self._no_more) for p in (final, aside))
+                self._jvm.java.nio.file.Files.createLink(*local)
+            elif not self._fs.rename(aside, final):
+                raise PublishConflict(f"version {commit.version} of {self.root} exists")
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise PublishConflict(f"version {commit.version} of {self.root} exists") from None
+            raise
         finally:
-            stream.close()
-        final = self._commit_path(commit.version)
-        if self._fs.exists(final) or not self._fs.rename(aside, final):
             self._fs.delete(aside, False)
-            raise PublishConflict(f"version {commit.version} of {self.root} exists")
 
-    def expire(self, keep: int = 2) -> int:
-        """Removes all but the newest ``keep`` versions; returns how many went."""
+    @property
+    def _no_more(self):
+        return self.spark.sparkContext._gateway.new_array(self._jvm.java.lang.String, 0)
+
+    def _create(self, path, data: bytearray) -> None:
+        try:
+            stream = self._fs.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise PublishConflict(f"{path} exists") from None
+            raise
+        try:
+            stream.write(data)
+        finally:
+            stream.close()
+
+    def expire(self, hours: float = 24.0) -> int:
+        """Removes versions that were replaced more than ``hours`` ago; returns how many went.
+
+        A reader that began before a version was replaced has that long to finish.  To be run
+        beside the writers, not by them.
+        """
         versions = self._versions()
-        old, kept = versions[: -max(keep, 1)], versions[-max(keep, 1) :]
-        used = {folder for version in kept for folder in self._load(version).folders}
+        limit = time.time() - hours * 3600
+        written = [self._fs.getFileStatus(self._commit_path(v)).getModificationTime() / 1000 for v in versions]
+        old = [version for version, replaced in zip(versions, written[1:]) if replaced < limit]
+        used = {folder for version in versions if version not in old for folder in self._load(version).folders}
         for version in old:
             for folder in self._load(version).folders:
                 if folder not in used:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statflow.functions.instants import instant, utc_date
+from statflow.functions.instants import utc_date
 from statflow.sinks.metrics import write_counted
 
 RUN = "run_id"
 TREND_DATE = "captured_date"
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def series_layout(
@@ -36,8 +37,10 @@ def series_layout(
     return dated.repartitionByRange(wanted, *order, *rest).sortWithinPartitions(*order)
 
 
-def run_name(as_of: datetime | str) -> Column:
-    return F.concat(F.lit("r"), F.unix_micros(instant(as_of)).cast("string"))
+def run_name(as_of: datetime | str) -> str:
+    moment = datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    moment = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+    return f"r{(moment - _EPOCH) // timedelta(microseconds=1)}"
 
 
 def read_series(
@@ -47,10 +50,21 @@ def read_series(
     as_of: datetime | str | None = None,
     date: str = "scraped_date",
 ) -> DataFrame:
-    """The series, or only the rows of one run."""
+    """The series, or only the rows of one run, of which only its folder is listed."""
     parts = [T.StructField(date, T.DateType()), T.StructField(RUN, T.StringType())]
-    rows = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
-    return rows if as_of is None else rows.where(F.col(RUN) == run_name(as_of))
+    reader = spark.read.schema(T.StructType([*schema.fields, *parts])).option("basePath", path)
+    if as_of is None:
+        return reader.parquet(path)
+    folder = f"{path}/{RUN}={run_name(as_of)}"
+    if not _exists(spark, folder):
+        return spark.createDataFrame([], T.StructType([*schema.fields, *parts]))
+    return reader.parquet(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.exists(jpath)
 
 
 def append_series(
@@ -62,22 +76,16 @@ def append_series(
     date: str = "scraped_date",
     partitions: int | None = None,
 ) -> int:
-    """Adds the rows of one run below a folder per day, and returns their number.
+    """Adds the rows of one run, in a folder of its own with one below it per day.
 
-    The run instant names a sub-folder, which a repeated run replaces: no row twice.
+    Returns their number.  A repeated run replaces the folder as a whole, also with fewer days
+    or no rows: ``df`` must hold all rows of the run.
     """
     laid_out = series_layout(df, time, key, date, partitions)
-    tagged = laid_out.withColumn(RUN, run_name(as_of))
-
-    def write(rows: DataFrame) -> None:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(date, RUN)
-            .parquet(path)
-        )
-
-    return write_counted(tagged, write)
+    folder = f"{path}/{RUN}={run_name(as_of)}"
+    return write_counted(
+        laid_out, lambda rows: rows.write.mode("overwrite").partitionBy(date).parquet(folder)
+    )
 
 
 def append_trends(

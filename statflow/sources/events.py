@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 STREAM_FRAME = "key binary, value binary, timestamp timestamp"
 
 
-def broker_options(servers: str, topic: str, group: str, per_trigger: int = 1000) -> dict[str, str]:
+def broker_options(
+    servers: str, topic: str, group: str, per_trigger: int | None = None
+) -> dict[str, str]:
+    """``per_trigger`` bounds the messages of a micro-batch; without it a trigger takes all there are."""
+    limit = {} if per_trigger is None else {"maxOffsetsPerTrigger": str(per_trigger)}
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "kafka.group.id": group,
-        "maxOffsetsPerTrigger": str(per_trigger),
+        **limit,
     }
 
 

@@ -27,6 +27,7 @@ ARRIVAL = ("kafka_timestamp", "processed_at", *(n for n in WIRE.names if n != "p
 LEDGER = T.StructType(
     [
         T.StructField("stream", T.StringType()),
+        T.StructField("checkpoint", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("attempt", T.StringType()),
         T.StructField("rows", T.LongType()),
@@ -34,6 +35,19 @@ LEDGER = T.StructType(
 )
 
 
+class UnknownCheckpoint(RuntimeError):
+    """A stream goes on with another checkpoint than the one its target was written with.
+
+    Batch numbers of the two say nothing about each other: going on would skip rows or store
+    them twice.  Give the stream a new name, or its old checkpoint back.
+    """
+
+
+def checkpoint_of(batch: DataFrame) -> str:
+    """The id that Spark keeps in the checkpoint of the running stream, '' outside of one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 class Store(Protocol):
     """Tables that can be appended to and read."""
 
@@ -96,8 +110,8 @@ class AppendSink:
         return self.store.read(spark, self.ledger, LEDGER).where(F.col("stream") == self.stream)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self._was_written(spark, batch_id):
+        spark, checkpoint = batch.sparkSession, checkpoint_of(batch)
+        if self._was_written(spark, checkpoint, batch_id):
             return
         attempt = uuid.uuid4().hex
         tagged = batch.withColumns(
@@ -110,18 +124,21 @@ class AppendSink:
         # counted while written: the batch, with its stateful part, is evaluated once
         rows = write_counted(tagged, lambda df: self.store.append(df, self.table))
         if rows:
-            line = spark.createDataFrame([(self.stream, batch_id, attempt, rows)], LEDGER)
+            line = spark.createDataFrame([(self.stream, checkpoint, batch_id, attempt, rows)], LEDGER)
             self.store.append(line.coalesce(1), self.ledger)
-        self._seen["batch_id"] = batch_id
+        self._seen[checkpoint] = batch_id
 
-    def _was_written(self, spark: SparkSession, batch_id: int) -> bool:
-        if "batch_id" in self._seen:
-            return batch_id <= self._seen["batch_id"]
-        return not self.committed(spark).where(F.col("batch_id") == batch_id).isEmpty()
+    def _was_written(self, spark: SparkSession, checkpoint: str, batch_id: int) -> bool:
+        if checkpoint in self._seen:
+            return batch_id <= self._seen[checkpoint]
+        lines = self.committed(spark)
+        if not lines.where(F.col("checkpoint") != checkpoint).isEmpty():
+            raise UnknownCheckpoint(f"{self.stream} in {self.table}")
+        return not lines.where(F.col("batch_id") == batch_id).isEmpty()
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """Rows of finished attempts."""
-        tags = LEDGER.fields[:3]
+        tags = [f for f in LEDGER.fields if f.name in ("stream", "batch_id", "attempt")]
         rows = self.store.read(spark, self.table, T.StructType([*schema.fields, *tags]))
         done = self.committed(spark).select("stream", "batch_id", "attempt")
         return rows.join(done, ["stream", "batch_id", "attempt"], "left_semi").select(
@@ -142,18 +159,22 @@ class CurrentStateSink:
     """Keeps the newest state per channel in a ``state_table``.
 
     A micro-batch is folded to one row per channel and added as a layer, so a trigger costs
-    what the batch costs; every ``compact_every`` layers the table is put together.  The batch
-    number is published in the same commit, so a batch that is delivered again changes nothing.
+    what the batch costs.  The batch number is published in the same commit, so a batch that is
+    delivered again changes nothing.  Layers are put together and old versions removed by a job
+    beside the stream, ``maintain``.
     """
 
     table: VersionedTable
     stream: str
     order: tuple[str, ...] = ARRIVAL
-    compact_every: int = 50
-    keep_versions: int = 2
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.table.seen_batch(self.stream, batch_id):
+        name = f"{self.stream}@{checkpoint_of(batch)}"
+        commit = self.table.current()
+        known = commit.batches if commit else {}
+        if any(one.startswith(f"{self.stream}@") and one != name for one in known):
+            raise UnknownCheckpoint(self.stream)
+        if self.table.seen_batch(name, batch_id):
             return
         policy = self.table.policy
         last_order = ("processed_at", *self.order) if self.table.newer_by else self.order
@@ -168,9 +189,16 @@ class CurrentStateSink:
         try:
             if folded.isEmpty():
                 return
-            commit = self.table.add_layer(folded, self.stream, batch_id)
-            if len(commit.folders) > self.compact_every:
-                self.table.compact()
-            self.table.expire(self.keep_versions)
+            self.table.add_layer(folded, name, batch_id)
         finally:
             folded.unpersist()
+
+
+def maintain(table: VersionedTable, layers: int = 50, hours: float = 24.0) -> int:
+    """Puts the layers of a table together if there are more than ``layers``, and removes versions
+    that were replaced more than ``hours`` ago.  Returns the number of layers that are left."""
+    commit = table.current()
+    if commit is not None and len(commit.folders) > layers:
+        commit = table.compact()
+    table.expire(hours)
+    return len(commit.folders) if commit is not None else 0

@@ -193,3 +193,16 @@ def test_upsert_is_the_row_by_row_merge(spark, before, arrivals):
     assert got == row_by_row(known, arrivals)
     created = {r.channel_id: r.created_at for r in merged.collect()}
     assert {k for k, at in created.items() if at == T0.replace(tzinfo=None)} == set(known)
+
+
+def test_newest_row_wins_over_later_arrival(spark):
+    target = channels(spark, channel("a", "old", "US", 1, T0 + timedelta(hours=5)))
+    rows = [batch_row(1, "a", "ten", "US", 10, T0 + timedelta(hours=10)), batch_row(2, "a", "three", "US", 3, T0 + timedelta(hours=3))]
+    merged = merge.upsert_channels(target, spark.createDataFrame(rows, BATCH), T1, ["n"], newer_only=True)
+    assert merged.first().total_views == 10
+
+
+def test_rows_without_a_key_are_not_stored(spark):
+    batch = spark.createDataFrame([batch_row(1, None, "x", "US", 1), batch_row(2, "a", "y", "US", 2)], BATCH)
+    once = merge.upsert_channels(channels(spark), batch, T1, ["n"])
+    assert once.count() == 1 and merge.upsert_channels(once, batch, T1, ["n"]).count() == 1

@@ -10,7 +10,14 @@ from statflow.operators import parse
 from statflow.session import STREAM_SETTINGS
 from statflow.sources.events import STREAM_FRAME, read_event_files
 from statflow.streaming import dedup, run
-from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore, state_table
+from statflow.streaming.sinks import (
+    AppendSink,
+    CurrentStateSink,
+    FolderStore,
+    UnknownCheckpoint,
+    maintain,
+    state_table,
+)
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -147,9 +154,9 @@ def test_append_sink_hides_an_attempt_that_died(spark, tmp_path):
     assert AppendSink(FolderStore(str(tmp_path)), "rows", "other").read(spark, frame.schema).count() == 0
 
 
-def state(spark, tmp_path, newer_only=False, **options):
+def state(spark, tmp_path, newer_only=False):
     table = state_table(spark, str(tmp_path / "table"), newer_only)
-    return table, CurrentStateSink(table, "s", **options)
+    return table, CurrentStateSink(table, "s")
 
 
 def parsed(spark, *messages):
@@ -198,20 +205,35 @@ def test_older_snapshot_with_newer_only(spark, tmp_path):
 
 @pytest.mark.parametrize("compact_every", [1, 3, 50])
 def test_layers_fold_like_upserts(spark, tmp_path, compact_every):
-    table, sink = state(spark, tmp_path, compact_every=compact_every)
+    table, sink = state(spark, tmp_path)
     for batch, (a, b) in enumerate([(3, None), (1, 5), (None, 2), (9, 9), (4, None)]):
         feed = [("a", a, "US"), ("b", b, f"C{batch}")]
         rows = [message(k, v, v, country=c) for k, v, c in feed if v is not None]
         sink(parsed(spark, *rows), batch)
+        assert maintain(table, compact_every) <= max(compact_every, 1)
     got = {r.channel_id: (r.total_views, r.country, r.created_at.hour) for r in table.read().collect()}
     assert got == {"a": (4, "US", 3), "b": (9, "C1", 5)}
-    assert len(table.current().folders) <= max(compact_every, 1)
-    assert table.seen_batch("s", 4)
+    assert table.seen_batch("s@", 4)
 
 
 def test_layers_with_newer_only(spark, tmp_path):
-    table, sink = state(spark, tmp_path, newer_only=True, compact_every=3)
+    table, sink = state(spark, tmp_path, newer_only=True)
     for batch, hour in enumerate([3, 1, 7, 2, 5]):
         sink(parsed(spark, message("a", hour, hour, country=f"C{hour}")), batch)
     row = table.read().first()
     assert (row.total_views, row.country) == (7, "C3")
+
+
+def test_a_new_checkpoint_under_an_old_name_is_refused(spark, tmp_path):
+    sinks = {"rows": AppendSink(FolderStore(str(tmp_path / "rows")), "t", "s"), "state": state(spark, tmp_path)[1]}
+    for name, sink in sinks.items():
+        first = Run(spark, str(tmp_path / name))
+        first.handler = sink
+        first.feed(message("a", 0, 1))
+        first.feed(message("a", 1, 5))  # the same checkpoint goes on
+        again = Run(spark, str(tmp_path / f"{name}2"))
+        again.handler = sink
+        with pytest.raises(Exception, match="UnknownCheckpoint"):
+            again.feed(message("a", 2, 6))
+    with pytest.raises(UnknownCheckpoint):
+        AppendSink(FolderStore(str(tmp_path / "rows")), "t", "s")(spark.range(1), 0)
