@@ -10,6 +10,7 @@ from statflow.catalog.registry import Tables, query
 from statflow.functions.instants import instant
 from statflow.operators import ledger, lookup, trends
 from statflow.sinks.metrics import run_metrics
+from statflow.sources import replies as replies_
 
 # asked for: every second channel, far beyond those that exist, and some of them twice
 _IDS_CTE = """, ids as (select cast(c_custkey * 2 as string) as channel_id from customer
@@ -66,6 +67,38 @@ def dropped_keys(t: Tables):
     return lookup.dropped_keys(*_chain(t))
 
 
+@query(
+    "j1_from_replies",
+    cte("uploads")
+    + """, ids as (select cast(c_custkey as varchar) as channel_id, c_custkey % 5 as kind from customer),
+    lists as (select channel_id, 'UU' || channel_id as uploads_playlist_id from ids where kind > 1)
+    select l.channel_id, l.uploads_playlist_id, cast(nth - 1 as int) as position, video_id from lists l
+    join (select uploads_playlist_id, video_id,
+        row_number() over (partition by uploads_playlist_id order by position, video_id) as nth from uploads) u
+      on l.uploads_playlist_id = u.uploads_playlist_id where nth <= 50""",
+)
+def chain_from_replies(t: Tables):
+    """Raw replies of both kinds to the inputs of the lookup; the first item of a detail counts."""
+    replies = t.raw("customer").selectExpr(
+        "cast(c_custkey as string) as channel_id",
+        """case c_custkey % 5 when 0 then '{"items": []}' when 1 then '{"error": {}}' else
+        concat('{"items": [{"contentDetails": {"relatedPlaylists": {"uploads": "UU', c_custkey,
+          '"}}}, {"contentDetails": {"relatedPlaylists": {"uploads": "other"}}}]}') end as reply""",
+    )
+    lists = replies_.uploads_lists(replies, "reply", "channel_id")
+    order = F.sort_array(F.collect_list(F.struct("position", "video_id")))
+    pages = fixture(t, "uploads").groupBy("uploads_playlist_id").agg(order.alias("page"))
+    item = "named_struct('contentDetails', named_struct('videoId', p.video_id))"
+    pages = pages.selectExpr(
+        "uploads_playlist_id", f"to_json(named_struct('items', transform(slice(page, 1, 60), p -> {item}))) as reply"
+    )
+    uploads = replies_.uploads_positions(pages, "reply", "uploads_playlist_id")
+    asked = lists.select("channel_id", "uploads_playlist_id")
+    return asked.join(lookup.first_page(uploads, asked), "uploads_playlist_id").select(
+        "channel_id", "uploads_playlist_id", "position", "video_id"
+    )
+
+
 @query(
     "n1_latest_videos",
     cte("uploads")
@@ -113,8 +146,8 @@ def growth(t: Tables):
 
 @query("n3_growth_hot", cte("hot_snapshots") + _GROWTH.format("hot_snapshots"))
 def growth_hot(t: Tables):
-    """One video holds a third of all snapshots and is split over tasks."""
-    return trends.growth(fixture(t, "hot_snapshots"), max_rows_per_key=1000)
+    """One video holds a third of all snapshots; the range partitioning splits it."""
+    return trends.growth(fixture(t, "hot_snapshots"))
 
 
 _COPIES = [
@@ -132,7 +165,7 @@ _COPIES = [
 )
 def growth_copies(t: Tables):
     """Few videos with very many equal snapshots."""
-    return trends.growth(t.view("lineitem", _COPIES), max_rows_per_key=1000)
+    return trends.growth(t.view("lineitem", _COPIES))
 
 
 @query(
@@ -190,3 +223,24 @@ def enrich_batches(t: Tables):
     )
     ids = t.raw("orders").select(F.col("o_orderkey").cast("string").alias("video_id"))
     return lookup.enrich_batches(ids, "video_id", FormulaClient, result)
+
+
+@query(
+    "u1_enrich_failures",
+    """select cast(o_orderkey as string) as video_id,
+      case when o_orderkey % 100 < 50 then o_orderkey * 3 end as view_count, o_orderkey % 100 < 50 as ok,
+      case when o_orderkey % 100 >= 50 then '400 bad request' end as error
+    from orders""",
+)
+def enrich_failures(t: Tables):
+    """A request that is refused for good costs its own keys only, and is not repeated."""
+
+    class HalfRefusing:
+        def fetch(self, keys):
+            if int(keys[0]) % 100 >= 50:
+                raise lookup.RequestError("400 bad request")
+            return [{"video_id": key, "view_count": int(key) * 3} for key in keys]
+
+    result = T.StructType([T.StructField("view_count", T.LongType())])
+    ids = t.raw("orders").select(F.col("o_orderkey").cast("string").alias("video_id"))
+    return lookup.enrich_batches(ids, "video_id", HalfRefusing, result, batch=1)

@@ -67,7 +67,8 @@ def upsert_channels(t: Tables):
     + """, target as (select channel_id, channel_title, timestamp '2024-01-15 12:00:00' as processed_at
       from (select *, row_number() over (partition by channel_id order by event_id) as nth from channel_obs)
       where nth = 1),
-    batch as (select * from (select *, row_number() over (partition by channel_id order by event_id desc) as nth
+    batch as (select * from (select *, row_number() over (partition by channel_id
+        order by processed_at desc, event_id * 7919 % 100003 desc) as nth
       from channel_obs where processed_at < timestamp '2024-01-15 00:00:00'
         or country is null) where nth = 1)
     select t.channel_id,
@@ -76,16 +77,16 @@ def upsert_channels(t: Tables):
     from target t left join batch s on t.channel_id = s.channel_id""",
 )
 def upsert_newer_only(t: Tables):
-    """A batch of old snapshots, and new ones for channels without a country."""
+    """A batch of old snapshots, and new ones for channels without a country, in shuffled arrival."""
     observed = fixture(t, "channel_obs")
     oldest = merge.fold_batch(observed, "channel_id", ("event_id",), first=("channel_title",))
     target = oldest.withColumn("processed_at", F.lit("2024-01-15 12:00:00").cast("timestamp"))
     old = F.col("processed_at") < F.lit("2024-01-15 00:00:00").cast("timestamp")
     return merge.upsert_channels(
         target,
-        observed.where(old | F.col("country").isNull()),
+        observed.where(old | F.col("country").isNull()).withColumn("arrival", F.col("event_id") * 7919 % 100003),
         OBSERVED,
-        ("event_id",),
+        ("arrival",),
         newer_only=True,
     )
 

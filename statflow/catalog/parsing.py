@@ -148,8 +148,8 @@ def wire_round_trip(t: Tables):
     rows = fixture(t, "channel_obs").drop("event_id")
     sent = parse.wire_frame(rows)
     arrived = sent.withColumn("at", F.get_json_object("value", "$.processed_at").cast("timestamp"))
-    back = parse.parse_messages(as_event_frame(arrived, "key", "value", "at"))
-    return back.withColumn("key", F.col("channel_id"))
+    back = parse.parse_messages(as_event_frame(arrived, "key", "value", "at"), "key")
+    return back.withColumn("key", F.col("key").cast("string"))
 
 
 # ---------------------------------------------------------------------------
@@ -161,6 +161,7 @@ def _json(column):
     return F.replace(F.to_json(column), F.lit('"@null@"'), F.lit("null"))
 
 
+# Key names of API objects
 _CHANNEL_OBJECT = """named_struct(
   'id', case when c_custkey % 19 <> 0 then concat('UC', cast(c_custkey as string)) end,
   'snippet', case when c_custkey % 11 <> 0 then named_struct(
@@ -206,6 +207,7 @@ def flatten_channels(t: Tables):
     return flat.withColumn("bad", F.array_join(parse.BAD_FIELDS, ",")).drop(parse.BAD_FIELDS)
 
 
+# Key names of API objects
 _VIDEO_OBJECT = """named_struct(
   'id', case when p_partkey % 41 <> 0 then concat('v', cast(p_partkey as string)) end,
   'snippet', case when p_partkey % 37 <> 0 then named_struct(

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from statflow.catalog.fixtures import RUN, RUN_SQL, cte, fixture
 from statflow.catalog.registry import Tables, query
 from statflow.functions.instants import hours_later, instant, poll_interval_hours
-from statflow.operators import lookup, merge, queue
-from statflow.schemas import DEFAULT_CATEGORY
+from statflow.operators import lookup, merge, parse, queue
+from statflow.plans.jobs import ingest_uploads
+from statflow.plans.publish import VersionedTable
+from statflow.schemas import DEFAULT_CATEGORY, VIDEOS
+from statflow.session import scratch_path
 
 _AGE_SQL = f"(epoch_us({RUN_SQL}) - epoch_us(published_at))"
 _HOUR = 3_600_000_000
@@ -126,13 +129,24 @@ def later(t: Tables):
     f"""select p_partkey, {RUN_SQL} as captured_at, 'Data Science & AI' as project_category from part""",
 )
 def run_constants(t: Tables):
-    return t.raw("part").select(
-        "p_partkey",
-        instant(RUN).alias("captured_at"),
-        F.lit(DEFAULT_CATEGORY).alias("project_category"),
+    empty = {name: F.lit(None).cast("map<string,string>") for name in ("snippet", "statistics", "contentDetails", "status", "topicDetails")}
+    items = t.raw("part").select("p_partkey", F.col("p_partkey").cast("string").alias("id")).withColumns(empty)
+    return parse.flatten_videos(items, RUN, DEFAULT_CATEGORY, "p_partkey").select(
+        "p_partkey", "captured_at", "project_category"
     )
 
 
+_MERGED_SQL = f"""select coalesce(t.video_id, s.video_id) as video_id,
+      case when s.video_id is null then t.channel_id else s.channel_id end as channel_id,
+      case when s.video_id is null then t.published_at else s.published_at end as published_at,
+      case when s.video_id is null then t.status else 'active' end as status,
+      case when s.video_id is null then t.last_polled_at else {RUN_SQL} end as last_polled_at,
+      case when s.video_id is null then t.next_poll_at else {RUN_SQL} end as next_poll_at,
+      cast(case when t.video_id is null then 1 else t.current_interval_hours end as int) as current_interval_hours,
+      case when t.video_id is null then {RUN_SQL} else t.created_at end as created_at
+    from videos t full join batch s on t.video_id = s.video_id"""
+
+
 @query(
     "flow3_ingest",
     cte("seeds", "uploads", "videos")
@@ -145,12 +159,7 @@ def run_constants(t: Tables):
       select p.video_id, c.channel_id, p.published_at,
         row_number() over (partition by p.video_id order by c.channel_id desc, p.position desc) as nth
       from cleaned c join page p on c.uploads_playlist_id = p.uploads_playlist_id) where nth = 1)
-    select coalesce(t.video_id, s.video_id) as video_id,
-      case when s.video_id is null then t.channel_id else s.channel_id end as channel_id,
-      case when s.video_id is null then t.status else 'active' end as status,
-      case when s.video_id is null then t.next_poll_at else {RUN_SQL} end as next_poll_at,
-      cast(case when t.video_id is null then 1 else t.current_interval_hours end as int) as current_interval_hours
-    from videos t full join batch s on t.video_id = s.video_id""",
+    {_MERGED_SQL}""",
 )
 def ingest(t: Tables):
     """Seeds, their cleaned list ids, the first five uploads of each, merged into the queue."""
@@ -159,7 +168,27 @@ def ingest(t: Tables):
         fixture(t, "uploads"), "uploads_playlist_id", ["position", "video_id"], 5
     )
     batch = seeds.join(page, "uploads_playlist_id")
-    merged = merge.upsert_queue(fixture(t, "videos"), batch, RUN, ("channel_id", "position"))
-    return merged.select(
-        "video_id", "channel_id", "status", "next_poll_at", "current_interval_hours"
-    )
+    return merge.upsert_queue(fixture(t, "videos"), batch, RUN, ("channel_id", "position"))
+
+
+@query(
+    "flow3_ingest_job",
+    cte("seeds", "uploads", "videos")
+    + f""", cleaned as (select trim(channel_id) as channel_id,
+        list_extract(string_split(trim(uploads_playlist_id), '='), -1) as uploads_playlist_id
+      from seeds where uploads_playlist_id is not null and uploads_playlist_id <> ''),
+    page as (select * from (select *, row_number() over (partition by uploads_playlist_id
+        order by position, video_id) as nth from uploads) where nth <= 5),
+    batch as (select video_id, channel_id, published_at from (
+      select p.video_id, c.channel_id, p.published_at,
+        row_number() over (partition by p.video_id order by c.channel_id desc, p.position desc) as nth
+      from cleaned c join page p on c.uploads_playlist_id = p.uploads_playlist_id
+      where c.channel_id in (select channel_id from seeds)) where nth = 1)
+    {_MERGED_SQL}""",
+)
+def ingest_job(t: Tables):
+    """The job itself: seeds to uploads, the parent check, the merge and the publication."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "queue"), VIDEOS)
+    table.publish(fixture(t, "videos"))
+    ingest_uploads(fixture(t, "seeds"), fixture(t, "uploads"), table, RUN)
+    return table.read()

@@ -10,10 +10,12 @@ from statflow.catalog.figures import PLAIN_SQL
 from statflow.catalog.fixtures import OBSERVED, OBSERVED_SQL, RUN, RUN_SQL, cte, fixture
 from statflow.catalog.parsing import messages
 from statflow.catalog.registry import Tables, query
+from statflow.functions.instants import instant
+from statflow.operators.merge import upsert_queue
 from statflow.operators.parse import wire_frame
 from statflow.plans.jobs import collect_snapshots, collect_trends, refresh_channels
 from statflow.plans.publish import VersionedTable
-from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
+from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.session import scratch_path
 from statflow.sinks.series import TREND_DATE, append_series, read_series
 from statflow.sources.events import as_event_frame, read_event_files
@@ -23,12 +25,12 @@ from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore,
 
 @query(
     "w4_append_series",
-    cte("snapshots") + "select * replace (date_trunc('year', scraped_at) as scraped_at) from snapshots",
+    cte("snapshots") + "select * from snapshots",
 )
 def series(t: Tables):
     """The series laid out by day and key; writing the run again adds nothing."""
     path = scratch_path(t.spark, "series")
-    rows = fixture(t, "snapshots").withColumn("scraped_at", F.date_trunc("year", "scraped_at"))
+    rows = fixture(t, "snapshots")
     for _ in range(2):
         append_series(rows, path, RUN)
     return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
@@ -101,21 +103,35 @@ def refresh(t: Tables):
 _MEASURED = "cast(v.video_id as bigint) % 13 <> 0"
 
 
-def _collected(t: Tables):
+def _counters(due, factor: int):
+    number = F.col("video_id").cast("bigint")
+    return due.select(
+        "video_id",
+        (number * factor).alias("view_count"),
+        (number * 3).alias("like_count"),
+        number.alias("comment_count"),
+    )
+
+
+def _video_queue(t: Tables) -> VersionedTable:
     table = VersionedTable(t.spark, scratch_path(t.spark, "queue"), VIDEOS)
     table.publish(fixture(t, "videos"))
-    path = scratch_path(t.spark, "series")
+    return table
 
-    def measure(due):
-        number = F.col("video_id").cast("bigint")
-        return due.where(number % 13 != 0).select(
-            "video_id",
-            (number * 25).alias("view_count"),
-            (number * 3).alias("like_count"),
-            number.alias("comment_count"),
-        )
 
-    collect_snapshots(table, measure, path, RUN)
+def _collected(t: Tables):
+    table, path = _video_queue(t), scratch_path(t.spark, "series")
+    number = F.col("video_id").cast("bigint")
+    collect_snapshots(table, lambda due: _counters(due.where(number % 13 != 0), 25), path, RUN)
+    return table, path
+
+
+def _collected_again(t: Tables):
+    """A run that answers in parts: the second attempt gives other counters, for what is left."""
+    table, path = _video_queue(t), scratch_path(t.spark, "series")
+    number = F.col("video_id").cast("bigint")
+    collect_snapshots(table, lambda due: _counters(due.where(number % 5 != 0), 25), path, RUN)
+    collect_snapshots(table, lambda due: _counters(due.where(number % 13 != 0), 40), path, RUN)
     return table, path
 
 
@@ -152,6 +168,57 @@ def collected_queue(t: Tables):
     )
 
 
+_ANSWERED = "(cast(v.video_id as bigint) % 5 <> 0 or cast(v.video_id as bigint) % 13 <> 0)"
+
+
+@query(
+    "flow3_collect_repeated_series",
+    cte("videos")
+    + f"""select video_id, {RUN_SQL} as scraped_at,
+      cast(video_id as bigint) * case when cast(video_id as bigint) % 5 <> 0 then 25 else 40 end as view_count,
+      cast(video_id as bigint) * 3 as like_count, cast(video_id as bigint) as comment_count
+    from videos v where next_poll_at <= {RUN_SQL} and {_ANSWERED}""",
+)
+def repeated_series(t: Tables):
+    _, path = _collected_again(t)
+    return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
+
+
+@query(
+    "flow3_collect_repeated_queue",
+    cte("videos")
+    + f"""select video_id, next_poll_at is not null and next_poll_at <= {RUN_SQL} and {_ANSWERED} as moved
+    from videos v""",
+)
+def repeated_queue(t: Tables):
+    table, _ = _collected_again(t)
+    moved = F.coalesce(F.col("last_polled_at") == instant(RUN), F.lit(False))
+    return table.read().select("video_id", moved.alias("moved"))
+
+
+@query(
+    "m5_concurrent_merge",
+    cte("videos")
+    + f"""select video_id, coalesce(next_poll_at <= {RUN_SQL} and {_MEASURED}, false) as moved, false as new
+    from videos v union all
+    select distinct 'n' || cast(l_partkey as varchar), false, true from lineitem""",
+)
+def concurrent_merge(t: Tables):
+    """Uploads are ingested while a collection measures: both effects stay."""
+    table, path = _video_queue(t), scratch_path(t.spark, "series")
+    names = ("concat('n', cast(l_partkey as string)) as video_id", "cast(l_suppkey as string) as channel_id", "l_shipdate as published_at")
+    found = t.view("lineitem", list(names))
+
+    def measure(due):
+        table.update(lambda rows: upsert_queue(rows, found, RUN, ("published_at", "channel_id")))
+        return _counters(due.where(F.col("video_id").cast("bigint") % 13 != 0), 25)
+
+    collect_snapshots(table, measure, path, RUN)
+    new = F.col("video_id").startswith("n")
+    moved = F.coalesce(F.col("last_polled_at") == instant(RUN), F.lit(False)) & ~new
+    return table.read().select("video_id", moved.alias("moved"), new.alias("new"))
+
+
 def _land(t: Tables, frame, label: str) -> str:
     path = scratch_path(t.spark, label)
     frame.write.parquet(path)
@@ -179,11 +246,15 @@ def _delivered_twice(t: Tables):
 )
 def stream_snapshots(t: Tables):
     """Messages, some delivered twice, through the streaming job into an append-only sink."""
-    source = _land(t, _delivered_twice(t), "messages")
+    source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
     store = FolderStore(scratch_path(t.spark, "sink"))
-    enriched = run.snapshots(read_event_files(t.spark, source))
     sink = AppendSink(store, "channel_stats_stream", "snapshots")
-    run.start(enriched, sink, scratch_path(t.spark, "checkpoint"), trigger=None).awaitTermination()
+    frame = _delivered_twice(t)
+    at = F.dayofmonth(F.get_json_object(F.col("value").cast("string"), "$.processed_at").cast("timestamp"))
+    for third in (at <= 10, (at > 10) & (at <= 20), at > 20):
+        frame.where(third).write.mode("append").parquet(source)
+        enriched = run.snapshots(read_event_files(t.spark, source))
+        run.start(enriched, sink, checkpoint, trigger=None).awaitTermination()
     return sink.read(t.spark, enriched.schema).select(
         "channel_id",
         "channel_title",
@@ -246,31 +317,46 @@ def stream_state(t: Tables):
     return table.read().drop("created_at")
 
 
+_FIRSTS = [
+    "concat('c', cast(s_suppkey as string)) as channel_id",
+    "s_name as channel_title",
+    "cast(null as string) as channel_description",
+    "cast(null as timestamp) as published_at",
+    "substring(s_name, 1, 2) as country",
+    "cast(s_suppkey * 100 as bigint) as total_views",
+    "cast(s_suppkey as bigint) as subscriber_count",
+    "cast(s_nationkey as bigint) as video_count",
+    "timestamp '2024-01-01 00:00:00' + interval '1' second * (s_suppkey % 50) as processed_at",
+]
+
+
 def _distinct_channels(t: Tables, mode: str):
-    source = _land(t, _delivered_twice(t), "messages")
-    first = run.snapshots(read_event_files(t.spark, source), mode)
+    """A first delivery with one snapshot per channel, then newer ones of the same channels."""
+    source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
     sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "firsts", mode)
-    run.start(first, sink, scratch_path(t.spark, "checkpoint"), trigger=None).awaitTermination()
-    return sink.read(t.spark, first.schema)
+    first = t.raw("supplier").selectExpr(*_FIRSTS)
+    newer = first.withColumns({"channel_title": F.lit("newer"), "processed_at": F.expr("processed_at + interval 60 seconds")})
+    for rows in (first, newer):
+        sent = wire_frame(rows).withColumn("at", F.get_json_object("value", "$.processed_at").cast("timestamp"))
+        as_event_frame(sent, "key", "value", "at").write.mode("append").parquet(source)
+        kept = run.snapshots(read_event_files(t.spark, source), mode)
+        run.start(kept, sink, checkpoint, trigger=None).awaitTermination()
+    return sink.read(t.spark, kept.schema).select(*CHANNEL_STATS_V1.names[:-1])
 
 
-_CHANNELS_SEEN = (
-    cte("channel_obs") + "select channel_id, cast(1 as bigint) as n from channel_obs group by channel_id"
-)
+_CHANNELS_SEEN = f"select {', '.join(_FIRSTS)} from supplier".replace("as string", "as varchar")
 
 
 @query("t2_stream_first_ever", _CHANNELS_SEEN)
 def stream_first_ever(t: Tables):
-    """One snapshot per channel, whatever follows; which one is up to arrival."""
-    rows = _distinct_channels(t, "first_ever")
-    return rows.groupBy("channel_id").agg(F.count("*").alias("n"))
+    """One snapshot per channel, whatever follows."""
+    return _distinct_channels(t, "first_ever")
 
 
 @query("t3_stream_within_watermark", _CHANNELS_SEEN)
 def stream_within_watermark(t: Tables):
     """One snapshot per channel while its state is held."""
-    rows = _distinct_channels(t, "within_watermark")
-    return rows.groupBy("channel_id").agg(F.count("*").alias("n"))
+    return _distinct_channels(t, "within_watermark")
 
 
 @query(

@@ -24,10 +24,12 @@ def typed_times(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: parse_instant(F.col(name)) for name in columns})
 
 
-def parse_messages(raw: DataFrame) -> DataFrame:
-    """Message bytes to typed columns; unusable messages give rows of nulls."""
+def parse_messages(raw: DataFrame, *carry: str) -> DataFrame:
+    """Message bytes to typed columns; unusable messages give rows of nulls.
+
+    ``carry`` columns of the message, such as its key, come first."""
     record = F.from_json(F.col("value").cast("string"), WIRE)
-    flat = raw.select(F.col("timestamp").alias("kafka_timestamp"), _once(record))
+    flat = raw.select(*carry, F.col("timestamp").alias("kafka_timestamp"), _once(record))
     return typed_times(flat, *_WIRE_TIMES)
 
 

@@ -25,7 +25,6 @@ def latest_snapshot(
 def growth(
     snapshots: DataFrame,
     order: Sequence[str] = SNAPSHOT_ORDER,
-    max_rows_per_key: int = 1_000_000,
     partitions: int | None = None,
 ) -> DataFrame:
     """Change of each counter since the snapshot before, the hours between, and views per hour.
@@ -33,9 +32,7 @@ def growth(
     The first snapshot has nulls; no time between two snapshots gives a null rate.  A counter
     may fall.
     """
-    linked = with_previous(
-        snapshots, "video_id", order, ("scraped_at", *COUNTERS), max_rows_per_key, partitions
-    )
+    linked = with_previous(snapshots, "video_id", order, ("scraped_at", *COUNTERS), partitions)
     micros = F.unix_micros("scraped_at") - F.unix_micros("prev_scraped_at")
     deltas = {f"{name}_delta": F.col(name) - F.col(f"prev_{name}") for name in COUNTERS}
     timed = linked.withColumns({**deltas, "hours": micros / F.lit(float(MICROS_PER_HOUR))})

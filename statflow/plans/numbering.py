@@ -1,50 +1,55 @@
 """Positions and neighbours in a total order, without gathering rows in one task.
 
 A window without partition columns, or with a hot key, ends in a single task.  Here the
-rows are range-partitioned on the whole order instead, sorted in place, and written to
-the checkpoint folder together with their place.  What crosses partitions is one row per
-partition: a count, or the last row.
+rows are range-partitioned on the whole order instead and sorted in place, whatever the keys
+look like, and written to the shared folder together with their place.  What crosses
+partitions is one row per partition: a count, or the last row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statflow.session import shared_folder
+from statflow.session import scratch_path
 
-_PART, _ROW, _COPIES = "__part", "__row", "__copies"
+_PART, _ROW, _EDGE = "__part", "__row", "__edge"
 # a partition number fills the bits above this one in monotonically_increasing_id
 _ROW_BITS = 33
-# upper bound on the keys that are split out, and thus on what is broadcast
-_MAX_HOT_KEYS = 10_000
-_SAMPLE_ROWS = 1_000
-_COPIES_PER_TASK_ROW = 10_000
 
 
 def _partitions(df: DataFrame, wanted: int | None) -> int:
     return wanted or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ranged(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Rows in global order with their partition and place, fixed by a checkpoint.
+    """Rows in global order with their partition and place, fixed by writing them.
 
-    Range bounds are sampled, so two evaluations may cut differently; the checkpoint makes
+    Range bounds are sampled, so two evaluations may cut differently; the written rows make
     every later pass see the same cut, also after the loss of an executor.
     """
-    shared_folder(df.sparkSession)
     placed = (
         df.repartitionByRange(_partitions(df, partitions), *order)
         .sortWithinPartitions(*order)
         .withColumn("__id", F.monotonically_increasing_id())
     )
-    return placed.select(
+    numbered = placed.select(
         *df.columns,
         F.shiftright("__id", _ROW_BITS).cast("int").alias(_PART),
         F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(_ROW),
-    ).checkpoint()
+    )
+    return _stored(numbered, "ranged")
 
 
 def number_rows(
@@ -71,92 +76,82 @@ def with_previous(
     key: str,
     order: Sequence[str],
     columns: Sequence[str],
-    max_rows_per_key: int = 1_000_000,
     partitions: int | None = None,
 ) -> DataFrame:
     """Adds ``prev_<column>`` from the row before, within the key.
 
-    ``order`` should be total up to rows that are equal in all columns.  Keys with more than
-    ``max_rows_per_key`` rows are split across tasks; all others take the plain window.
+    ``order`` should be total up to rows that are equal in all columns.  One range partitioning
+    on key, order and all other columns serves every distribution of keys; equal rows, which
+    could stand in any order, are spread by a number.  A pass over the sorted rows takes the row
+    before; only the first row of each partition takes it from the partition before.
     """
-    hot_keys = frequent_keys(df, key, max_rows_per_key)
-    if hot_keys is None:
-        return _previous_by_window(df, key, order, columns)
-    hot = F.broadcast(hot_keys.select(F.col(key).alias("__hot")))
-    is_hot = F.col(key).eqNullSafe(F.col("__hot"))
-    usual = _previous_by_window(df.join(hot, is_hot, "left_anti"), key, order, columns)
-    split = _previous_by_range(df.join(hot, is_hot, "left_semi"), key, order, columns, partitions)
-    return usual.unionByName(split)
-
-
-def frequent_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
-    """Keys with (about) more than ``max_rows`` rows, or None if there are none.
-
-    Counted on a sample, in which a key at the limit still has a thousand rows.  Which keys
-    are named decides how work is split, never what comes out.  A named key holds more than
-    1 / ``_MAX_HOT_KEYS`` of the sample, so there are fewer than ``_MAX_HOT_KEYS`` of them.
-    """
-    rate = min(1.0, _SAMPLE_ROWS / max_rows)
-    keys = df.select(key) if rate == 1.0 else df.select(key).sample(rate, seed=7)
-    counts = keys.groupBy(key).agg(F.count("*").alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    limit = max(max_rows * rate, (total or 0) / _MAX_HOT_KEYS)
-    if (largest or 0) <= limit:
-        return None
-    found = counts.where(F.col("__n") > limit).select(key)
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
-
-
-def _previous_by_window(
-    df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]
-) -> DataFrame:
-    window = Window.partitionBy(key).orderBy(*order)
-    return df.withColumns({f"prev_{name}": F.lag(name).over(window) for name in columns})
-
-
-def _previous_by_range(
-    df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], partitions: int | None
-) -> DataFrame:
-    # equal rows cannot be told apart by any range bound, so they travel as one row and a count
-    distinct = df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
     rest = [name for name in df.columns if name != key and name not in order]
-    rows = ranged(distinct, [key, *order, *rest], partitions)
+    whole = [key, *order, *rest]
+    numbered = df.withColumn("__nth", F.monotonically_increasing_id())
+    laid = numbered.repartitionByRange(_partitions(df, partitions), *whole, "__nth")
+    laid = laid.sortWithinPartitions(*whole).drop("__nth").withColumn(_PART, F.spark_partition_id())
+    before = [T.StructField(f"prev_{name}", df.schema[name].dataType) for name in columns]
+    schema = T.StructType([*laid.schema.fields, *before, T.StructField(_EDGE, T.IntegerType())])
+    rows = _stored(laid.mapInArrow(_row_before(key, tuple(columns)), schema), "linked")
 
-    carried = F.struct(F.col(key).alias("key"), *columns)
-    inside = Window.partitionBy(_PART).orderBy(_ROW)
     across = Window.orderBy(_PART)
-    # one row per range partition
-    borders = (
-        rows.groupBy(_PART)
-        .agg(F.max_by(carried, _ROW).alias("__end"))
-        .select(_PART, F.lag("__end").over(across).alias("__border"))
-    )
-    before = F.when(F.col(_ROW) == 0, F.col("__border")).otherwise(F.lag(carried).over(inside))
-    linked = (
-        rows.join(F.broadcast(borders), _PART)
-        .withColumn("__before", before)
-        .withColumn("__same_key", F.col("__before.key").eqNullSafe(F.col(key)))
-    )
-    firsts = linked.withColumns(
-        {f"prev_{c}": F.when(F.col("__same_key"), F.col(f"__before.{c}")) for c in columns}
-    ).select(*df.columns, *(f"prev_{c}" for c in columns), _COPIES)
-    # the second and later copies follow a row equal to themselves
-    others = repeat_rows(
-        firsts.where(F.col(_COPIES) > 1)
-        .withColumns({f"prev_{c}": F.col(c) for c in columns})
-        .withColumn(_COPIES, F.col(_COPIES) - 1),
-        _COPIES,
+    carried = F.struct(F.col(key).alias("key"), *columns)
+    # one row per range partition, so the window and the broadcast are small by construction
+    borders = rows.where(F.col(_EDGE).bitwiseAND(2) > 0).select(
+        _PART, F.lag(carried).over(across).alias("__border")
     )
-    return firsts.drop(_COPIES).unionByName(others)
-
-
-def repeat_rows(df: DataFrame, count: str) -> DataFrame:
-    """Each row ``count`` times; large counts are dealt out over tasks first."""
-    step = _COPIES_PER_TASK_ROW
-    shares = df.withColumn(
-        "__share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({count} - 1) div {step}")))
-    ).repartition(_partitions(df, None))
-    size = F.least(F.lit(step).cast("bigint"), F.col(count) - F.col("__share") * step)
-    return shares.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).drop(
-        "__share", "__copy", count
+    patched = F.col(_EDGE).bitwiseAND(1).cast("boolean") & F.col("__border.key").eqNullSafe(F.col(key))
+    joined = rows.join(F.broadcast(borders), _PART, "left")
+    return joined.select(
+        *df.columns,
+        *(
+            F.when(patched, F.col(f"__border.{name}")).otherwise(F.col(f"prev_{name}")).alias(f"prev_{name}")
+            for name in columns
+        ),
     )
+
+
+# marks of the first and of the last row of a partition
+_FIRST, _LAST = 1, 2
+
+
+def _row_before(key: str, columns: tuple[str, ...]):
+    """Links the rows of a sorted partition; the last batch is held back to mark the last row."""
+
+    def linked(batch: pa.RecordBatch, last: dict | None, marks: list[int]) -> pa.RecordBatch:
+        def shifted(name: str) -> pa.Array:
+            head = pa.array([last[name] if last else None], batch.schema.field(name).type)
+            return pa.concat_arrays([head, batch[name].slice(0, batch.num_rows - 1)])
+
+        own, other = batch[key], shifted(key)
+        both_null = pa.compute.and_(own.is_null(), other.is_null())
+        same = pa.compute.or_(pa.compute.fill_null(pa.compute.equal(own, other), False), both_null)
+        if not last:
+            same = pa.concat_arrays([pa.array([False]), same.slice(1)])
+        before = [pa.compute.if_else(same, shifted(name), pa.scalar(None, batch.schema.field(name).type)) for name in columns]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, *before, pa.array(marks, pa.int32())],
+            [*batch.schema.names, *(f"prev_{name}" for name in columns), _EDGE],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        last: dict | None = None
+
+        def emit(end: bool) -> pa.RecordBatch:
+            marks = [0] * held.num_rows
+            marks[0] |= 0 if last else _FIRST
+            marks[-1] |= _LAST if end else 0
+            return linked(held, last, marks)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield emit(False)
+                last = held.slice(held.num_rows - 1).to_pylist()[0]
+            held = batch
+        if held is not None:
+            yield emit(True)
+
+    return run

@@ -58,24 +58,28 @@ def test_growth_edges(spark):
     ]
 
 
-@pytest.mark.parametrize("cap", [1, 3, 10])
-def test_split_keys_give_the_same_neighbours(spark, cap):
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_ranges_give_the_neighbours_of_a_window(spark, partitions, batch):
     rows = [
         ("hot" if i % 3 else f"k{i % 11}", T0 + timedelta(minutes=i % 5), i % 2, i % 3, 0)
         for i in range(300)
     ]
     rows += [(None, T0, i % 2, 0, 0) for i in range(20)]
     frame = snapshots(spark, rows)
-    plain = trends.growth(frame, max_rows_per_key=10**6)
-    split = trends.growth(frame, max_rows_per_key=cap, partitions=5)
-    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    window = Window.partitionBy("video_id").orderBy(*trends.SNAPSHOT_ORDER)
+    wanted = frame.withColumns({f"prev_{c}": F.lag(c).over(window) for c in trends.SNAPSHOT_ORDER})
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(batch))
+    try:
+        got = numbering.with_previous(frame, "video_id", trends.SNAPSHOT_ORDER, trends.SNAPSHOT_ORDER, partitions)
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
+    finally:
+        spark.conf.unset(key)
 
 
-def test_many_copies_are_dealt_out(spark, monkeypatch):
-    monkeypatch.setattr(numbering, "_COPIES_PER_TASK_ROW", 7)
-    frame = spark.createDataFrame([("a", 1), ("b", 7), ("c", 8), ("d", 30)], "k string, n long")
-    counts = numbering.repeat_rows(frame, "n").groupBy("k").count().collect()
-    assert {r.k: r["count"] for r in counts} == {"a": 1, "b": 7, "c": 8, "d": 30}
+def test_neighbours_of_nothing(spark):
+    assert trends.growth(snapshots(spark, [])).count() == 0
 
 
 def test_latest_snapshot_is_one_whole_row(spark):
@@ -97,12 +101,3 @@ def test_numbering_matches_a_window(spark):
     wanted = frame.withColumn("n", F.row_number().over(Window.orderBy("x", "id")) - 1)
     got = numbering.number_rows(frame, ["x", "id"], "n", 9)
     assert got.exceptAll(wanted.select(got.columns)).isEmpty() and got.count() == 5000
-
-
-def test_frequent_keys_on_a_sample(spark):
-    frame = spark.range(200_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
-    )
-    assert [r.k for r in numbering.frequent_keys(frame, "k", 10_000).collect()] == [0]
-    assert numbering.frequent_keys(frame, "k", 100_000) is None
-    assert numbering.frequent_keys(frame.limit(0), "k", 10) is None
