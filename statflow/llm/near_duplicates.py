@@ -40,7 +40,7 @@ CELL_BITS, PARTS, RARE = 18, 16, 0.25
 #: Texts of a bucket that meet in one cell, on either side.
 CELL = 512
 #: Bytes of text and shingles that are worked on at once.
-TEXT_BYTES, BLOCK = 1 << 20, 1 << 13
+TEXT_BYTES, BLOCK = 1 << 19, 1 << 13
 
 
 # --- shingles and weights ---------------------------------------------------------------------

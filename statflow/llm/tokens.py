@@ -16,7 +16,6 @@ import unicodedata
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import xxhash
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
@@ -25,7 +24,7 @@ from statflow.llm.common import blocks
 from statflow.llm.words import mix
 
 #: Characters encoded together, and pieces that a worker keeps before it starts anew.
-BLOCK, KEPT_PIECES = 1 << 20, 1_500_000
+BLOCK, KEPT_PIECES = 1 << 19, 600_000
 LETTER, NUMBER, SPACE, OTHER, EDGE, UNKNOWN = range(6)
 #: A longer piece is not looked up.
 LONGEST = 64
@@ -104,8 +103,10 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         inside = kinds[starts] != EDGE
         starts, ends = starts[inside], ends[inside]
-        codes, hashes = pd.factorize(self._hashes(joined, points, starts, ends))
-        numbers = self._numbers(hashes, codes, joined, starts, ends)
+        hashes, places, codes = np.unique(
+            self._hashes(joined, points, starts, ends), return_index=True, return_inverse=True
+        )
+        numbers = self._numbers(hashes, joined, starts[places], ends[places])
         first = self.bounds[numbers][codes]
         size = self.bounds[numbers + 1][codes] - first
         after = np.cumsum(size)
@@ -125,30 +126,28 @@ class Encoder:
             hashes[at] = xxhash.xxh3_64_intdigest(joined[starts[at] : ends[at]])
         return hashes
 
-    def _numbers(self, hashes: np.ndarray, codes: np.ndarray, joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Places of pieces in the table, which takes up new ones."""
+    def _numbers(self, hashes: np.ndarray, joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of pieces in the table, which takes up new ones; ``hashes`` are in order."""
         if len(self.known) + len(hashes) > KEPT_PIECES:
             self._forget()
-        order = np.argsort(hashes)
-        place = np.searchsorted(self.known, hashes[order])
-        old = self.known[np.minimum(place, len(self.known) - 1)] == hashes[order] if len(self.known) else np.zeros(len(order), bool)
+        spot = np.searchsorted(self.known, hashes)
+        old = np.zeros(len(hashes), bool)
+        if len(self.known):
+            old = self.known[np.minimum(spot, len(self.known) - 1)] == hashes
         numbers = np.empty(len(hashes), np.int64)
-        numbers[order[old]] = self.numbers[place[old]]
-        fresh, spot = order[~old], place[~old]
-        if not len(fresh):
+        numbers[old] = self.numbers[spot[old]]
+        if old.all():
             return numbers
-        first = np.empty(len(hashes), np.int64)
-        first[codes[::-1]] = np.arange(len(codes))[::-1]
-        first = first[fresh]
+        fresh = ~old
         ids, sizes = [], []
-        for a, b in zip(starts[first].tolist(), ends[first].tolist()):
+        for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist()):
             letters = joined[a:b].encode().decode("latin-1").translate(_BYTE_LETTERS)
             found = self.tokenizer.model.tokenize(letters)
             ids += [token.id for token in found]
             sizes.append(len(found))
-        numbers[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
-        self.known = np.insert(self.known, spot, hashes[fresh])
-        self.numbers = np.insert(self.numbers, spot, numbers[fresh])
+        numbers[fresh] = len(self.bounds) - 1 + np.arange(len(sizes))
+        self.known = np.insert(self.known, spot[fresh], hashes[fresh])
+        self.numbers = np.insert(self.numbers, spot[fresh], numbers[fresh])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
         self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
         return numbers

@@ -14,7 +14,7 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c in _WORD else 32 for c in rang
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes that are hashed together; a longer word is hashed with tables of its own length.
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
 
 
 def fold(data: bytes) -> bytes:
