@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from statflow.session import scratch_path, shared_folder
+from statflow.session import name_shared_folder, scratch_path, shared_folder
 
 __all__ = ["blocks", "pass_through", "schema_with", "scratch_path", "shared_folder", "small_batches", "stored", "table"]
 
@@ -22,11 +22,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Bounds what a Python worker holds at once: few rows, however long their texts."""
+    """Bounds what a Python worker holds at once: few rows, however long their texts.
+
+    A session inside one process that names no shared folder, as in tests, gets one."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
-    return spark
+    return name_shared_folder(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -41,10 +41,12 @@ SIDE_WORDS = (
     "cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing "
     "social footer copyright legal masthead topbar toolbar pagination pager skip contentinfo complementary search form"
 )
+COMMENT_WORDS = "comment comments respond reply replies disqus discussion"
 MAIN_TAGS = "article main"
 MAIN_WORDS = "article content post entry story main"
 
 _SIDE_TAGS, _SIDE_WORDS = frozenset(SIDE_TAGS.split()), frozenset(SIDE_WORDS.split())
+_COMMENT_WORDS = frozenset(COMMENT_WORDS.split())
 _MAIN_TAGS, _MAIN_WORDS = frozenset(MAIN_TAGS.split()), frozenset(MAIN_WORDS.split())
 _INLINE, _CONTAINERS = frozenset(INLINE.split()), frozenset(CONTAINERS.split())
 _PIECES = re.compile(
@@ -58,8 +60,8 @@ _PIECES = re.compile(
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
-#: Cues of the innermost telling container.
-SIDE, NONE, MAIN = -1, 0, 1
+#: Cues of the innermost telling container; reader comments stay comments whatever they contain.
+COMMENT, SIDE, NONE, MAIN = -2, -1, 0, 1
 
 # The labelled table. Words, link density, then both of the block before and of the
 # one after, cue, and whether the block belongs to the main text.
@@ -73,9 +75,15 @@ LABELLED = (
     (40, 0.4, 55, 0.0, 12, 0.2, MAIN, True), (3, 0.0, 14, 0.0, 12, 0.0, MAIN, True), (1, 0.0, 14, 0.0, 12, 0.0, MAIN, True),
     (4, 1.0, 35, 0.0, 60, 0.0, MAIN, True), (1, 1.0, 22, 0.0, 31, 0.0, MAIN, True), (12, 0.9, 45, 0.0, 28, 0.0, MAIN, True),
     (2, 1.0, 3, 1.0, 4, 1.0, MAIN, False), (1, 1.0, 1, 1.0, 2, 1.0, MAIN, False), (5, 1.0, 2, 1.0, 1, 1.0, MAIN, False),
+    (3, 0.33, 2, 0.0, 2, 0.5, MAIN, True), (6, 0.0, 20, 0.0, 3, 1.0, MAIN, True), (1, 0.0, 12, 0.0, 1, 1.0, MAIN, True),
+    (12, 0.1, 30, 0.0, 4, 0.9, MAIN, True), (2, 0.5, 6, 0.3, 5, 1.0, MAIN, True), (18, 0.2, 2, 1.0, 3, 0.8, MAIN, True),
+    (7, 0.0, 9, 0.0, 12, 0.0, SIDE, False), (40, 0.0, 9, 0.0, 35, 0.0, COMMENT, False), (4, 0.0, 60, 0.0, 10, 0.0, COMMENT, False),
+    (16, 0.0, 4, 0.0, 22, 0.0, COMMENT, False), (2, 0.0, 5, 0.0, 30, 0.0, SIDE, False), (10, 0.0, 2, 0.0, 60, 0.1, SIDE, False),
     (60, 0.0, 20, 0.0, 45, 0.0, NONE, True), (35, 0.1, 60, 0.0, 5, 0.0, NONE, True), (20, 0.0, 50, 0.0, 30, 0.0, NONE, True),
     (7, 0.0, 2, 1.0, 45, 0.0, NONE, True), (8, 0.0, 35, 0.0, 40, 0.1, NONE, True), (16, 0.2, 25, 0.0, 22, 0.0, NONE, True),
     (90, 0.0, 0, 0.0, 0, 0.0, NONE, True), (12, 0.0, 0, 0.0, 0, 0.0, NONE, True), (28, 0.0, 1, 1.0, 4, 1.0, NONE, True),
+    (2, 1.0, 25, 0.0, 0, 0.0, NONE, False), (3, 1.0, 30, 0.0, 5, 0.0, NONE, False), (2, 1.0, 40, 0.0, 12, 0.2, NONE, False),
+    (6, 0.9, 20, 0.0, 0, 0.0, NONE, False), (1, 1.0, 0, 0.0, 14, 0.0, NONE, False), (4, 0.8, 3, 0.0, 2, 0.0, NONE, False),
     (1, 1.0, 1, 1.0, 1, 1.0, NONE, False), (3, 1.0, 0, 0.0, 2, 1.0, NONE, False), (2, 1.0, 60, 0.0, 2, 1.0, NONE, False),
     (8, 0.9, 3, 1.0, 5, 0.8, NONE, False), (15, 0.8, 30, 0.0, 6, 1.0, NONE, False), (4, 0.6, 1, 1.0, 6, 0.7, NONE, False),
     (4, 0.0, 1, 1.0, 2, 1.0, NONE, False), (3, 0.0, 5, 0.9, 4, 1.0, NONE, False), (2, 0.0, 2, 1.0, 3, 0.8, NONE, False),
@@ -117,30 +125,32 @@ def decide(node, row: tuple) -> bool:
 
 
 def _cue(tag: str, rest: str, around: int) -> int:
-    """The cue inside a container that opens with ``tag`` and attributes ``rest`` in one with cue ``around``."""
-    if tag in _MAIN_TAGS:
-        return MAIN
-    if tag in _SIDE_TAGS or (tag == "header" and around != MAIN):
-        return SIDE
-    if around != SIDE and rest:
+    """The cue inside an element that opens with ``tag`` and attributes ``rest`` in one with cue ``around``."""
+    if around == COMMENT:
+        return COMMENT
+    words = set()
+    if rest and tag != "body":
         words = {word for found in _NAMES.findall(rest) for word in _WORDS.findall("".join(found).lower())}
-        if words & _SIDE_WORDS:
-            return SIDE
-        if words & _MAIN_WORDS:
-            return MAIN
+    if words & _COMMENT_WORDS:
+        return COMMENT
+    if tag in _SIDE_TAGS or words & _SIDE_WORDS or (tag == "header" and around != MAIN):
+        return SIDE
+    # an article also ends what was opened before it and never closed
+    if tag in _MAIN_TAGS or (around != SIDE and words & _MAIN_WORDS):
+        return MAIN
     return around
 
 
 def flat_blocks(page: str) -> list[tuple[str, int, float, int]]:
     """(text, words, link density, cue) of each block with text, in page order."""
-    found, pieces, linked, stack, cue, link = [], [], [], [], NONE, 0
+    found, pieces, linked, stack, cue, now, link = [], [], [], [], NONE, NONE, 0
 
     def close() -> None:
         text = " ".join(entities.unescape("".join(pieces)).split())
         if text:
             words = text.count(" ") + 1
             inside = len(entities.unescape(" ".join(linked)).split())
-            found.append((text, words, min(1.0, inside / words), cue))
+            found.append((text, words, min(1.0, inside / words), now))
         pieces.clear()
         linked.clear()
 
@@ -160,6 +170,8 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int]]:
             continue
         close()
         if tag not in _CONTAINERS:
+            # a paragraph or item speaks for itself only
+            now = cue if piece["close"] else _cue(tag, piece["rest"], cue)
             continue
         link = 0
         if not piece["close"]:
@@ -171,6 +183,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int]]:
                 opened, cue = stack.pop()
                 if opened == tag:
                     break
+        now = cue
     close()
     return found
 

@@ -29,7 +29,7 @@ def test_page_blocks():
     page = (
         '<html><head><title>T</title><script>var t="</p>";</script></head><body><nav><a href="/x">x</a></nav><!-- c -->'
         '<div class="cookie-notice">We use cookies</div><article><h1>A &amp; B</h1><p><b>one<br>two</b> th<i>ree</i><p>four\n\tfive'
-        '<div class="comments"><p>Great post, everyone should read it twice</p></div></article><form><p>Search here</p></form>'
+        '<p class="advert">Buy one, get two for free today</p><div class="comments"><article><p>Great post, everyone should read it twice</p></article></div></article><form><p>Search here</p></form>'
         "<aside>Related things to read</aside><footer>&copy; 2020</footer>"
     )
     assert html_text.main_text(page) == "A & B one two three four five"
