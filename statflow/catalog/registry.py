@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statflow.session import pin_utc
+from statflow.session import name_shared_folder, pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,7 @@ class Tables:
     """The Parquet tables of one test data folder."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = pin_utc(spark), folder
+        self.spark, self.folder = name_shared_folder(pin_utc(spark)), folder
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -193,9 +193,13 @@ def keyed_update(
 def poll_updates(
     measured: DataFrame, as_of: datetime | str, order: Sequence[str] = ("published_at",)
 ) -> DataFrame:
-    """New poll times and interval for each measured video."""
+    """New poll times and interval for each measured video.
+
+    A video without a publication time has no age, so it stays as it is, and due.
+    """
     now = instant(as_of)
-    latest = fold_batch(measured, "video_id", order, last=("published_at",))
+    aged = measured.where(F.col("published_at").isNotNull())
+    latest = fold_batch(aged, "video_id", order, last=("published_at",))
     interval = poll_interval_hours(F.col("published_at"), now)
     return latest.select(
         "video_id",

@@ -103,23 +103,33 @@ def violation_report(
 ) -> DataFrame:
     """Rule, key and number of rows, over row rules, key uniqueness and the foreign key.
 
+    The rows are read once and counted before the parents are looked up.
+
     ``parent`` is (child column, parent table, parent key).
     """
-    parts = [
-        violations(df, key, row_rules(table)).groupBy("rule", "key").agg(F.count("*").alias("n"))
-    ]
+    column, parents, parent_key = parent or (key, None, key)
+    same = df.schema[key].dataType == df.schema[column].dataType
+    value = F.col if same else lambda name: F.col(name).cast("string")
+
+    def tag(rule: Column, name: str) -> Column:
+        return F.struct(rule.alias("rule"), value(name).alias("key"))
+
+    # every row says what it breaks, and the values that are to be counted or looked up
+    tags = [F.transform(VIOLATED, lambda rule: tag(rule, key))]
+    unique_rule, parent_rule = f"{key}:unique", f"{column}:parent"
     if unique:
-        repeated = duplicate_keys(df.where(F.col(key).isNotNull()), key)
-        parts.append(
-            repeated.select(F.lit(f"{key}:unique").alias("rule"), F.col(key).alias("key"), "n")
-        )
-    if parent is not None:
-        column, table_df, parent_key = parent
-        missing = orphan_counts(df, column, table_df, parent_key)
-        parts.append(
-            missing.select(F.lit(f"{column}:parent").alias("rule"), F.col(column).alias("key"), "n")
-        )
-    return reduce(DataFrame.unionByName, parts)
+        tags.append(F.array(F.when(F.col(key).isNotNull(), tag(F.lit(unique_rule), key))))
+    if parents is not None:
+        tags.append(F.array(F.when(F.col(column).isNotNull(), tag(F.lit(parent_rule), column))))
+    told = check_rows(df, row_rules(table)).select(F.explode(F.array_compact(F.concat(*tags))).alias("tag"))
+    counted = told.groupBy("tag.rule", "tag.key").agg(F.count("*").alias("n"))
+    if unique:
+        counted = counted.where((F.col("rule") != unique_rule) | (F.col("n") > 1))
+    if parents is not None:
+        known = parents.select(F.col(parent_key).alias("__parent")).distinct()
+        found = (F.col("rule") == parent_rule) & (F.col("key") == F.col("__parent"))
+        counted = counted.join(known, found, "left_anti")
+    return counted
 
 
 def with_all_violations(

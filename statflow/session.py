@@ -35,7 +35,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return name_shared_folder(spark)
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -48,20 +48,27 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local session, where the
-    driver is the sole executor, may fall back to a folder of its own.
+    It is named in ``spark.checkpoint.dir``.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="statflow-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
 
 
+def name_shared_folder(spark: SparkSession) -> SparkSession:
+    """Gives a session whose only executor is its driver a folder of its own, if it has none."""
+    context = spark.sparkContext
+    in_process = context.master == "local" or context.master.startswith("local[")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if in_process and named is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="statflow-"))
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/statflow-{label}-{uuid.uuid4().hex}"

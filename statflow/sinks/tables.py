@@ -7,15 +7,12 @@ from pyspark.sql import DataFrame
 from statflow.schemas import PAGE_SIZE
 from statflow.sources.tables import Database
 
-# connections opened at once, whatever the number of partitions
-MAX_CONNECTIONS = 32
-
 
 def write_options(database: Database, table: str, page: int = PAGE_SIZE) -> dict[str, str]:
     return {
         **database.options(table),
         "batchsize": str(page),
-        "numPartitions": str(MAX_CONNECTIONS),
+        "numPartitions": str(database.connections),
     }
 
 

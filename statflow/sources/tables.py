@@ -13,6 +13,8 @@ class Database:
     driver: str
     user: str | None = None
     password: str | None = None
+    # opened at once by a writer, whatever the number of partitions
+    connections: int = 32
 
     def options(self, table: str) -> dict[str, str]:
         given = {
