@@ -36,7 +36,7 @@ def test_page_blocks():
     assert html_text.main_text(None) == html_text.main_text("") == ""
     assert html_text.main_text("<article><p>cut off &am") == "cut off &am"
     assert html_text.main_text("<p>" + "word " * 40 + "<script>never closed") == ("word " * 40).strip()
-    assert html_text.main_text('<p title="a>b' + "'" * 9 + ">x") in ("x", '<p title="a>b' + "'" * 9 + ">x")
+    assert html_text.main_text('<article><p title="never closed' + "'" * 9 + ">" + "<" * 2000)
 
 
 def test_page_columns(spark):
