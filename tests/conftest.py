@@ -32,3 +32,10 @@ def path(tmp_path):
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed_plans(spark, after: int = -1) -> dict[int, str]:
+    """The plans of everything that ran since an execution, also of what a query wrote on its way."""
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    runs = (found.apply(n) for n in range(found.size()))
+    return {run.executionId(): run.physicalPlanDescription() for run in runs if run.executionId() > after}
