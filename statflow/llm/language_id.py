@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from statflow.llm.common import pass_through, schema_with
 
 #: Documents per language that are learned from, pieces of each and their bytes, bytes of a dictionary.
-PER_LANGUAGE, PIECES, PIECE, DICTIONARY = 400, 8, 512, 131072
+PER_LANGUAGE, PIECES, PIECE, DICTIONARY = 400, 4, 512, 131072
 #: Bytes that are encoded at once, and the level of compression.
 CHUNK, LEVEL = 1024, 3
 #: Put before each chunk: without it, zstandard leaves very short texts as they are.
 FILLER = bytes(64)
-MOST_LANGUAGES = 500
+MOST_LANGUAGES = 200
 UNKNOWN = "und"
 _NO_WORD = re.compile(r"[\W\d_]+")
 
