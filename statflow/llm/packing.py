@@ -29,9 +29,9 @@ from statflow.llm import tokens
 SEQUENCE, END_ID = 1024, 0
 #: A shard of the index is closed by whichever it reaches first.
 SHARD_TOKENS, SHARD_DOCUMENTS = 1 << 20, 4096
-#: Rarest terms of a seed that are looked up, and the usual constants of BM25.
-QUERY_TERMS, K1, B = 32, 1.2, 0.75
-#: Left out of the index: terms that occur more often than this share of the documents.
+#: The usual constants of BM25.
+K1, B = 1.2, 0.75
+#: Left out of the index: terms of more than this share of the documents.
 COMMON = 0.25
 _ARROW = {"start": pa.int64(), "length": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "ids": pa.binary()}
 
@@ -115,15 +115,14 @@ class _Shard:
         self.unused, self.next = np.ones(count, bool), 0
         sizes = np.array([len(ids) for ids in documents])
         flat, owner = np.concatenate(documents), np.repeat(np.arange(count), sizes)
-        often = np.bincount(flat)
-        kept = (often > 1) & (often <= max(2, COMMON * count))
-        inside = kept[flat]
-        keys, times = np.unique(flat[inside] * count + owner[inside], return_counts=True)
+        keys, times = np.unique(flat * count + owner, return_counts=True)
         terms, self.posted = np.divmod(keys, count)
-        self.bounds = np.searchsorted(terms, np.arange(len(often) + 1))
-        spread = np.diff(self.bounds)
-        self.idf = np.log1p((count - spread + 0.5) / (spread + 0.5))
-        self.idf[spread < 2] = 0
+        spread = np.bincount(terms)
+        kept = (spread > 1) & (spread <= max(2, COMMON * count))
+        self.idf = np.where(kept, np.log1p((count - spread + 0.5) / (spread + 0.5)), 0)
+        inside = kept[terms]
+        terms, times, self.posted = terms[inside], times[inside], self.posted[inside]
+        self.bounds = np.searchsorted(terms, np.arange(len(spread) + 1))
         norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
         self.weight = times * (K1 + 1) / (times + norm[self.posted]) * self.idf[terms]
 
@@ -141,13 +140,11 @@ class _Shard:
         """Documents that share terms with ``ids``, best first; the caller skips used ones."""
         terms = np.unique(ids[ids < len(self.idf)])
         terms = terms[self.idf[terms] > 0]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
-        ranges = [slice(self.bounds[term], self.bounds[term + 1]) for term in terms]
-        if not ranges:
-            return
-        posted = np.concatenate([self.posted[one] for one in ranges])
-        scores = np.bincount(posted, np.concatenate([self.weight[one] for one in ranges]), len(self.unused))
+        first = self.bounds[terms]
+        size = self.bounds[terms + 1] - first
+        after = np.cumsum(size)
+        places = np.repeat(first - after + size, size) + np.arange(size.sum())
+        scores = np.bincount(self.posted[places], self.weight[places], len(self.unused))
         scores[~self.unused] = 0
         while scores[best := int(np.argmax(scores))] > 0:
             scores[best] = 0

@@ -176,6 +176,24 @@ def test_packing_takes_neighbours():
     assert next(shard.neighbours(texts[0], 0)) == 2
 
 
+def test_packing_counts_documents_of_a_term():
+    # term 7 is in 2 of 40 documents, however often it occurs in them; 9 is in all of them
+    texts = [np.array([7] * 30 + [9, 100 + n] if n in (3, 31) else [9, 100 + n]) for n in range(40)]
+    shard = packing._Shard(texts)
+    assert list(shard.neighbours(texts[3], 3)) == [3, 31]
+    assert shard.idf[9] == 0
+
+
+def test_packing_looks_up_all_terms_of_a_seed():
+    # 32 terms shared with one document each, 20 more frequent ones all shared with the last document
+    rare, more = np.arange(100, 132), np.arange(200, 220)
+    texts = [np.append(rare, more), *([term, 1000 + term] for term in rare), *(np.append(more, 2000 + n) for n in range(3))]
+    texts = [np.array(ids) for ids in [*texts, *([3000 + n, 4000 + n] for n in range(20))]]
+    shard = packing._Shard(texts)
+    shard.take(0)
+    assert next(shard.neighbours(texts[0], 0)) in (33, 34, 35)
+
+
 def test_trigram_queries():
     assert trigram_query("AKIA[A-Z0-9]+") == [{"aki", "kia"}]
     assert trigram_query("[0-9a-f]{32,}") == [frozenset()]
