@@ -1,75 +1,273 @@
 """Packing documents into sequences of a fixed number of tokens with lexical neighbours.
 
-Documents become token ids, each closed by an end id.  Every task builds, over blocks of about
-``SHARD_TOKENS`` ids or ``SHARD_DOCUMENTS`` documents, one shard of a BM25 index (terms are token ids).  A sequence starts with a
-seed document; its best unused neighbours fill the sequence, the last one is cut at its end, and
-what is left of that document is the next seed.  A sequence that is open when a shard ends goes on
-with neighbours from the next one, so only the last sequence of a task can be short.
+Documents become token ids, each closed by an end id; they are stored and from then on read back.
+Document frequencies and the mean length are those of all documents (terms are token ids).  A tree
+of spherical k-means over sketches of the BM25 vectors, grown on a sample, gives each document its
+leaf; inside a leaf, documents follow by their weighted samples of terms, so that near copies meet.
+This order is cut into ranges of about ``TASK_TOKENS`` ids, one for a task, by a shuffle.
 
-There is no shuffle: a task packs the rows of its input partition, in a block at a time.  The
-sequence ids of a task are those of its partition, so a repeated task gives the same rows.
+A task builds, over blocks of about ``SHARD_TOKENS`` ids or ``SHARD_DOCUMENTS`` documents, one shard
+of a BM25 index.  A sequence starts with a seed document; its best unused neighbours fill the
+sequence, the last one is cut at its end, and what is left of that document is the next seed.  A
+sequence that is open when a shard ends goes on with neighbours from the next one, so only the last
+sequence of a task can be short.  A seed does not ask the shards of other tasks: neighbours that the
+tree puts elsewhere are missed (the README gives the share that is found).
+
+The sequence ids of a task are those of its partition, so a repeated task gives the same rows.
 
 Defined results: a NULL or empty text is the end id alone; repeated rows are packed once each;
-equal scores go to the earlier row; documents that share no term with the seed follow in order of
-input; an empty table gives no pieces.  Only ``key`` and ``text`` are read, and NULL keys are kept.
+equal scores go to the earlier row of the order; documents that share no term with the seed follow
+in that order; an empty table gives no pieces.  Only ``key`` and ``text`` are read, and NULL keys are
+kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from statflow.llm import tokens
+from statflow.llm.common import scratch_path
+from statflow.llm.words import mix
 
 SEQUENCE, END_ID = 1024, 0
 #: A shard of the index is closed by whichever it reaches first.
 SHARD_TOKENS, SHARD_DOCUMENTS = 1 << 20, 4096
+#: About so many ids go to one task.
+TASK_TOKENS = 1 << 21
 #: The usual constants of BM25.
 K1, B = 1.2, 0.75
 #: Left out of the index: terms of more than this share of the documents.
 COMMON = 0.25
+#: Cells of a sketch; documents that the tree is grown on, its branches, rounds, and the least of a node.
+CELLS, SAMPLE, BRANCHES, ROUNDS, LEAST = 256, 20_000, 8, 8, 16
 _ARROW = {"start": pa.int64(), "length": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "ids": pa.binary()}
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Pieces: ``key, start, length, doc_tokens, sequence_id, offset, ids``; ids are little-endian
     unsigned 32-bit numbers, ``start`` counts ids of the document before the piece."""
+    largest = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values())
+    kind = "<u2" if largest < 1 << 16 else "<u4"
+    held = _encoded(docs, tokenizer, key, text, end_id, kind)
+    corpus = _count(held, largest + 1, kind)
+    placed, parts = _placed(held, corpus, kind)
+    key_type = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer)
-        packer = _Packer(sequence, TaskContext.get().partitionId() << 40)
-        kind = None
+        packer = _Packer(sequence, TaskContext.get().partitionId() << 40, corpus)
+        of = None
         names: list = []
-        held: list[np.ndarray] = []
+        block: list[np.ndarray] = []
         for batch in batches:
-            kind = batch.schema.field(key).type
-            names += batch[key].to_pylist()
-            held += [np.append(ids, end_id) for ids in encode([one or "" for one in batch[text].to_pylist()])]
-            if len(held) >= SHARD_DOCUMENTS or sum(map(len, held)) >= SHARD_TOKENS:
-                yield from packer.add(names, held, key, kind)
-                names, held = [], []
-        if held:
-            yield from packer.add(names, held, key, kind)
+            of = batch.schema.field("name").type
+            names += batch["name"].to_pylist()
+            block += [ids.astype(np.int64) for ids in _documents(batch, kind)]
+            if len(block) >= SHARD_DOCUMENTS or sum(map(len, block)) >= SHARD_TOKENS:
+                yield from packer.add(names, block, key, of)
+                names, block = [], []
+        if block:
+            yield from packer.add(names, block, key, of)
 
-    key_type = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return docs.select(key, text).mapInArrow(run, schema)
+    ordered = placed.repartitionById(parts, "part").sortWithinPartitions("place", "row")
+    return ordered.select("name", "ids").mapInArrow(run, schema)
+
+
+def _encoded(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int, kind: str) -> DataFrame:
+    """``name, ids, row``, stored; ``row`` numbers the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, row = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            found = encode([one or "" for one in batch["text"].to_pylist()])
+            ids = pa.array([np.append(one, end_id).astype(kind).tobytes() for one in found], pa.binary())
+            rows = pa.array(np.arange(row, row + len(found)))
+            row += len(found)
+            yield pa.RecordBatch.from_arrays([batch["name"], ids, rows], ["name", "ids", "row"])
+
+    schema = f"name {docs.schema[key].dataType.simpleString()}, ids binary, row long"
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "packing")
+    rows = docs.select(F.col(key).alias("name"), F.col(text).alias("text")).mapInArrow(run, schema)
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _documents(batch: pa.RecordBatch, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(ids.as_buffer(), kind) for ids in batch["ids"]]
+
+
+class _Corpus(NamedTuple):
+    """What BM25 needs of all documents; terms outside the index have the weight 0."""
+
+    idf: np.ndarray
+    mean: float
+    count: int
+    tokens: int
+
+    @classmethod
+    def of(cls, spread: np.ndarray, count: int, total: int) -> _Corpus:
+        kept = (spread > 1) & (spread <= max(2, COMMON * count))
+        idf = np.where(kept, np.log1p((count - spread + 0.5) / (spread + 0.5)), 0)
+        return cls(idf, max(1.0, total / max(1, count)), count, total)
+
+
+def _terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (term, document) pairs in order, and how often each occurs."""
+    count = len(documents)
+    owner = np.repeat(np.arange(count), [len(ids) for ids in documents])
+    keys, times = np.unique(np.concatenate(documents).astype(np.int64) * count + owner, return_counts=True)
+    return *np.divmod(keys, count), times
+
+
+def _weighted(documents: list[np.ndarray], corpus: _Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indexed terms in order, their documents, and the BM25 weights."""
+    terms, owner, times = _terms(documents)
+    inside = corpus.idf[terms] > 0
+    terms, owner, times = terms[inside], owner[inside], times[inside]
+    norm = K1 * (1 - B + B * np.array([len(ids) for ids in documents]) / corpus.mean)
+    return terms, owner, times * (K1 + 1) / (times + norm[owner]) * corpus.idf[terms]
+
+
+def _count(held: DataFrame, size: int, kind: str) -> _Corpus:
+    """Document frequencies over all documents; at most one row for each id of the tokenizer is collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread, count, total = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            documents = _documents(batch, kind)
+            if documents:
+                spread += np.bincount(_terms(documents)[0], minlength=size)
+                count, total = count + len(documents), total + sum(map(len, documents))
+        terms = np.flatnonzero(spread)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(terms, [-1, -2])), pa.array(np.append(spread[terms], [count, total]))], ["term", "n"])
+
+    rows = held.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = {row.term: row.n for row in rows}
+    count, total = found.pop(-1, 0), found.pop(-2, 0)
+    spread = np.zeros(size, np.int64)
+    spread[list(found)] = list(found.values())
+    return _Corpus.of(spread, count, total)
+
+
+def _sketches(documents: list[np.ndarray], corpus: _Corpus) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of signed sums of term weights, and for each document a number in [0, 1) that
+    depends on two terms drawn by weight, the same ones for like documents."""
+    count = len(documents)
+    terms, owner, weight = _weighted(documents, corpus)
+    hashed = mix(terms.astype(np.uint64) + np.uint64(1))
+    sign = 1.0 - 2.0 * (hashed >> np.uint64(63)).astype(float)
+    flat = np.bincount(owner * CELLS + (hashed % np.uint64(CELLS)).astype(np.int64), sign * weight, count * CELLS)
+    sketches = flat.reshape(count, CELLS).astype(np.float32)
+    sketches /= np.maximum(1e-9, np.linalg.norm(sketches, axis=1, keepdims=True))
+    drawn = mix(hashed ^ np.uint64(0x9E3779B97F4A7C15))
+    clock = -np.log(((drawn >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)) / weight
+    order = np.lexsort((clock, owner))
+    code = np.append((hashed[order] >> np.uint64(20)) % np.uint64(1 << 16), np.uint64(0)).astype(float)
+    first = np.searchsorted(owner[order], np.arange(count + 1))
+    size, first = np.diff(first), first[:-1]
+    one = np.where(size > 0, code[first], 0.0)
+    two = np.where(size > 1, code[np.minimum(first + 1, len(order))], 0.0)
+    return sketches, (one + two / (1 << 16)) / (1 << 16)
+
+
+class _Tree:
+    """Spherical k-means, a node's vectors dealt to its branches; leaves are numbered so that close ones follow each other."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.leaves = 0
+        self.root = self._grow(vectors, np.random.default_rng(0))
+
+    def _grow(self, vectors: np.ndarray, draw: np.random.Generator):
+        if len(vectors) >= LEAST:
+            centres = vectors[draw.choice(len(vectors), BRANCHES, replace=False)]
+            for _ in range(ROUNDS):
+                near = np.argmax(vectors @ centres.T, axis=1)
+                centres = np.array([vectors[near == n].sum(axis=0) if (near == n).any() else centres[n] for n in range(BRANCHES)])
+                centres /= np.maximum(1e-9, np.linalg.norm(centres, axis=1, keepdims=True))
+            chain, left = [0], set(range(1, BRANCHES))
+            while left:
+                chain.append(max(sorted(left), key=lambda n: centres[n] @ centres[chain[-1]]))
+                left.remove(chain[-1])
+            centres = centres[chain]
+            near = np.argmax(vectors @ centres.T, axis=1)
+            if np.bincount(near, minlength=BRANCHES).max() < len(vectors):
+                return centres, [self._grow(vectors[near == n], draw) for n in range(BRANCHES)]
+        self.leaves += 1
+        return self.leaves - 1
+
+    def leaf(self, vectors: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(vectors), np.int64)
+        waiting = [(self.root, np.arange(len(vectors)))]
+        while waiting:
+            node, rows = waiting.pop()
+            if isinstance(node, int):
+                found[rows] = node
+                continue
+            near = np.argmax(vectors[rows] @ node[0].T, axis=1)
+            waiting += [(branch, rows[near == n]) for n, branch in enumerate(node[1]) if (near == n).any()]
+        return found
+
+
+def _placed(held: DataFrame, corpus: _Corpus, kind: str) -> tuple[DataFrame, int]:
+    """``held`` with ``place`` in the order by likeness and ``part``, the range it falls in; and the number of ranges.
+
+    The limits of the ranges come from the sample; rows at a place that fills several ranges are
+    spread over them."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                documents = _documents(batch, kind)
+                vectors, fine = _sketches(documents, corpus)
+                columns = [pa.array([one.astype("<f2").tobytes() for one in vectors], pa.binary()), pa.array(fine), pa.array([len(ids) for ids in documents], pa.int64()), batch["row"]]
+                yield pa.RecordBatch.from_arrays(columns, ["sketch", "fine", "tokens", "row"])
+
+    share = min(1.0, SAMPLE / max(1, corpus.count))
+    drawn = held.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else held
+    rows = sorted(drawn.select("ids", "row").mapInArrow(sketch, "sketch binary, fine double, tokens long, row long").collect(), key=lambda row: row.row)
+    vectors = np.frombuffer(b"".join(bytes(row.sketch) for row in rows), "<f2").astype(np.float32).reshape(len(rows), CELLS)
+    tree = _Tree(vectors)
+    parts = max(1, -(-corpus.tokens // TASK_TOKENS))
+    limits = np.zeros(0)
+    if rows:
+        places = tree.leaf(vectors) + np.array([row.fine for row in rows])
+        order = np.argsort(places, kind="stable")
+        sums = np.cumsum(np.array([row.tokens for row in rows])[order])
+        limits = places[order][np.searchsorted(sums, sums[-1] * np.arange(1, parts) / parts)]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors, fine = _sketches(_documents(batch, kind), corpus)
+            # as the sample was rounded
+            places = tree.leaf(vectors.astype("<f2").astype(np.float32)) + fine
+            low, high = np.searchsorted(limits, places, "left"), np.searchsorted(limits, places, "right")
+            salt = (mix(batch["row"].to_numpy().astype(np.uint64)) >> np.uint64(11)).astype(float) / (1 << 53)
+            part = low + (salt * (high - low + 1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places), pa.array(part.astype(np.int32))], [*batch.schema.names, "place", "part"])
+
+    schema = f"name {held.schema['name'].dataType.simpleString()}, ids binary, row long, place double, part int"
+    return held.mapInArrow(place, schema), parts
 
 
 class _Packer:
     """Fills sequences in order; keeps the open one from shard to shard."""
 
-    def __init__(self, size: int, first: int) -> None:
-        self.size, self.sequence, self.filled = size, first, 0
+    def __init__(self, size: int, first: int, corpus: _Corpus) -> None:
+        self.size, self.sequence, self.filled, self.corpus = size, first, 0, corpus
         self.seed: np.ndarray | None = None
 
     def add(self, names: list, documents: list[np.ndarray], key: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        index, rows = _Shard(documents), []
+        index, rows = _Shard(documents, self.corpus), []
         waiting = iter(())
         if self.seed is not None:
             waiting = index.neighbours(self.seed)
@@ -108,23 +306,18 @@ class _Packer:
 
 
 class _Shard:
-    """A BM25 inverted index over the documents of a block."""
+    """A BM25 inverted index over the documents of a block, weighted as in ``corpus``, by default the block."""
 
-    def __init__(self, documents: list[np.ndarray]) -> None:
+    def __init__(self, documents: list[np.ndarray], corpus: _Corpus | None = None) -> None:
         count = self.left = len(documents)
         self.unused, self.next = np.ones(count, bool), 0
-        sizes = np.array([len(ids) for ids in documents])
-        flat, owner = np.concatenate(documents), np.repeat(np.arange(count), sizes)
-        keys, times = np.unique(flat * count + owner, return_counts=True)
-        terms, self.posted = np.divmod(keys, count)
-        spread = np.bincount(terms)
-        kept = (spread > 1) & (spread <= max(2, COMMON * count))
-        self.idf = np.where(kept, np.log1p((count - spread + 0.5) / (spread + 0.5)), 0)
-        inside = kept[terms]
-        terms, times, self.posted = terms[inside], times[inside], self.posted[inside]
-        self.bounds = np.searchsorted(terms, np.arange(len(spread) + 1))
-        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
-        self.weight = times * (K1 + 1) / (times + norm[self.posted]) * self.idf[terms]
+        if corpus is None:
+            corpus = _Corpus.of(np.bincount(_terms(documents)[0]), count, sum(map(len, documents)))
+        self.idf = corpus.idf
+        terms, self.posted, self.weight = _weighted(documents, corpus)
+        self.bounds = np.searchsorted(terms, np.arange(len(self.idf) + 1))
+        order = np.argsort(self.posted, kind="stable")
+        self.own, self.edges = terms[order], np.searchsorted(self.posted[order], np.arange(count + 1))
 
     def take(self, at: int) -> None:
         self.unused[at] = False
@@ -137,9 +330,13 @@ class _Shard:
         return self.next
 
     def neighbours(self, ids: np.ndarray, at: int | None = None) -> Iterator[int]:
-        """Documents that share terms with ``ids``, best first; the caller skips used ones."""
-        terms = np.unique(ids[ids < len(self.idf)])
-        terms = terms[self.idf[terms] > 0]
+        """Documents that share terms with ``ids``, those of document ``at`` if it is of this shard, best
+        first; the caller skips used ones."""
+        if at is None:
+            terms = np.unique(ids[ids < len(self.idf)])
+            terms = terms[self.idf[terms] > 0]
+        else:
+            terms = self.own[self.edges[at] : self.edges[at + 1]]
         first = self.bounds[terms]
         size = self.bounds[terms + 1] - first
         after = np.cumsum(size)

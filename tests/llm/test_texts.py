@@ -169,6 +169,31 @@ def test_packing(docs, tokenizer):
     assert packing.pack(docs.limit(0), PATH).count() == 0
 
 
+def test_packing_finds_neighbours_of_other_partitions(spark):
+    text = lambda n: " ".join(f"{(n * 7919 + k * 104729) % 99991}" for k in range(12))
+    rows = [(n, text(n)) for n in range(40)]
+    copies = [(100 + n, text(n) + " more") for n in reversed(range(40))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows + copies, 2), "doc_id long, text string")
+    found: dict = {}
+    for piece in packing.pack(docs, PATH, sequence=128).collect():
+        found.setdefault(piece.doc_id, set()).add(piece.sequence_id)
+    assert sum(bool(found[n] & found[100 + n]) for n in range(40)) >= 36
+
+
+def test_packing_order():
+    draw = np.random.default_rng(1)
+    topics = [draw.integers(1 + 200 * n, 201 + 200 * n, (40, 60)) for n in range(20)]
+    texts = [np.append(ids, 0) for ids in draw.permutation(np.concatenate(topics))]
+    corpus = packing._Corpus.of(np.bincount(packing._terms(texts)[0]), len(texts), sum(map(len, texts)))
+    vectors, fine = packing._sketches([*texts, texts[5][::-1], np.array([0])], corpus)
+    assert fine[5] == fine[-2] and fine[-1] == 0 and not vectors[-1].any()
+    tree = packing._Tree(vectors)
+    assert tree.leaf(vectors)[5] == tree.leaf(vectors)[-2]
+    order = np.argsort(tree.leaf(vectors[: len(texts)]) + fine[: len(texts)])
+    topic = [(texts[at][0] - 1) // 200 for at in order]
+    assert np.mean([a == b for a, b in zip(topic, topic[1:])]) > 0.8
+
+
 def test_packing_takes_neighbours():
     texts = [np.array([a, a + 1, a + 2, 5, 6] * 3) for a in (100, 200, 100, 200, *range(300, 400, 3))]
     shard = packing._Shard(texts)
