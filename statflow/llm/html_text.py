@@ -5,8 +5,10 @@ A page is cut into flat blocks at block-level tags.  A block has its word count
 strongest cue of the containers it stands in.  A small tree, trained on ``LABELLED``, keeps or
 drops each block; a page's text is the kept blocks in order, joined by one space.
 
-Scripts, styles, comments, ``<head>`` and form controls never become blocks.  Character references
-are decoded after the tags are cut off, white space inside a block becomes one space.
+Scripts, styles, comments, ``<head>`` and form controls never become blocks.  Only elements of raw
+text (``RAW``) and comments run to the end of the page if they are not closed; other unseen elements
+end with their parent, a head also before the first thing that can't stand in it.  Character
+references are decoded after the tags are cut off, white space inside a block becomes one space.
 
 Defined results: NULL or empty html, or a page without kept blocks, has the text ``''``; tags that
 are never closed end with their container, an unclosed comment or script runs to the end of the
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from itertools import pairwise
@@ -27,7 +30,12 @@ from pyspark.sql import DataFrame
 from statflow.llm.common import pass_through, schema_with
 
 # HTML element names by what they do.
-UNSEEN = "script style noscript template head title svg math iframe object select textarea button option canvas"
+RAW = "script style noscript title textarea iframe"
+UNSEEN = "template head svg math object select button option canvas"
+#: What may stand in a head; anything else ends it, as text does.
+HEAD = "base basefont bgsound head html link meta noframes noscript script style template title"
+#: Unseen elements that an opening tag ends.
+ENDS = {"option": {"option"}, "button": {"button"}, "select": {"option", "select"}}
 INLINE = (
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr"
@@ -49,9 +57,11 @@ _SIDE_TAGS, _SIDE_WORDS = frozenset(SIDE_TAGS.split()), frozenset(SIDE_WORDS.spl
 _COMMENT_WORDS = frozenset(COMMENT_WORDS.split())
 _MAIN_TAGS, _MAIN_WORDS = frozenset(MAIN_TAGS.split()), frozenset(MAIN_WORDS.split())
 _INLINE, _CONTAINERS = frozenset(INLINE.split()), frozenset(CONTAINERS.split())
+_HEAD = frozenset(HEAD.split())
 _PIECES = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<unseen>" + "|".join(UNSEEN.split()) + r")(?=[\s/>])[^>]*(?:(?<=/)>|>.*?(?:</(?P=unseen)\s*>|\Z)|\Z)"
+    r"|<(?P<unseen>" + "|".join(RAW.split()) + r")(?=[\s/>])[^>]*(?:(?<=/)>|>.*?(?:</(?P=unseen)\s*>|\Z)|\Z)"
+    r"|<(?P<dark>" + "|".join(UNSEEN.split()) + r")(?=[\s/>])(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*(?:>|\Z))"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
@@ -141,9 +151,16 @@ def _cue(tag: str, rest: str, around: int) -> int:
     return around
 
 
+def _begun(piece: re.Match) -> str:
+    """The element that a piece opens, or one that may stand anywhere."""
+    return (piece["unseen"] or piece["dark"] or (not piece["close"] and piece["tag"]) or "html").lower()
+
+
 def flat_blocks(page: str) -> list[tuple[str, int, float, int]]:
     """(text, words, link density, cue) of each block with text, in page order."""
     found, pieces, linked, stack, cue, now, link = [], [], [], [], NONE, NONE, 0
+    # unseen elements around, tags that were opened outside and inside of them
+    dark, outer, inner = [], Counter(), Counter()
 
     def close() -> None:
         text = " ".join(entities.unescape("".join(pieces)).split())
@@ -156,14 +173,43 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int]]:
 
     for piece in _PIECES.finditer(page):
         text = piece["text"]
+        if dark == ["head"] and (not text.isspace() if text is not None else _begun(piece) not in _HEAD):
+            dark.clear()
         if text is not None:
+            if dark:
+                continue
             pieces.append(text)
             if link:
                 linked.append(text)
             continue
+        if tag := (piece["dark"] or "").lower():
+            while dark and dark[-1] in ENDS.get(tag, ()):
+                dark.pop()
+            if not piece[0].endswith("/>"):
+                dark.append(tag)
+            continue
         tag = (piece["tag"] or "").lower()
         if not tag:
             continue
+        if dark:
+            if not piece["close"]:
+                inner[tag] += not piece["rest"].endswith("/")
+                continue
+            if tag in dark or inner[tag] or not outer[tag]:
+                if tag in dark:
+                    while dark.pop() != tag:
+                        pass
+                elif inner[tag]:
+                    inner[tag] -= 1
+                if not dark:
+                    inner.clear()
+                continue
+            dark.clear()
+            inner.clear()
+        if not piece["close"]:
+            outer[tag] += not piece["rest"].endswith("/")
+        elif outer[tag]:
+            outer[tag] -= 1
         if tag in _INLINE:
             if tag == "a":
                 link = 0 if piece["close"] else 1

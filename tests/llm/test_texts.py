@@ -39,6 +39,21 @@ def test_page_blocks():
     assert html_text.main_text('<article><p title="never closed' + "'" * 9 + ">" + "<" * 2000)
 
 
+def test_elements_without_end_tags():
+    text = html_text.main_text
+    body = "<article><p>one two three four five six</p></article>"
+    want = "one two three four five six"
+    for head in ("<html><head><title>t</title><body>", "<html><head><meta charset=x><script>var a</script>", "<head></head>", "<HEAD><style>p{}</style><link href=x/>"):
+        assert text(head + body) == want, head
+    words = "seven eight nine ten eleven twelve"
+    assert text("<head><title>t</title>" + words * 3) == words * 3
+    for odd in ("<datalist><option value=a><option value=b></datalist>", "<div><button>Buy now</div>", "<p>Go <object data=x></p>", "<div><svg><g><path d=x></g></div>", "<div><canvas>none</div>", "<div><select><option>a<option>b</div>", "<svg/>", '<button title="a > b">no</button>', "<template><div><p>no</p></div></template>"):
+        found = text(f"<article><p>one two three four five six</p>{odd}<p>{words}</p></article>")
+        assert found.replace(" Go", "") == f"{want} {words}", odd
+    assert text(f"<article><p>one <button>no<div>no</div></button>two <svg><title>no</title></svg>three</p><p>{words}</p></article>") == f"one two three {words}"
+    assert text(f"<article><p>{words}</p><button class='x") == words
+
+
 def test_page_columns(spark):
     pages = spark.createDataFrame([(1, None, None, "t", 5), (2, "u", "", "t", 5), (2, "u", "<article>x\u00a0y</article>", None, 5)], "page_id long, url string, html string, text string, n_chars long")
     rows = sorted(html_text.extract(pages).collect(), key=lambda row: (row.page_id, row.text))
