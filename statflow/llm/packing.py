@@ -123,8 +123,10 @@ def _terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     """Distinct (term, document) pairs in order, and how often each occurs."""
     count = len(documents)
     owner = np.repeat(np.arange(count), [len(ids) for ids in documents])
-    keys, times = np.unique(np.concatenate(documents).astype(np.int64) * count + owner, return_counts=True)
-    return *np.divmod(keys, count), times
+    flat = np.concatenate(documents)
+    narrow = np.int32 if (int(flat.max()) + 1) * count < 1 << 31 else np.int64
+    keys, times = np.unique(flat.astype(narrow) * narrow(count) + owner.astype(narrow), return_counts=True)
+    return *np.divmod(keys.astype(np.int64), count), times
 
 
 def _weighted(documents: list[np.ndarray], corpus: _Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
