@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, near_duplicates, neighbours, packing, private_data, secrets, url_filter
+from statflow.llm import (
+    decontaminate,
+    grammar,
+    html_text,
+    language_id,
+    manifest,
+    near_duplicates,
+    neighbours,
+    packing,
+    private_data,
+    secrets,
+    url_filter,
+)
 from statflow.llm.common import scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -167,6 +179,77 @@ select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdic
 from parsed p left join (select * from fits where rank = 1) f using (page_id, host, path)
 """
 
+
+
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document folded into the root of the manifest again, a third of them tampered with."""
+    return manifest.audit(table(spark, folder, "documents"))
+
+
+#: Levels that the SQL twin unrolls: 8 ** 8 documents of a language, 8 ** 3 languages.
+OP11_LEVELS, OP11_TOP_LEVELS = 8, 3
+
+
+def _op11_sql() -> str:
+    """Node tables level by level; beside them each document's own digest and siblings so far."""
+    field = lambda x: f"coalesce(strlen(cast({x} as varchar)) || ':' || cast({x} as varchar), '-')"
+    fields = lambda text: " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text))
+    parts = [
+        """crc_table as materialized (
+  select list(code order by n) as codes from (
+    select n, list_reduce(list_prepend(n, range(8)),
+      lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) as code
+    from (select unnest(range(256)) as n)))""",
+        f"""docs as materialized (
+  select row_number() over () as row, doc_id, coalesce('=' || lang, '') as g, sha256({fields("text")}) as leaf,
+    sha256({fields("changed")}) as now
+  from (
+    select *, case when xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+          string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+        lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1]))) % 3 = 0
+      then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end as changed
+    from documents, crc_table))""",
+        """n0 as materialized (
+  select row, g, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos, leaf as digest,
+    count(*) over (partition by g) as size
+  from docs)""",
+        "f0 as materialized (select row, n0.g, pos, now as digest, '' as proof from n0 join docs using (row))",
+    ]
+
+    def level(node: str, fold: str, n: int) -> list[str]:
+        return [
+            f"""{node}{n} as materialized (
+  select g, pos // 8 as pos, case when size > 1 then sha256(string_agg(digest, '' order by pos)) else any_value(digest) end as digest,
+    (size + 7) // 8 as size
+  from {node}{n - 1} group by g, pos // 8, size)""",
+            f"""{fold}{n} as materialized (
+  select f.row, f.g, f.pos // 8 as pos,
+    case when n.size > 1 then sha256(string_agg(case when n.pos = f.pos then f.digest else n.digest end, '' order by n.pos))
+      else f.digest end as digest,
+    f.proof || coalesce(string_agg(n.digest, '' order by n.pos) filter (where n.pos <> f.pos), '') as proof
+  from {fold}{n - 1} f join {node}{n - 1} n on n.g = f.g and n.pos // 8 = f.pos // 8
+  group by f.row, f.g, f.pos, f.digest, f.proof, n.size)""",
+        ]
+
+    for n in range(1, OP11_LEVELS + 1):
+        parts += level("n", "f", n)
+    last = OP11_LEVELS
+    parts += [
+        f"""t0 as materialized (
+  select '' as g, g as name, row_number() over (order by g) - 1 as pos, digest, count(*) over () as size from n{last})""",
+        f"u0 as materialized (select f.row, t0.g, t0.pos, f.digest, f.proof from f{last} f join t0 on f.g = t0.name)",
+    ]
+    for n in range(1, OP11_TOP_LEVELS + 1):
+        parts += level("t", "u", n)
+    last = OP11_TOP_LEVELS
+    return f"""
+with {", ".join(parts)}
+select doc_id, leaf, t0.digest as subroot, root.digest as root, sha256(u.proof) as proof_sha256, u.digest as folded_root,
+  u.digest = root.digest as verified
+from docs join u{last} u using (row) join t0 on docs.g = t0.name, t{last} as root
+"""
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
@@ -178,5 +261,6 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_secrets": op9_secrets,
     "op10_url_filter": op10_url_filter,
+    "op11_manifest": op11_manifest,
 }
-ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL}
+ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL, "op11_manifest": _op11_sql()}
