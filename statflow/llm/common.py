@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +31,13 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return name_shared_folder(spark)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written below the shared folder and read back: later steps no longer depend on its lineage."""
+def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written below the shared folder and read back: later steps no longer depend on its lineage.
+
+    ``by``: columns that get a folder for each of their few values."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from statflow.llm import (
     decontaminate,
+    divergence,
     grammar,
     html_text,
     language_id,
@@ -250,6 +251,47 @@ from docs join u{last} u using (row) join t0 on docs.g = t0.name, t{last} as roo
 """
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far each source is from the others of its language, and its most distinctive terms."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+OP13_SQL = """
+with docs as materialized (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), words as (select row, lang, source, unnest(w) as term from docs
+), kept as materialized (
+  select lang, term, count(*) as often from words group by lang, term having count(distinct row) >= 3
+), groups as materialized (select distinct lang, source from docs
+), had as materialized (
+  select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all
+), sizes as (
+  select lang, count(*) as v, cast(sum(often) as bigint) as total from kept group by lang
+), totals as (
+  select g.lang, g.source, coalesce(cast(sum(n) as bigint), 0) as total from groups g left join had using (lang, source) group by all
+), shares as materialized (
+  select g.lang, g.source, k.term, coalesce(h.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(h.n, 0) + 1)) // (t.total + s.v) as p,
+    1 + (1000000000::hugeint * (k.often + 1)) // (s.total + s.v) as q
+  from groups g join kept k using (lang) join totals t using (lang, source) join sizes s using (lang)
+    left join had h on h.lang = g.lang and h.source = g.source and h.term = k.term
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(sum(((a.p - b.p) * (a.p - b.p)) // b.p) as bigint) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  union all
+  select a.lang, a.source, 'pair', b.source, 0 from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  where a.lang not in (select lang from kept)
+  union all
+  select lang, source, 'term', term, cast(((p - q) * (p - q)) // q as bigint) from shares where n > 0 and p > q
+)
+select lang, source, part, item, value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+from found qualify part = 'pair' or rank <= 200
+"""
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
@@ -262,5 +304,6 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_url_filter": op10_url_filter,
     "op11_manifest": op11_manifest,
+    "op13_divergence": op13_divergence,
 }
-ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL, "op11_manifest": _op11_sql()}
+ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL, "op11_manifest": _op11_sql(), "op13_divergence": OP13_SQL}
