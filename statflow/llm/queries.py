@@ -12,6 +12,7 @@ from statflow.llm import (
     grammar,
     html_text,
     language_id,
+    licenses,
     manifest,
     near_duplicates,
     neighbours,
@@ -21,6 +22,7 @@ from statflow.llm import (
     url_filter,
 )
 from statflow.llm.common import scratch_path, table
+from statflow.llm.words import fold
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -251,6 +253,54 @@ from docs join u{last} u using (row) join t0 on docs.g = t0.name, t{last} as roo
 """
 
 
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses that every document names or quotes."""
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"])
+    joined = [F.array_join(name, ",").alias(name) for name in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
+def _op12_sql() -> str:
+    """All blocks of all texts against all notices of their width, and all places of the phrases."""
+    quote = lambda words: "[" + ", ".join("'" + word.decode() + "'" for word in words) + "]"
+    known = []
+    for label, text in licenses.NOTICES:
+        words = fold(text.encode()).split()
+        own = sorted(set(words))
+        known.append(f"('{label}', {quote(own)}, {licenses.width(len(words))}, {licenses.needed(len(own))})")
+    phrases = [f"({quote(phrase.encode().split())}, '{label}')" for phrase, label in licenses.PHRASES]
+    return f"""
+with docs as materialized (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), notices(label, words, width, needed) as (values {", ".join(known)}
+), phrases(words, label) as (values {", ".join(phrases)}
+), blocks as (
+  select row, width, list_distinct(w[i * (width // 2) + 1 : i * (width // 2) + width]) as own
+  from (select row, w, width, unnest(range(len(w) // (width // 2) + 1)) as i from docs, (select distinct width from notices))
+), met as (
+  select row, label, len(list_intersect(words, own)) as common, len(words) as n, needed
+  from notices join blocks using (width) where len(list_intersect(words, own)) >= needed
+), places as (
+  select row, label, i - 1 as place
+  from (select row, w, p.words, label, unnest(range(1, len(w) - len(p.words) + 2)) as i from docs, phrases p)
+  where w[i : i + len(words) - 1] = words
+), base as (
+  select row, count(*) as n_base, min(place) as first_word, max(place) as last_word,
+    string_agg(distinct label, ',' order by label) as base_labels
+  from places group by row
+), every as (
+  select row, string_agg(distinct label, ',' order by label) as labels, max(score) as score
+  from (select row, label, 1.0::double as score from places union all select row, label, common / n from met) group by row
+)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0::double) as score
+from docs left join base using (row) left join every using (row)
+"""
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """How far each source is from the others of its language, and its most distinctive terms."""
     return divergence.audit(table(spark, folder, "documents"))
@@ -304,6 +354,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_url_filter": op10_url_filter,
     "op11_manifest": op11_manifest,
+    "op12_licenses": op12_licenses,
     "op13_divergence": op13_divergence,
 }
-ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL, "op11_manifest": _op11_sql(), "op13_divergence": OP13_SQL}
+ORACLES = {"op4_decontaminate": OP4_SQL, "op9_secrets": _op9_sql(), "op10_url_filter": OP10_SQL, "op11_manifest": _op11_sql(), "op12_licenses": _op12_sql(), "op13_divergence": OP13_SQL}
