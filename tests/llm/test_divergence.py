@@ -94,7 +94,7 @@ def test_written_out_in_parts(monkeypatch):
     assert len(parts) > 20
     for part in parts:
         for row in part.to_pylist():
-            if row["level"] == 0:
+            if row["level"] < 0:
                 docs[row["lang"], row["source"], row["piece"]] += row["docs"]
                 count[row["lang"], row["source"], row["piece"]] += row["count"]
     want_docs, want = Counter(), Counter()
