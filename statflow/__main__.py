@@ -1,4 +1,4 @@
-"""Submit targets: ``stream`` for the snapshot stream, ``enrich`` for the batch over JDBC.
+"""Submit targets: ``stream`` for the snapshot stream, ``state`` for what it holds, ``enrich`` for the batch over JDBC.
 
 spark-submit --packages <kafka connector> -m statflow stream --servers h:9092 --topic t ...
 """
@@ -15,13 +15,8 @@ from statflow.sources.events import broker_options, read_events
 from statflow.sources.tables import Database, Split
 from statflow.streaming import run
 from statflow.streaming.dedup import DELAY, MODES
-from statflow.streaming.sinks import (
-    AppendSink,
-    CurrentStateSink,
-    DatabaseStore,
-    FolderStore,
-    state_table,
-)
+from statflow.streaming.sinks import AppendSink, DatabaseStore, FolderStore
+from statflow.streaming.state import read_state, start_state
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -39,12 +34,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--trigger", default=run.TRIGGER)
     stream.add_argument("--name", default="channel_snapshots")
     target = stream.add_mutually_exclusive_group(required=True)
-    target.add_argument("--state", help="folder of the current state per channel")
+    target.add_argument("--state", action="store_true", help="the current state per channel, kept in the checkpoint")
+    stream.add_argument("--newer-only", action="store_true", help="event time decides the state, not arrival")
     target.add_argument("--folder", help="folder of appended snapshots")
     target.add_argument("--url", help="database of appended snapshots")
     stream.add_argument("--driver")
     stream.add_argument("--table", default="channel_stats_stream")
 
+    state = modes.add_parser("state", help="the current state of a stream as Parquet")
+    state.add_argument("--checkpoint", required=True)
+    state.add_argument("--out", required=True)
+
     enrich = modes.add_parser("enrich", help="one database table to its enriched form")
     enrich.add_argument("--url", required=True)
     enrich.add_argument("--driver", required=True)
@@ -54,9 +54,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def sink_for(spark: SparkSession, args: argparse.Namespace):
-    if args.state:
-        return CurrentStateSink(state_table(spark, args.state), args.name)
+def sink_for(args: argparse.Namespace) -> AppendSink:
     if args.folder:
         return AppendSink(FolderStore(args.folder), args.table, args.name)
     return AppendSink(DatabaseStore(Database(args.url, args.driver)), args.table, args.name)
@@ -69,11 +67,17 @@ def main(argv: list[str] | None = None) -> None:
         split = Split(*args.split[:3], int(args.split[3])) if args.split else None
         enrich_channels(spark, Database(args.url, args.driver), args.source, args.target, split)
         return
+    if args.job == "state":
+        read_state(spark, args.checkpoint).write.mode("errorifexists").parquet(args.out)
+        return
     for key, value in STREAM_SETTINGS.items():
         spark.conf.set(key, value)
     options = broker_options(args.servers, args.topic, args.group, args.per_trigger)
     rows = run.snapshots(read_events(spark, options), args.dedup, args.delay)
-    query = run.start(rows, sink_for(spark, args), args.checkpoint, args.name, args.trigger)
+    if args.state:
+        query = start_state(rows, args.checkpoint, args.newer_only, args.name, args.trigger)
+    else:
+        query = run.start(rows, sink_for(args), args.checkpoint, args.name, args.trigger)
     query.awaitTermination()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statflow.catalog.fixtures import OBSERVED, OBSERVED_SQL, RUN, RUN_SQL, cte, fixture
-from statflow.catalog.registry import Tables, query
+from statflow.catalog.registry import ORACLES, Tables, query
 from statflow.operators import merge, queue, shaping
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEOS
@@ -170,6 +170,54 @@ def keyed_update(t: Tables):
     return merge.keyed_update(fixture(t, "videos"), updates, "video_id", ["status"])
 
 
+def _published(t: Tables, name: str, schema, key: str) -> VersionedTable:
+    table = VersionedTable(t.spark, scratch_path(t.spark, name), schema, key, 8)
+    table.publish(fixture(t, name))
+    return table
+
+
+@query("m1_bucketed_channels", _upserted_sql("s.channel_id is not null"))
+def bucketed_channels(t: Tables):
+    """The same upsert into a published table, bucket by bucket."""
+    table, batch = _published(t, "channels", CHANNEL_STATS_V1, "channel_id"), fixture(t, "channel_obs")
+    table.update(batch, lambda rows: merge.upsert_channels(rows, batch, OBSERVED, ("event_id",)))
+    return table.read()
+
+
+@query("m2_bucketed_queue", ORACLES["m2_upsert_queue"])
+def bucketed_queue(t: Tables):
+    table, batch = _published(t, "videos", VIDEOS, "video_id"), t.view("lineitem", _CANDIDATES)
+    table.update(batch, lambda rows: merge.upsert_queue(rows, batch, RUN, ("published_at", "channel_id")))
+    return table.read()
+
+
+@query("m3_bucketed_cadence", ORACLES["m3_apply_cadence"])
+def bucketed_cadence(t: Tables):
+    table, measured = _published(t, "videos", VIDEOS, "video_id"), t.view("lineitem", _MEASURED)
+    table.update(measured, lambda rows: merge.apply_cadence(rows, measured, RUN))
+    return table.read()
+
+
+@query(
+    "m3_few_buckets",
+    cte("videos")
+    + f""", changed as (select video_id from videos where video_id in ('1', '2', '3', '5', '7'))
+    select video_id, channel_id, published_at, case when video_id in (select * from changed) then 'deleted' else status end as status,
+      last_polled_at, next_poll_at, current_interval_hours, created_at from videos""",
+)
+def few_buckets(t: Tables):
+    """Five keys at most: other buckets stay the files they are."""
+    table = _published(t, "videos", VIDEOS, "video_id")
+    keys = fixture(t, "videos").where(F.col("video_id").isin("1", "2", "3", "5", "7")).select("video_id")
+    gone = keys.withColumn("status", F.lit("deleted"))
+    before = table.current()
+    after = table.update(keys, lambda rows: merge.keyed_update(rows, gone, "video_id", ["status"]))
+    same = sum(after.folders[n] == folder for n, folder in before.folders.items())
+    if same < len(before.folders) - 5:
+        raise AssertionError(f"only {same} of {len(before.folders)} buckets were left alone")
+    return table.read()
+
+
 @query(
     "m5_publish",
     cte("videos")
@@ -179,8 +227,7 @@ def keyed_update(t: Tables):
 )
 def publish(t: Tables):
     """A table is published, changed from its own published version, and published again."""
-    table = VersionedTable(t.spark, scratch_path(t.spark, "queue"), VIDEOS)
-    table.publish(fixture(t, "videos"))
+    table = _published(t, "videos", VIDEOS, "video_id")
     before = table.read()
     interval = F.when(F.col("next_poll_at") <= F.lit(RUN), F.lit(168))
     table.publish(

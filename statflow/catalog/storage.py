@@ -20,7 +20,8 @@ from statflow.session import scratch_path
 from statflow.sinks.series import TREND_DATE, append_series, read_series
 from statflow.sources.events import as_event_frame, read_event_files
 from statflow.streaming import run
-from statflow.streaming.sinks import AppendSink, CurrentStateSink, FolderStore, state_table
+from statflow.streaming.sinks import AppendSink, FolderStore
+from statflow.streaming.state import read_state, start_state
 
 
 @query(
@@ -39,30 +40,34 @@ def series(t: Tables):
 @query(
     "w5_collect_trends",
     cte("channel_lists", "uploads")
-    + """select v.video_id, v.title, v.view_count, v.captured_at, v.project_category from channel_lists c
+    + """select v.* from channel_lists c
     join (select *, row_number() over (partition by uploads_playlist_id order by position, video_id) as nth
       from uploads) u on c.uploads_playlist_id = u.uploads_playlist_id and u.nth <= 50
-    join (select cast(p_partkey as varchar) as video_id, p_name as title,
-      cast(p_size * 1000 as bigint) as view_count, timestamp '2001-08-01 12:00:00' as captured_at,
-      'Data Science & AI' as project_category from part
-      where p_partkey % 9 <> 0) v on u.video_id = v.video_id""",
+    join (select cast(p_partkey as varchar) as video_id, p_brand as channel_title, 'Data Science & AI' as project_category,
+      p_name as title, p_type as description, timestamp '2001-01-01 00:00:00' as published_at,
+      '' as thumbnail_url, cast([] as varchar[]) as tags, cast(null as varchar) as youtube_category_id, 'none' as live_broadcast_content,
+      cast(p_size * 1000 as bigint) as view_count, cast(p_partkey as bigint) as like_count, cast(0 as bigint) as comment_count,
+      'PT' || cast(p_size as varchar) || 'S' as duration, '' as dimension, p_brand as definition, '' as caption,
+      p_partkey % 2 = 0 as licensed_content, '' as projection, cast([] as varchar[]) as topic_categories,
+      'processed' as upload_status, '' as privacy_status, true as embeddable, p_partkey % 4 = 1 as public_stats_viewable,
+      timestamp '2001-08-01 12:00:00' as captured_at from part where p_partkey % 9 <> 0) v on u.video_id = v.video_id""",
 )
 def trend_rows(t: Tables):
     """Channel lists to trend rows; items without a publication time are quarantined."""
     items = t.raw("part").selectExpr(
         "cast(p_partkey as string) as id",
-        "map('title', p_name, 'publishedAt',"
+        "map('title', p_name, 'channelTitle', p_brand, 'description', p_type, 'publishedAt',"
         " case when p_partkey % 9 = 0 then '' else '2001-01-01T00:00:00Z' end) as snippet",
-        "map('viewCount', cast(p_size * 1000 as string)) as statistics",
-        "cast(map() as map<string,string>) as contentDetails",
-        "cast(map() as map<string,string>) as status",
+        "map('viewCount', cast(p_size * 1000 as string), 'likeCount', cast(p_partkey as string)) as statistics",
+        "map('duration', concat('PT', cast(p_size as string), 'S'), 'definition', p_brand,"
+        " 'licensedContent', cast(p_partkey % 2 = 0 as string)) as contentDetails",
+        "map('uploadStatus', 'processed', 'publicStatsViewable', cast(p_partkey % 4 = 1 as string)) as status",
         "cast(map() as map<string,string>) as topicDetails",
     )
     lists = fixture(t, "channel_lists")
     path = scratch_path(t.spark, "trends")
     collect_trends(lists, lists, fixture(t, "uploads"), items, path, RUN)
-    written = read_series(t.spark, path, VIDEO_TRENDS, RUN, TREND_DATE)
-    return written.select("video_id", "title", "view_count", "captured_at", "project_category")
+    return read_series(t.spark, path, VIDEO_TRENDS, RUN, TREND_DATE).select(*VIDEO_TRENDS.names)
 
 
 @query(
@@ -75,8 +80,11 @@ def trend_rows(t: Tables):
       last_value(cast(c_custkey * 1000 as bigint)) over w as total_views
       from good window w as (partition by id order by c_custkey
         rows between unbounded preceding and unbounded following))
-    select id as channel_id, channel_title, country, total_views, cast(0 as bigint) as subscriber_count,
-      {OBSERVED_SQL} as processed_at, {OBSERVED_SQL} as created_at from folded""",
+    select id as channel_id, channel_title, '' as channel_description, cast(null as timestamp) as published_at, country,
+      total_views, cast(0 as bigint) as subscriber_count, cast(0 as bigint) as video_count,
+      {OBSERVED_SQL} as processed_at, {OBSERVED_SQL} as created_at, cast(null as varchar) as title,
+      cast(null as varchar) as tier_category, cast(null as varchar) as uploads_playlist_id,
+      cast(null as timestamp) as last_checked_at from folded""",
 )
 def refresh(t: Tables):
     """API objects into an empty channel table; an unreadable counter is quarantined."""
@@ -87,17 +95,9 @@ def refresh(t: Tables):
         "map('viewCount', case when c_custkey % 8 = 3 then 'many'"
         " else cast(c_custkey * 1000 as string) end) as statistics",
     )
-    table = VersionedTable(t.spark, scratch_path(t.spark, "channels"), CHANNEL_STATS)
+    table = VersionedTable(t.spark, scratch_path(t.spark, "channels"), CHANNEL_STATS, "channel_id", 8)
     refresh_channels(items, table, OBSERVED, ("arrival",))
-    return table.read().select(
-        "channel_id",
-        "channel_title",
-        "country",
-        "total_views",
-        "subscriber_count",
-        "processed_at",
-        "created_at",
-    )
+    return table.read()
 
 
 _MEASURED = "cast(v.video_id as bigint) % 13 <> 0"
@@ -114,7 +114,7 @@ def _counters(due, factor: int):
 
 
 def _video_queue(t: Tables) -> VersionedTable:
-    table = VersionedTable(t.spark, scratch_path(t.spark, "queue"), VIDEOS)
+    table = VersionedTable(t.spark, scratch_path(t.spark, "queue"), VIDEOS, "video_id", 8)
     table.publish(fixture(t, "videos"))
     return table
 
@@ -147,25 +147,25 @@ def collected_series(t: Tables):
     return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
 
 
-@query(
-    "flow3_collect_queue",
-    cte("videos")
-    + f""", polled as (select *, next_poll_at <= {RUN_SQL} and {_MEASURED} as hit,
-      cast(case when epoch_us({RUN_SQL}) - epoch_us(published_at) < 24 * 3600000000 then 1
-        when epoch_us({RUN_SQL}) - epoch_us(published_at) < 168 * 3600000000 then 6
-        when epoch_us({RUN_SQL}) - epoch_us(published_at) < 720 * 3600000000 then 24
-        else 168 end as int) as hours from videos v)
-    select video_id, status, case when hit then {RUN_SQL} else last_polled_at end as last_polled_at,
+_HOURS_SQL = f"""cast(case when epoch_us({RUN_SQL}) - epoch_us(published_at) < 24 * 3600000000 then 1
+  when epoch_us({RUN_SQL}) - epoch_us(published_at) < 168 * 3600000000 then 6
+  when epoch_us({RUN_SQL}) - epoch_us(published_at) < 720 * 3600000000 then 24 else 168 end as int)"""
+
+
+def _moved_sql(measured: str) -> str:
+    """The queue after a run that measured the due videos of a condition."""
+    return f""", polled as (select *, coalesce(next_poll_at <= {RUN_SQL} and {measured}, false) as hit, {_HOURS_SQL} as hours from videos v)
+    select video_id, channel_id, published_at, status, case when hit then {RUN_SQL} else last_polled_at end as last_polled_at,
       case when hit then {RUN_SQL} + to_hours(hours) else next_poll_at end as next_poll_at,
-      case when hit then hours else current_interval_hours end as current_interval_hours
-    from polled""",
-)
+      case when hit then hours else current_interval_hours end as current_interval_hours, created_at
+    from polled"""
+
+
+@query("flow3_collect_queue", cte("videos") + _moved_sql(_MEASURED))
 def collected_queue(t: Tables):
     """Measured videos move on; due ones that could not be read stay due."""
     table, _ = _collected(t)
-    return table.read().select(
-        "video_id", "status", "last_polled_at", "next_poll_at", "current_interval_hours"
-    )
+    return table.read()
 
 
 _ANSWERED = "(cast(v.video_id as bigint) % 5 <> 0 or cast(v.video_id as bigint) % 13 <> 0)"
@@ -184,24 +184,22 @@ def repeated_series(t: Tables):
     return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
 
 
-@query(
-    "flow3_collect_repeated_queue",
-    cte("videos")
-    + f"""select video_id, next_poll_at is not null and next_poll_at <= {RUN_SQL} and {_ANSWERED} as moved
-    from videos v""",
-)
+@query("flow3_collect_repeated_queue", cte("videos") + _moved_sql(_ANSWERED))
 def repeated_queue(t: Tables):
     table, _ = _collected_again(t)
-    moved = F.coalesce(F.col("last_polled_at") == instant(RUN), F.lit(False))
-    return table.read().select("video_id", moved.alias("moved"))
+    return table.read()
 
 
 @query(
     "m5_concurrent_merge",
     cte("videos")
-    + f"""select video_id, coalesce(next_poll_at <= {RUN_SQL} and {_MEASURED}, false) as moved, false as new
-    from videos v union all
-    select distinct 'n' || cast(l_partkey as varchar), false, true from lineitem""",
+    + _moved_sql(_MEASURED)
+    + f"""
+    union all
+    select video_id, channel_id, published_at, 'active', {RUN_SQL}, {RUN_SQL}, cast(1 as int), {RUN_SQL} from (
+      select *, row_number() over (partition by video_id order by published_at desc, channel_id desc) as nth
+      from (select concat('n', cast(l_partkey as varchar)) as video_id, cast(l_suppkey as varchar) as channel_id,
+        l_shipdate as published_at from lineitem)) where nth = 1""",
 )
 def concurrent_merge(t: Tables):
     """Uploads are ingested while a collection measures: both effects stay."""
@@ -210,13 +208,11 @@ def concurrent_merge(t: Tables):
     found = t.view("lineitem", list(names))
 
     def measure(due):
-        table.update(lambda rows: upsert_queue(rows, found, RUN, ("published_at", "channel_id")))
+        table.update(found, lambda rows: upsert_queue(rows, found, RUN, ("published_at", "channel_id")))
         return _counters(due.where(F.col("video_id").cast("bigint") % 13 != 0), 25)
 
     collect_snapshots(table, measure, path, RUN)
-    new = F.col("video_id").startswith("n")
-    moved = F.coalesce(F.col("last_polled_at") == instant(RUN), F.lit(False)) & ~new
-    return table.read().select("video_id", moved.alias("moved"), new.alias("new"))
+    return table.read()
 
 
 def _land(t: Tables, frame, label: str) -> str:
@@ -304,17 +300,15 @@ select * from folded"""
 
 @query("t5_stream_state", cte("channel_obs") + _STATE_SQL)
 def stream_state(t: Tables):
-    """Messages in two deliveries, good and broken, folded into the current state per channel."""
+    """Messages in three deliveries, good and broken, each by a new start from the checkpoint."""
     rows = messages(t).withColumn("day", F.dayofmonth("timestamp"))
-    source = scratch_path(t.spark, "messages")
-    checkpoint = scratch_path(t.spark, "checkpoint")
-    table = state_table(t.spark, scratch_path(t.spark, "state"))
-    sink = CurrentStateSink(table, "state")
-    for half in (F.col("day") <= 15, F.col("day") > 15):
-        rows.where(half).drop("day").write.mode("append").parquet(source)
+    source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
+    day = F.col("day")
+    for third in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        rows.where(third).drop("day").write.mode("append").parquet(source)
         distinct = run.snapshots(read_event_files(t.spark, source))
-        run.start(distinct, sink, checkpoint, trigger=None).awaitTermination()
-    return table.read().drop("created_at")
+        start_state(distinct, checkpoint, trigger=None).awaitTermination()
+    return read_state(t.spark, checkpoint).drop("created_at")
 
 
 _FIRSTS = [

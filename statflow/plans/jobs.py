@@ -48,7 +48,7 @@ def refresh_channels(
         counts = _clean_and_bad(checked)
         if counts["affected"]:
             batch = quality.clean(checked)
-            table.update(lambda rows: merge.upsert_channels(rows, batch, as_of, order))
+            table.update(batch, lambda rows: merge.upsert_channels(rows, batch, as_of, order))
         return counts
     finally:
         checked.unpersist()
@@ -115,7 +115,7 @@ def ingest_uploads(
                 "video_id", "channel_id", "published_at", "position"
             )
             order = ("channel_id", "position", "published_at")
-            table.update(lambda rows: merge.upsert_queue(rows, batch, as_of, order))
+            table.update(batch, lambda rows: merge.upsert_queue(rows, batch, as_of, order))
         return counts
     finally:
         checked.unpersist()
@@ -138,7 +138,7 @@ def collect_snapshots(
     The queue is updated as it is then; what other jobs wrote meanwhile stays.  Returns the number
     of snapshots that the run has stored.
     """
-    waiting, _ = table.snapshot()
+    waiting = table.read()
     spark = waiting.sparkSession
     landing = _Landing(spark, series_path, as_of)
     earlier = read_series(spark, series_path, VIEW_TIMESERIES, as_of).select(*VIEW_TIMESERIES.names)
@@ -159,8 +159,9 @@ def collect_snapshots(
             measured = queue.due_videos(rows, as_of, only_active).select("video_id", "published_at")
             return merge.apply_cadence(rows, measured.join(written, "video_id", "left_semi"), as_of)
 
-        if not due.join(written, "video_id", "left_semi").isEmpty():
-            table.update(moved)
+        # those that are due as the table is now: a repeated run has moved its videos before
+        still = queue.due_videos(table.read(), as_of, only_active)
+        table.update(still.join(written, "video_id", "left_semi"), moved)
     landing.remove()
     return stored
 

@@ -1,14 +1,14 @@
-"""Atomic publication of keyed tables on plain Parquet.
+"""Keyed tables on plain Parquet: a batch rewrites the buckets of its keys, and one small file swaps them in.
 
-A version is a list of folders, named by a small commit file.  Readers follow the newest
-commit, so they see all of a version or nothing of it, and nobody overwrites a folder that
-is being read.  A commit follows the version its writer has read: if another writer was faster,
-the commit fails and nothing is published.  ``update`` then reads again and applies the change
-again, so jobs that write the same table at the same time lose nothing.
+Rows lie in folders by the hash of their key.  An update reads only the buckets that its keys fall
+into (their number is bounded, so they are named on the driver and other folders are not even listed),
+writes those buckets to a new folder, and publishes it by a commit file that says where each
+bucket is now.  What an update costs follows the buckets it touches, not the table.
 
-``publish`` writes the whole table.  ``add_layer`` writes only new rows: what a small batch
-costs then depends on the batch, not on the table.  Readers fold the layers by key, and
-``compact`` puts them together again.
+Readers follow the newest commit, so they see all of a version or nothing of it, and nobody overwrites
+a folder that is being read.  A commit file is created only if there is none.  A writer that was
+overtaken goes on top of the other one if that left its buckets alone; else it reads them again and
+applies its change again, so jobs that write the same table at the same time lose nothing.
 
 With a catalog that supports row-level merges (Delta, Iceberg) ``merge_into`` does the same
 in place.
@@ -17,26 +17,25 @@ in place.
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass, field
-from functools import reduce
+from dataclasses import asdict, dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statflow.operators.merge import Policy, fold_batch
 from statflow.sinks.metrics import write_counted
 
-
-_LAYER = "__layer"
+# parts of a table with a key; at scale, so many that one is a few hundred MB
+BUCKETS = 32
+_BUCKET = "key_bucket"
 
 
 class PublishConflict(RuntimeError):
-    """Another writer published a version after the one that was read."""
+    """Another writer published the same buckets after they were read."""
 
 
 # attempts of an update that other writers keep overtaking
@@ -46,18 +45,18 @@ ATTEMPTS = 10
 @dataclass(frozen=True)
 class Commit:
     version: int
-    folders: list[str]
+    buckets: int
+    # folder of each bucket that has rows
+    folders: dict[str, str]
     # rows written for this version
     rows: int
-    # last micro-batch of each stream and checkpoint that went into this version
-    batches: dict[str, int] = field(default_factory=dict)
 
 
 class VersionedTable:
-    """A published table.  Layers need a ``policy`` that says how rows of a key fold.
+    """A published table.  Without a ``key`` it has one bucket.
 
     ``sorted_by`` orders the rows inside each file, so that scans with a filter on the first
-    of these columns skip most row groups.
+    of these columns skip most row groups.  ``buckets`` counts when the table is first published.
     """
 
     def __init__(
@@ -65,12 +64,13 @@ class VersionedTable:
         spark: SparkSession,
         root: str,
         schema: T.StructType,
-        policy: Policy | None = None,
-        newer_by: str | None = None,
+        key: str | None = None,
+        buckets: int = BUCKETS,
         sorted_by: Sequence[str] = (),
     ) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.policy, self.newer_by, self.sorted_by = policy, newer_by, sorted_by
+        self.key, self.sorted_by = key, tuple(sorted_by)
+        self.buckets = buckets if key is not None else 1
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         conf = spark._jsparkSession.sessionState().newHadoopConf()
@@ -84,128 +84,110 @@ class VersionedTable:
     def _commit_path(self, version: int):
         return self._path(f"{self._log}/{version:012d}.json")
 
-    def _versions(self) -> list[int]:
+    def current(self) -> Commit | None:
+        """The newest commit.  A file that can't be read is an error: it is created whole or not at all."""
         log = self._path(self._log)
         if not self._fs.exists(log):
-            return []
+            return None
         names = (status.getPath().getName() for status in self._fs.listStatus(log))
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def _load(self, version: int) -> Commit:
-        # JSON that is cut short is a ValueError
-        stream = self._fs.open(self._commit_path(version))
+        versions = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
+        if not versions:
+            return None
+        stream = self._fs.open(self._commit_path(max(versions)))
         try:
             text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
         return Commit(**json.loads(text))
 
-    def current(self) -> Commit | None:
-        # a commit file that is still being written is not there yet
-        for version in reversed(self._versions()):
-            try:
-                return self._load(version)
-            except ValueError:
-                continue
-        return None
-
-    def _folder(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
-
     def read(self) -> DataFrame:
         return self._rows(self.current())
 
-    def snapshot(self) -> tuple[DataFrame, int]:
-        """The rows and the version they belong to, 0 before the first."""
-        commit = self.current()
-        return self._rows(commit), commit.version if commit else 0
-
-    def _rows(self, commit: Commit | None) -> DataFrame:
-        if commit is None:
+    def _rows(self, commit: Commit | None, only: Sequence[int] | None = None) -> DataFrame:
+        folders = commit.folders.items() if commit else ()
+        wanted = None if only is None else {str(n) for n in only}
+        paths = [f"{self.root}/{name}/{_BUCKET}={n}" for n, name in folders if wanted is None or n in wanted]
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        if len(commit.folders) == 1:
-            return self._folder(commit.folders[0])
-        policy = self.policy
-        layers = reduce(
-            DataFrame.unionByName,
-            (self._folder(name).withColumn(_LAYER, F.lit(n)) for n, name in enumerate(commit.folders)),
-        )
-        # what an update leaves alone is what the first layer with the key holds
-        kept = [n for n in self.schema.names if n != policy.key and n not in policy.last]
-        newest = (self.newer_by, _LAYER) if self.newer_by else (_LAYER,)
-        folded = fold_batch(layers, policy.key, (_LAYER,), kept, policy.last, newest)
-        return folded.select(*self.schema.names)
-
-    def seen_batch(self, stream: str, batch_id: int) -> bool:
-        commit = self.current()
-        return commit is not None and commit.batches.get(stream, -1) >= batch_id
-
-    def publish(
-        self, df: DataFrame, stream: str | None = None, batch_id: int = -1, base: int | None = None
-    ) -> Commit:
-        """Writes ``df`` as the whole next version and makes it the current one.
-
-        ``base`` is the version ``df`` was derived from; a newer one is a ``PublishConflict``.
-        Without it ``df`` stands for itself and follows what is current now.
-        """
-        return self._advance(df, self._basis(base), False, stream, batch_id)
-
-    def update(self, change: Callable[[DataFrame], DataFrame]) -> Commit:
-        """Publishes ``change`` of the rows; after a conflict, of the rows as they are then."""
-        for attempt in range(ATTEMPTS):
-            rows, base = self.snapshot()
-            try:
-                return self.publish(change(rows), base=base)
-            except PublishConflict:
-                if attempt + 1 == ATTEMPTS:
-                    raise
-        raise AssertionError("unreachable")
-
-    def add_layer(self, df: DataFrame, stream: str | None = None, batch_id: int = -1) -> Commit:
-        """Adds rows, one per key, on top of the current version."""
-        if self.policy is None:
-            raise ValueError("a table without a merge policy has no layers")
-        if self.policy.on_update:
-            raise ValueError("layers can't hold constants that an update sets")
-        for attempt in range(ATTEMPTS):
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def bucket(self, count: int) -> Column:
+        """The bucket of a row, out of ``count``; rows without a key go to the first."""
+        if self.key is None:
+            return F.lit(0)
+        return F.coalesce(F.pmod(F.xxhash64(F.col(self.key)), F.lit(count)), F.lit(0)).cast("int")
+
+    def publish(self, df: DataFrame) -> Commit:
+        """Writes ``df`` as the whole next version, whatever is there."""
+        before = self.current()
+        count = before.buckets if before else self.buckets
+        written = self._write(df, count, range(count))
+        for _ in range(ATTEMPTS):
+            now = self.current()
             try:
-                return self._advance(df, self.current(), True, stream, batch_id)
+                return self._commit(Commit(now.version + 1 if now else 1, count, *written))
             except PublishConflict:
-                if attempt + 1 == ATTEMPTS:
-                    raise
-        raise AssertionError("unreachable")
+                continue
+        raise PublishConflict(self.root)
 
-    def compact(self) -> Commit:
-        """The same rows in one folder.  To be run beside streams, not by them."""
-        return self.update(lambda rows: rows)
+    def update(self, keys: DataFrame, change: Callable[[DataFrame], DataFrame]) -> Commit | None:
+        """Publishes ``change`` of the rows in the buckets of ``keys``.
 
-    def _basis(self, base: int | None) -> Commit | None:
+        ``change`` gets all rows of those buckets and returns all that are to be there; rows of
+        other buckets are an error.  Without any key nothing happens."""
         before = self.current()
-        if base is not None and base != (before.version if before else 0):
-            raise PublishConflict(f"{self.root} has moved on from version {base}")
+        count = before.buckets if before else self.buckets
+        touched = self._touched(keys, count)
+        for _ in range(ATTEMPTS if touched else 0):
+            written = self._write(change(self._rows(before, touched)), count, touched)
+            commit = self._swap(before, count, touched, *written)
+            if commit is not None:
+                return commit
+            before = self.current()
+        if touched:
+            raise PublishConflict(self.root)
         return before
 
-    def _advance(
-        self, df: DataFrame, before: Commit | None, above: bool, stream: str | None, batch_id: int
-    ) -> Commit:
-        version = before.version + 1 if before else 1
-        below = before.folders if before and above else []
-        folder = f"v{version:012d}-{uuid.uuid4().hex}"
-        laid_out = df.select(*self.schema.names)
-        if self.sorted_by:
-            laid_out = laid_out.sortWithinPartitions(*self.sorted_by)
-        rows = write_counted(
-            laid_out,
-            lambda rows: rows.write.mode("errorifexists").parquet(f"{self.root}/{folder}"),
-        )
-        batches = dict(before.batches) if before else {}
-        if stream is not None:
-            batches[stream] = batch_id
-        commit = Commit(version, [*below, folder], rows, batches)
-        self._write_commit(commit)
-        return commit
+    def _touched(self, keys: DataFrame, count: int) -> list[int]:
+        # at most as many rows as there are buckets
+        return sorted(row[0] for row in keys.select(self.bucket(count).alias(_BUCKET)).distinct().collect())
+
+    def _write(self, df: DataFrame, count: int, buckets: Sequence[int]) -> tuple[dict[str, str], int]:
+        """Writes rows, one task for each bucket; returns the folder of those that have rows, and the number of rows."""
+        folder = f"v{uuid.uuid4().hex}"
+        laid_out = df.select(*self.schema.names, self.bucket(count).alias(_BUCKET))
+        if len(buckets) > 1:
+            places = F.array_position(F.array(*map(F.lit, buckets)), F.col(_BUCKET)).cast("int") - 1
+            outside = F.raise_error(F.lit("the change has rows of other buckets"))
+            laid_out = laid_out.repartitionById(len(buckets), F.when(places >= 0, places).otherwise(outside.cast("int")))
+        else:
+            outside = F.assert_true(F.col(_BUCKET) == buckets[0], "the change has rows of other buckets")
+            laid_out = laid_out.where(outside.isNull())
+        laid_out = laid_out.sortWithinPartitions(_BUCKET, *self.sorted_by)
+        path = f"{self.root}/{folder}"
+        rows = write_counted(laid_out, lambda rows: rows.write.partitionBy(_BUCKET).parquet(path))
+        found = (status.getPath().getName() for status in self._fs.listStatus(self._path(path)))
+        return {name.removeprefix(f"{_BUCKET}="): folder for name in found if name.startswith(_BUCKET)}, rows
+
+    def _swap(
+        self, before: Commit | None, count: int, touched: Sequence[int], written: dict[str, str], rows: int
+    ) -> Commit | None:
+        """Commits written buckets on top of the newest version; None if it has replaced one of them."""
+        mine = {str(n) for n in touched}
+        was = {n: name for n, name in (before.folders if before else {}).items() if n in mine}
+        for _ in range(ATTEMPTS):
+            now = self.current()
+            folders = now.folders if now else {}
+            if (now and now.buckets != count) or {n: name for n, name in folders.items() if n in mine} != was:
+                return None
+            others = {n: name for n, name in folders.items() if n not in mine}
+            try:
+                return self._commit(Commit(now.version + 1 if now else 1, count, {**others, **written}, rows))
+            except PublishConflict:
+                continue
+        return None
 
-    def _write_commit(self, commit: Commit) -> None:
+    def _commit(self, commit: Commit) -> Commit:
         """Creates the commit file, which must not exist: of two writers one fails."""
         final = self._commit_path(commit.version)
         data = bytearray(json.dumps(asdict(commit)).encode("utf-8"))
@@ -213,8 +195,8 @@ class VersionedTable:
         if scheme not in ("file", "hdfs", "viewfs"):
             # an object store: the file appears as a whole, and only if there is none
             self._create(final, data)
-            return
-        aside = self._path(f"{self._log}/.{commit.folders[-1]}")
+            return commit
+        aside = self._path(f"{self._log}/.{uuid.uuid4().hex}")
         self._create(aside, data)
         try:
             if scheme == "file":
@@ -229,6 +211,7 @@ class VersionedTable:
             raise
         finally:
             self._fs.delete(aside, False)
+        return commit
 
     @property
     def _no_more(self):
@@ -246,24 +229,6 @@ class VersionedTable:
         finally:
             stream.close()
 
-    def expire(self, hours: float = 24.0) -> int:
-        """Removes versions that were replaced more than ``hours`` ago; returns how many went.
-
-        A reader that began before a version was replaced has that long to finish.  To be run
-        beside the writers, not by them.
-        """
-        versions = self._versions()
-        limit = time.time() - hours * 3600
-        written = [self._fs.getFileStatus(self._commit_path(v)).getModificationTime() / 1000 for v in versions]
-        old = [version for version, replaced in zip(versions, written[1:]) if replaced < limit]
-        used = {folder for version in versions if version not in old for folder in self._load(version).folders}
-        for version in old:
-            for folder in self._load(version).folders:
-                if folder not in used:
-                    self._fs.delete(self._path(f"{self.root}/{folder}"), True)
-            self._fs.delete(self._commit_path(version), False)
-        return len(old)
-
 
 def merge_into(batch: DataFrame, table: str, policy: Policy, order: list[str]) -> None:
     """The same upsert as one MERGE, for a catalog that can do it."""

@@ -5,25 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statflow.operators.merge import channel_policy, fold_batch
-from statflow.plans.publish import VersionedTable
-from statflow.schemas import CHANNEL_STATS_V1, WIRE
 from statflow.sinks.metrics import write_counted
 from statflow.sinks.tables import append_table
 from statflow.sources.tables import Database, read_table
 
-# the policy names the columns; the time of first insertion comes with the rows
-_ANY_TIME = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Handler = Callable[[DataFrame, int], None]
-# arrival first; the other columns make the order total
-ARRIVAL = ("kafka_timestamp", "processed_at", *(n for n in WIRE.names if n != "processed_at"))
 LEDGER = T.StructType(
     [
         T.StructField("stream", T.StringType()),
@@ -144,61 +136,3 @@ class AppendSink:
         return rows.join(done, ["stream", "batch_id", "attempt"], "left_semi").select(
             *schema.names
         )
-
-
-def state_table(
-    spark: SparkSession, root: str, newer_only: bool = False
-) -> VersionedTable:
-    """The current row per channel; with ``newer_only`` event time decides, not arrival."""
-    newer_by = "processed_at" if newer_only else None
-    return VersionedTable(spark, root, CHANNEL_STATS_V1, channel_policy(_ANY_TIME), newer_by)
-
-
-@dataclass(frozen=True)
-class CurrentStateSink:
-    """Keeps the newest state per channel in a ``state_table``.
-
-    A micro-batch is folded to one row per channel and added as a layer, so a trigger costs
-    what the batch costs.  The batch number is published in the same commit, so a batch that is
-    delivered again changes nothing.  Layers are put together and old versions removed by a job
-    beside the stream, ``maintain``.
-    """
-
-    table: VersionedTable
-    stream: str
-    order: tuple[str, ...] = ARRIVAL
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        name = f"{self.stream}@{checkpoint_of(batch)}"
-        commit = self.table.current()
-        known = commit.batches if commit else {}
-        if any(one.startswith(f"{self.stream}@") and one != name for one in known):
-            raise UnknownCheckpoint(self.stream)
-        if self.table.seen_batch(name, batch_id):
-            return
-        policy = self.table.policy
-        last_order = ("processed_at", *self.order) if self.table.newer_by else self.order
-        folded = fold_batch(
-            batch.withColumn("created_at", F.col("processed_at")),
-            policy.key,
-            self.order,
-            (*policy.first, *policy.on_insert),
-            policy.last,
-            last_order,
-        ).persist()
-        try:
-            if folded.isEmpty():
-                return
-            self.table.add_layer(folded, name, batch_id)
-        finally:
-            folded.unpersist()
-
-
-def maintain(table: VersionedTable, layers: int = 50, hours: float = 24.0) -> int:
-    """Puts the layers of a table together if there are more than ``layers``, and removes versions
-    that were replaced more than ``hours`` ago.  Returns the number of layers that are left."""
-    commit = table.current()
-    if commit is not None and len(commit.folders) > layers:
-        commit = table.compact()
-    table.expire(hours)
-    return len(commit.folders) if commit is not None else 0

@@ -6,18 +6,14 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from statflow.operators import parse
+from statflow.operators import merge, parse
+from statflow.plans.publish import VersionedTable
+from statflow.schemas import CHANNEL_STATS_V1
 from statflow.session import STREAM_SETTINGS
 from statflow.sources.events import STREAM_FRAME, read_event_files
 from statflow.streaming import dedup, run
-from statflow.streaming.sinks import (
-    AppendSink,
-    CurrentStateSink,
-    FolderStore,
-    UnknownCheckpoint,
-    maintain,
-    state_table,
-)
+from statflow.streaming.sinks import AppendSink, FolderStore, UnknownCheckpoint
+from statflow.streaming.state import read_state, start_state
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -154,78 +150,86 @@ def test_append_sink_hides_an_attempt_that_died(spark, tmp_path):
     assert AppendSink(FolderStore(str(tmp_path)), "rows", "other").read(spark, frame.schema).count() == 0
 
 
-def state(spark, tmp_path, newer_only=False):
-    table = state_table(spark, str(tmp_path / "table"), newer_only)
-    return table, CurrentStateSink(table, "s")
+class State(Run):
+    """Each ``feed`` starts the stream again from its checkpoint."""
 
+    def __init__(self, spark, home, newer_only=False, handler=None):
+        super().__init__(spark, home)
+        self.newer_only, self.handler = newer_only, handler
 
-def parsed(spark, *messages):
-    return parse.parse_messages(spark.createDataFrame(list(messages), STREAM_FRAME))
-
-
-def test_current_state_and_replay(spark, tmp_path):
-    table, sink = state(spark, tmp_path)
-    sink(parsed(spark, message("a", 0, 1, country="US"), message("b", 0, 1)), 0)
-    second = parsed(spark, message("a", 6, 7, country="DE"))
-    sink(second, 1)
-    version = table.current().version
-    sink(second, 1)
-    sink(parsed(spark, message("a", 9, 9)), 0)
-    assert table.current().version == version
-    rows = {r.channel_id: r for r in table.read().collect()}
-    assert (rows["a"].total_views, rows["a"].country, rows["b"].total_views) == (7, "US", 1)
-    assert rows["a"].created_at == T0.replace(tzinfo=None)
-
+    def feed(self, *messages):
+        frame = self.spark.createDataFrame(list(messages), STREAM_FRAME)
+        frame.coalesce(1).write.mode("append").parquet(f"{self.home}/in")
+        stream = run.snapshots(read_event_files(self.spark, f"{self.home}/in", 1), self.mode)
+        query = start_state(stream, f"{self.home}/checkpoint", self.newer_only, trigger=None, handler=self.handler)
+        query.awaitTermination()
+        return self
 
-def test_empty_batch_leaves_the_state_alone(spark, tmp_path):
-    table, sink = state(spark, tmp_path)
-    sink(parsed(spark, message("a", 0)).limit(0), 0)
-    assert table.current() is None
-    sink(parsed(spark, message("a", 0)), 1)
-    sink(parsed(spark, message("a", 0)).limit(0), 2)
-    assert table.current().version == 1
+    @property
+    def table(self):
+        return {r.channel_id: r for r in read_state(self.spark, f"{self.home}/checkpoint").collect()}
+
+
+def test_state_over_several_starts(spark, tmp_path):
+    stream = State(spark, str(tmp_path))
+    assert stream.table == {}
+    stream.feed(message("a", 0, 1, country="US"), message("b", 0, 1))
+    assert {k: r.total_views for k, r in stream.table.items()} == {"a": 1, "b": 1}
+    stream.feed(message("a", 1, 5, country="DE"))
+    stream.feed(message("b", 2, 6), message("a", 1, 5, country="DE"))
+    rows = stream.table
+    assert {k: r.total_views for k, r in rows.items()} == {"a": 5, "b": 6}
+    # the first arrival decides these, as with upserts
+    assert rows["a"].country == "US" and rows["a"].created_at == T0.replace(tzinfo=None)
+
+
+def test_state_without_new_messages(spark, tmp_path):
+    stream = State(spark, str(tmp_path)).feed(message("a", 0, 3))
+    stream.feed((None, b"{", T0))
+    assert stream.table["a"].total_views == 3 and len(stream.table) == 1
+
+
+def test_arrival_or_event_time_decides(spark, tmp_path):
+    def arriving(n, hour):
+        return message("a", hour, 1, arrival=T0 + timedelta(days=9, hours=n), country=f"C{hour}")
+
+    both = {}
+    for newer_only in (False, True):
+        home = str(tmp_path / str(newer_only))
+        # within the delay of the watermark, or they would be too late
+        stream = State(spark, home, newer_only)
+        stream.feed(*(arriving(n, hour / 60) for n, hour in enumerate([3, 1, 7, 2, 5])))
+        both[newer_only] = stream.table["a"]
+    assert both[False].processed_at == (T0 + timedelta(minutes=5)).replace(tzinfo=None)
+    assert both[True].processed_at == (T0 + timedelta(minutes=7)).replace(tzinfo=None)
+    assert {row.country for row in both.values()} == {f"C{3 / 60}"}
+
+
+def test_state_is_what_upserts_give(spark, tmp_path):
+    stream = State(spark, str(tmp_path))
+    table = VersionedTable(spark, str(tmp_path / "table"), CHANNEL_STATS_V1, "channel_id", 4)
+    feeds = [(3, None), (4, 5), (None, 6), (9, 9), (12, None)]
+    for batch, (a, b) in enumerate(feeds):
+        feed = [message(k, v, v, country=f"C{batch}", channel_title=k) for k, v in (("a", a), ("b", b)) if v is not None]
+        stream.feed(*feed)
+        rows = parse.parse_messages(spark.createDataFrame(feed, STREAM_FRAME)).withColumn("created_at", F.col("processed_at"))
+        table.update(rows, lambda own: merge.upsert_channels(own, rows, T0, ("kafka_timestamp",)))
+    want = {r.channel_id: r for r in table.read().drop("created_at").collect()}
+    got = {r.channel_id: r for r in read_state(spark, f"{tmp_path}/checkpoint").drop("created_at").collect()}
+    assert got == want and len(got) == 2
 
 
-def test_state_from_a_stream_over_several_runs(spark, tmp_path):
-    table, sink = state(spark, tmp_path)
-    stream = Run(spark, str(tmp_path))
-    stream.handler = sink
+def test_changed_channels_go_to_a_handler(spark, tmp_path):
+    seen = []
+    stream = State(spark, str(tmp_path), handler=lambda batch, n: seen.append({r.channel_id: r.total_views for r in batch.collect()}))
     stream.feed(message("a", 0, 1), message("b", 0, 1))
-    stream.feed(message("a", 1, 5))
-    stream.feed(message("b", 2, 6), message("a", 1, 5))
-    assert {r.channel_id: r.total_views for r in table.read().collect()} == {"a": 5, "b": 6}
-
-
-def test_older_snapshot_with_newer_only(spark, tmp_path):
-    table, sink = state(spark, tmp_path, newer_only=True)
-    sink(parsed(spark, message("a", 6, 6)), 0)
-    sink(parsed(spark, message("a", 0, 1)), 1)
-    assert table.read().select(F.max("total_views")).first()[0] == 6
-
-
-@pytest.mark.parametrize("compact_every", [1, 3, 50])
-def test_layers_fold_like_upserts(spark, tmp_path, compact_every):
-    table, sink = state(spark, tmp_path)
-    for batch, (a, b) in enumerate([(3, None), (1, 5), (None, 2), (9, 9), (4, None)]):
-        feed = [("a", a, "US"), ("b", b, f"C{batch}")]
-        rows = [message(k, v, v, country=c) for k, v, c in feed if v is not None]
-        sink(parsed(spark, *rows), batch)
-        assert maintain(table, compact_every) <= max(compact_every, 1)
-    got = {r.channel_id: (r.total_views, r.country, r.created_at.hour) for r in table.read().collect()}
-    assert got == {"a": (4, "US", 3), "b": (9, "C1", 5)}
-    assert table.seen_batch("s@", 4)
-
-
-def test_layers_with_newer_only(spark, tmp_path):
-    table, sink = state(spark, tmp_path, newer_only=True)
-    for batch, hour in enumerate([3, 1, 7, 2, 5]):
-        sink(parsed(spark, message("a", hour, hour, country=f"C{hour}")), batch)
-    row = table.read().first()
-    assert (row.total_views, row.country) == (7, "C3")
+    stream.feed(message("b", 1, 4))
+    assert [one for one in seen if one] == [{"a": 1, "b": 1}, {"b": 4}]
+    assert spark.conf.get(next(iter(STREAM_SETTINGS)), None) != STREAM_SETTINGS[next(iter(STREAM_SETTINGS))]
 
 
 def test_a_new_checkpoint_under_an_old_name_is_refused(spark, tmp_path):
-    sinks = {"rows": AppendSink(FolderStore(str(tmp_path / "rows")), "t", "s"), "state": state(spark, tmp_path)[1]}
+    sinks = {"rows": AppendSink(FolderStore(str(tmp_path / "rows")), "t", "s")}
     for name, sink in sinks.items():
         first = Run(spark, str(tmp_path / name))
         first.handler = sink

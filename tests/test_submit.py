@@ -3,17 +3,18 @@
 import pytest
 
 from statflow.__main__ import arguments, sink_for
-from statflow.streaming.sinks import AppendSink, CurrentStateSink, DatabaseStore, FolderStore
+from statflow.streaming.sinks import AppendSink, DatabaseStore, FolderStore
 
 STREAM = ["stream", "--servers", "h:1", "--topic", "t", "--checkpoint", "/c"]
 
 
-def test_sinks(spark, path):
-    state = sink_for(spark, arguments([*STREAM, "--state", path("s")]))
-    assert isinstance(state, CurrentStateSink) and state.stream == "channel_snapshots"
-    folder = sink_for(spark, arguments([*STREAM, "--folder", path("f")]))
+def test_sinks(path):
+    state = arguments([*STREAM, "--state", "--newer-only"])
+    assert state.state and state.newer_only
+    assert arguments(["state", "--checkpoint", "/c", "--out", "/o"]).job == "state"
+    folder = sink_for(arguments([*STREAM, "--folder", path("f")]))
     assert isinstance(folder, AppendSink) and isinstance(folder.store, FolderStore)
-    database = sink_for(spark, arguments([*STREAM, "--url", "jdbc:x", "--driver", "d"]))
+    database = sink_for(arguments([*STREAM, "--url", "jdbc:x", "--driver", "d"]))
     assert isinstance(database.store, DatabaseStore)
 
 

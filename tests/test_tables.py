@@ -1,6 +1,7 @@
 """Published tables, series, layouts, database options, and the batch jobs."""
 
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from conftest import plan_of
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from statflow import session
 from statflow.operators import boards, lookup, merge, queue
 from statflow.operators.merge import Policy
-from statflow.plans import jobs
+from statflow.plans import jobs, publish
 from statflow.plans.publish import PublishConflict, VersionedTable, merge_into
 from statflow.schemas import CHANNEL_STATS, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.sinks import series, tables
@@ -35,7 +36,7 @@ def test_readers_follow_the_newest_commit(spark, path):
     table.publish(table.read().union(table.read()))
     # a reader keeps the version it started with
     assert reader.count() == 3 and table.read().count() == 6
-    assert table.current().version == 2
+    assert table.current().version == 2 and table.current().buckets == 1
 
 
 def test_a_half_written_version_is_not_seen(spark, path):
@@ -51,13 +52,77 @@ def test_second_writer_of_a_version_fails(spark, path):
     stale = table.current()
     assert stale.folders
     with pytest.raises(PublishConflict):
-        table._write_commit(stale)
+        table._commit(stale)
     assert table.read().count() == 3
 
 
-def test_layers_need_a_policy(spark, path):
-    with pytest.raises(ValueError):
-        numbers(spark, path).add_layer(spark.range(1))
+def sizes(root):
+    """Bytes of the data files of a table by folder and bucket."""
+    found = {}
+    for file in Path(root).rglob("*.parquet"):
+        place = file.parent.relative_to(root).parts
+        found[place] = found.get(place, 0) + file.stat().st_size
+    return found
+
+
+def bucketed(spark, path, count=3000):
+    table = VersionedTable(spark, path("b"), VIDEOS, "video_id", 16, queue.DUE_ORDER)
+    rows = spark.range(count).selectExpr(
+        "cast(id as string) as video_id", "'c' as channel_id", "timestamp_seconds(id) as published_at", "'active' as status",
+        "cast(null as timestamp) as last_polled_at", "timestamp_seconds(id) as next_poll_at", "6 as current_interval_hours",
+        "timestamp_seconds(0) as created_at",
+    )
+    table.publish(rows)
+    return table
+
+
+def test_a_batch_of_one_key_rewrites_one_bucket(spark, path):
+    table = bucketed(spark, path)
+    before, was = table.current(), sizes(table.root)
+    assert len(before.folders) == 16
+    measured = spark.createDataFrame([("77", T0)], "video_id string, published_at timestamp")
+    scanned = []
+
+    def change(rows):
+        scanned.extend(rows.inputFiles())
+        return merge.apply_cadence(rows, measured, T1)
+
+    after = table.update(measured, change)
+    new = {place: size for place, size in sizes(table.root).items() if place not in was}
+    assert len(new) == 1 and sum(new.values()) < sum(was.values()) / 10
+    assert len(scanned) == 1 and after.rows < 3000 / 10
+    moved = [n for n in before.folders if after.folders[n] != before.folders[n]]
+    assert len(moved) == 1 and f"key_bucket={moved[0]}" in scanned[0]
+    polled = {r.video_id for r in table.read().where("last_polled_at is not null").collect()}
+    assert polled == {"77"} and table.read().count() == 3000
+
+
+def test_new_keys_and_keys_of_no_row(spark, path):
+    table = VersionedTable(spark, path("b"), VIDEOS, "video_id", 4)
+    keys = "video_id string, channel_id string, published_at timestamp, position int"
+    batch = spark.createDataFrame([(f"v{i}", "c", T0, i) for i in range(9)] + [(None, "c", T0, 0)], keys)
+    table.update(batch, lambda rows: merge.upsert_queue(rows, batch, T0, ("position",)))
+    assert table.current().version == 1 and table.read().count() == 9
+    assert table.update(batch.limit(0), lambda rows: 1 / 0).version == 1
+    assert table.update(spark.createDataFrame([("none",)], "video_id string"), lambda rows: rows).rows <= 9
+    assert sorted(r.video_id for r in table.read().collect()) == [f"v{i}" for i in range(9)]
+
+
+def test_rows_of_other_buckets_are_refused(spark, path):
+    table = bucketed(spark, path, 200)
+    for names in (["7"], ["7", "8", "9"]):
+        keys = spark.createDataFrame([(name,) for name in names], "video_id string")
+        whole = table.read()
+        with pytest.raises(Exception, match="other buckets"):
+            table.update(keys, lambda rows: whole)
+    assert table.current().version == 1
+
+
+def test_a_table_keeps_its_number_of_buckets(spark, path):
+    bucketed(spark, path, 100)
+    again = VersionedTable(spark, path("b"), VIDEOS, "video_id", 4)
+    again.update(again.read().where("video_id = '5'"), lambda rows: rows.where("video_id <> '5'"))
+    assert again.current().buckets == 16 and again.read().count() == 99
 
 
 def test_files_are_sorted_for_the_due_scan(spark, path):
@@ -81,57 +146,62 @@ def test_merge_needs_a_catalog_that_can(spark):
         spark.sql("drop table plain_target")
 
 
-def test_old_versions_expire(spark, path):
-    table = numbers(spark, path)
-    for n in range(1, 5):
-        table.publish(spark.range(n))
-    assert table.expire() == 0  # replaced just now: readers may be at it
-    assert table.expire(hours=-1) == 3 and table.expire(hours=-1) == 0
-    assert table.read().count() == 4 and table.current().version == 4
-
-
-def test_an_overtaken_writer_conflicts_and_updates_again(spark, path):
+def test_an_overtaken_writer_updates_again(spark, path):
     table = numbers(spark, path)
     table.publish(spark.range(1))
-    rows, base = table.snapshot()
-    table.publish(spark.range(5, 7))
-    with pytest.raises(PublishConflict):
-        table.publish(rows, base=base)
-    overtaken = []
+    calls = []
 
     def change(rows):
-        if not overtaken:
-            overtaken.append(table.update(lambda own: own.union(spark.range(90, 91))))
+        if not calls:
+            table.update(spark.range(1), lambda own: own.union(spark.range(90, 91)))
+        calls.append(rows.count())
         return rows.union(spark.range(80, 81))
 
-    table.update(change)
-    assert sorted(r.id for r in table.read().collect()) == [5, 6, 80, 90]
+    table.update(spark.range(1), change)
+    assert sorted(r.id for r in table.read().collect()) == [0, 80, 90] and calls == [1, 2]
 
 
-def test_a_commit_is_created_once(spark, path):
+def test_a_writer_of_other_buckets_is_no_conflict(spark, path):
+    table = VersionedTable(spark, path("n"), spark.range(1).schema, "id", 8)
+    table.publish(spark.range(100))
+    home = {r.id: r.b for r in spark.range(100).select("id", table.bucket(8).alias("b")).collect()}
+    other = next(n for n in home if home[n] != home[0])
+    calls = []
+
+    def change(rows):
+        if not calls:
+            gone = spark.createDataFrame([(other,)], "id long")
+            table.update(gone, lambda own: own.where(F.col("id") != other))
+        calls.append(1)
+        return rows.where("id <> 0")
+
+    assert table.update(spark.range(1), change).version == 3
+    assert calls == [1] and {r.id for r in table.read().collect()} == set(range(1, 100)) - {other}
+
+
+def test_an_update_that_is_always_overtaken_fails(spark, path, monkeypatch):
+    monkeypatch.setattr(publish, "ATTEMPTS", 2)
     table = numbers(spark, path)
-    commit = table.publish(spark.range(1))
-    with pytest.raises(PublishConflict):
-        table._write_commit(commit)
-    # one that another writer has only begun is not read, and is in the way
-    with open(f"{path('t')}/_commits/{2:012d}.json", "w") as begun:
-        begun.write('{"version": 2, "fol')
-    assert table.current().version == 1
-    with pytest.raises(PublishConflict):
-        table.publish(spark.range(2))
+    table.publish(spark.range(1))
 
+    def change(rows):
+        table.publish(spark.range(5))
+        return rows
 
-def test_layers_refuse_constants_of_updates(spark, path):
-    table = VersionedTable(spark, path("v"), VIDEOS, merge.queue_policy(T0))
-    with pytest.raises(ValueError, match="constants"):
-        table.add_layer(spark.createDataFrame([], VIDEOS))
+    with pytest.raises(PublishConflict):
+        table.update(spark.range(1), change)
+    assert table.read().count() == 5
 
 
-def test_batches_of_other_streams_survive(spark, path):
+def test_a_damaged_commit_is_an_error(spark, path):
     table = numbers(spark, path)
-    table.publish(spark.range(1), "a", 4)
-    table.publish(spark.range(2), "b", 1)
-    assert table.seen_batch("a", 4) and not table.seen_batch("a", 5) and table.seen_batch("b", 0)
+    commit = table.publish(spark.range(1))
+    with pytest.raises(PublishConflict):
+        table._commit(commit)
+    with open(f"{path('t')}/_commits/{2:012d}.json", "w") as damaged:
+        damaged.write('{"version": 2, "fol')
+    with pytest.raises(ValueError):
+        table.read()
 
 
 def test_counted_while_written(spark, path):
@@ -231,14 +301,14 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def video_table(spark, path, *rows):
-    table = VersionedTable(spark, path("videos"), VIDEOS)
+    table = VersionedTable(spark, path("videos"), VIDEOS, "video_id", 4)
     if rows:
         table.publish(spark.createDataFrame(list(rows), VIDEOS))
     return table
 
 
 def test_refresh_quarantines_and_leaves_the_table_alone_without_good_rows(spark, path):
-    table = VersionedTable(spark, path("c"), CHANNEL_STATS)
+    table = VersionedTable(spark, path("c"), CHANNEL_STATS, "channel_id", 4)
     items = "n int, id string, snippet map<string,string>, statistics map<string,string>"
     bad = spark.createDataFrame([(1, "a", {}, {"viewCount": "x"})], items)
     assert jobs.refresh_channels(bad, table, T0, ["n"]) == {"affected": 0, "quarantined": 1}
@@ -351,7 +421,7 @@ def test_a_video_that_arrives_during_a_collection_stays(spark, path):
 
     def measure(due):
         new = spark.createDataFrame([("b", "c", T0, 0)], "video_id string, channel_id string, published_at timestamp, position int")
-        table.update(lambda rows: merge.upsert_queue(rows, new, T1, ("position",)))
+        table.update(new, lambda rows: merge.upsert_queue(rows, new, T1, ("position",)))
         return due.select("video_id", *(F.lit(7).alias(n) for n in VIEW_TIMESERIES.names[2:]))
 
     jobs.collect_snapshots(table, measure, path("s"), T1)
