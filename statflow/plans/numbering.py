@@ -1,24 +1,21 @@
 """Positions and neighbours in a total order, without gathering rows in one task.
 
 A window without partition columns, or with a hot key, ends in a single task.  Here the
-rows are range-partitioned on the whole order instead and sorted in place, whatever the keys
-look like, and written to the shared folder together with their place.  What crosses
-partitions is one row per partition: a count, or the last row.
+rows are dealt by ranges of the whole order instead and sorted in place, whatever the keys
+look like.  Numbered rows are written to the shared folder together with their place.  What crosses
+ranges is one row for each: a count, or the last row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statflow.session import scratch_path
 
-_PART, _ROW, _EDGE = "__part", "__row", "__edge"
+_PART, _ROW = "__part", "__row"
 # a partition number fills the bits above this one in monotonically_increasing_id
 _ROW_BITS = 33
 
@@ -71,6 +68,51 @@ def number_rows(
     )
 
 
+# rows sampled for each range
+_SAMPLES = 30
+
+
+def _bounds(df: DataFrame, order: Sequence[str], ranges: int) -> Column:
+    """Upper ends of all ranges but the last, in order, as one scalar: rows drawn from the whole table.
+
+    A value that many rows share is drawn often, so it takes up several bounds."""
+    count = df.count()
+    drawn = df if count <= _SAMPLES * ranges else df.where(F.rand(17) < _SAMPLES * ranges / count)
+    held = drawn.agg(F.sort_array(F.collect_list(F.struct(*order))).alias("rows"))
+    every = F.sequence(F.lit(1), F.lit(ranges - 1)) if ranges > 1 else F.array().cast("array<int>")
+    place = lambda n: F.ceil(n * F.size("rows") / F.lit(float(ranges))).cast("int")
+    cut = F.transform(every, lambda n: F.element_at("rows", F.greatest(place(n), F.lit(1))))
+    return held.select(F.when(F.size("rows") > 0, cut).otherwise(F.slice("rows", 1, 0)).alias("bounds")).scalar()
+
+
+def _below(bounds: Column, row: Column, ranges: int, equal: bool) -> Column:
+    """How many bounds lie below a row, with equal ones or without, by binary search."""
+    widths = [1 << n for n in reversed(range((ranges - 1).bit_length()))]
+
+    def step(found: Column, width: Column) -> Column:
+        there = F.try_element_at(bounds, found + width)
+        return F.when((there <= row) if equal else (there < row), found + width).otherwise(found)
+
+    return F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), step) if widths else F.lit(0)
+
+
+def dealt(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """Rows dealt to tasks by ranges of a total order, with the number of the range.
+
+    Every row of a range is before those of the next.  Rows that are equal in all of ``order`` may
+    lie in any of the ranges whose bounds they are, so one value never has to fit in one task."""
+    ranges = _partitions(df, partitions)
+    bounds, row, top = F.col("__bounds"), F.col("__row"), F.col("__top")
+    placed = df.withColumn("__bounds", _bounds(df, order, ranges)).withColumn("__row", F.struct(*order))
+    placed = placed.withColumn("__top", _below(bounds, row, ranges, True))
+    bound = lambda back: F.try_element_at(bounds, F.greatest(top - back, F.lit(1)))
+    many = (top > 1) & (bound(0) == row) & (bound(1) == row)
+    placed = placed.withColumn("__low", F.when(many, _below(bounds, row, ranges, False)).otherwise(top))
+    spread = F.pmod(F.monotonically_increasing_id(), top - F.col("__low") + 1).cast("int")
+    placed = placed.withColumn(name, F.col("__low") + spread)
+    return placed.drop("__bounds", "__row", "__top", "__low").repartitionById(ranges, F.col(name))
+
+
 def with_previous(
     df: DataFrame,
     key: str,
@@ -80,78 +122,22 @@ def with_previous(
 ) -> DataFrame:
     """Adds ``prev_<column>`` from the row before, within the key.
 
-    ``order`` should be total up to rows that are equal in all columns.  One range partitioning
-    on key, order and all other columns serves every distribution of keys; equal rows, which
-    could stand in any order, are spread by a number.  A pass over the sorted rows takes the row
-    before; only the first row of each partition takes it from the partition before.
+    ``order`` should be total up to rows that are equal in all columns.  Rows are dealt once, by ranges of
+    key, order and all other columns, whatever the keys look like; a window within each range takes the row
+    before, and the first row of a range takes it from the last row of a range before.
     """
     rest = [name for name in df.columns if name != key and name not in order]
     whole = [key, *order, *rest]
-    numbered = df.withColumn("__nth", F.monotonically_increasing_id())
-    laid = numbered.repartitionByRange(_partitions(df, partitions), *whole, "__nth")
-    laid = laid.sortWithinPartitions(*whole).drop("__nth").withColumn(_PART, F.spark_partition_id())
-    before = [T.StructField(f"prev_{name}", df.schema[name].dataType) for name in columns]
-    schema = T.StructType([*laid.schema.fields, *before, T.StructField(_EDGE, T.IntegerType())])
-    rows = _stored(laid.mapInArrow(_row_before(key, tuple(columns)), schema), "linked")
-
-    across = Window.orderBy(_PART)
-    carried = F.struct(F.col(key).alias("key"), *columns)
-    # one row per range partition, so the window and the broadcast are small by construction
-    borders = rows.where(F.col(_EDGE).bitwiseAND(2) > 0).select(
-        _PART, F.lag(carried).over(across).alias("__border")
-    )
-    patched = F.col(_EDGE).bitwiseAND(1).cast("boolean") & F.col("__border.key").eqNullSafe(F.col(key))
-    joined = rows.join(F.broadcast(borders), _PART, "left")
-    return joined.select(
-        *df.columns,
-        *(
-            F.when(patched, F.col(f"__border.{name}")).otherwise(F.col(f"prev_{name}")).alias(f"prev_{name}")
-            for name in columns
-        ),
-    )
-
-
-# marks of the first and of the last row of a partition
-_FIRST, _LAST = 1, 2
-
-
-def _row_before(key: str, columns: tuple[str, ...]):
-    """Links the rows of a sorted partition; the last batch is held back to mark the last row."""
-
-    def linked(batch: pa.RecordBatch, last: dict | None, marks: list[int]) -> pa.RecordBatch:
-        def shifted(name: str) -> pa.Array:
-            head = pa.array([last[name] if last else None], batch.schema.field(name).type)
-            return pa.concat_arrays([head, batch[name].slice(0, batch.num_rows - 1)])
-
-        own, other = batch[key], shifted(key)
-        both_null = pa.compute.and_(own.is_null(), other.is_null())
-        same = pa.compute.or_(pa.compute.fill_null(pa.compute.equal(own, other), False), both_null)
-        if not last:
-            same = pa.concat_arrays([pa.array([False]), same.slice(1)])
-        before = [pa.compute.if_else(same, shifted(name), pa.scalar(None, batch.schema.field(name).type)) for name in columns]
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, *before, pa.array(marks, pa.int32())],
-            [*batch.schema.names, *(f"prev_{name}" for name in columns), _EDGE],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None
-        last: dict | None = None
-
-        def emit(end: bool) -> pa.RecordBatch:
-            marks = [0] * held.num_rows
-            marks[0] |= 0 if last else _FIRST
-            marks[-1] |= _LAST if end else 0
-            return linked(held, last, marks)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if held is not None:
-                yield emit(False)
-                last = held.slice(held.num_rows - 1).to_pylist()[0]
-            held = batch
-        if held is not None:
-            yield emit(True)
-
-    return run
+    rows = dealt(df, whole, _PART, partitions)
+    carried = [key, *columns]
+    own = Window.partitionBy(_PART).orderBy(*whole)
+    linked = rows.withColumn("__before", F.lag(F.struct(*carried)).over(own))
+    # one row per range, so the window and the broadcast are small by construction
+    last = rows.groupBy(_PART).agg(F.max(F.struct(*whole)).alias("__last"))
+    across = F.lag("__last").over(Window.orderBy(_PART))
+    borders = last.select(_PART, F.struct(*(across[name].alias(name) for name in carried)).alias("__border"))
+    joined = linked.join(F.broadcast(borders), _PART, "left")
+    before = F.coalesce("__before", "__border")
+    same = before[key].eqNullSafe(F.col(key))  # before the very first row everything is null
+    found = [F.when(same, before[name]).alias(f"prev_{name}") for name in columns]
+    return joined.select(*df.columns, *found)

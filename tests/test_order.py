@@ -101,3 +101,34 @@ def test_numbering_matches_a_window(spark):
     wanted = frame.withColumn("n", F.row_number().over(Window.orderBy("x", "id")) - 1)
     got = numbering.number_rows(frame, ["x", "id"], "n", 9)
     assert got.exceptAll(wanted.select(got.columns)).isEmpty() and got.count() == 5000
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7, 16])
+def test_ranges_hold_the_order_and_equal_rows_are_spread(spark, partitions):
+    rows = [("hot", 5)] * 3000 + [(f"k{n % 97}", n) for n in range(2000)] + [(None, 1), ("zz", None)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(5)
+    found = numbering.dealt(df, ["k", "n"], "range", partitions)
+    placed = found.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.k or "", r.n or 0) for r in placed) == sorted((k or "", n or 0) for k, n in rows)
+    assert {r.range for r in placed} <= set(range(partitions)) and all(r.task == r.range for r in placed)
+    ends: dict = {}
+    for r in placed:
+        value = (r.k is not None, r.k or "", r.n is not None, r.n or 0)
+        low, high = ends.get(r.range, (value, value))
+        ends[r.range] = min(low, value), max(high, value)
+    in_order = [ends[n] for n in sorted(ends)]
+    assert all(before[1] <= after[0] for before, after in zip(in_order, in_order[1:]))
+    assert max(sum(r.range == n for r in placed) for n in ends) < 2.2 * len(rows) / partitions + 300
+
+
+def test_ranges_of_nothing(spark):
+    empty = spark.createDataFrame([], "k string, n int")
+    assert numbering.dealt(empty, ["k", "n"], "range", 4).count() == 0
+    assert numbering.with_previous(empty, "k", ["n"], ["n"], 4).count() == 0
+
+
+def test_growth_stays_in_the_jvm(spark):
+    rows = [(f"v{n % 7}", T0 + timedelta(hours=n), n, n, n) for n in range(100)]
+    plan = plan_of(trends.growth(snapshots(spark, rows)))
+    assert "MapInArrow" not in plan and "shufflepartitionidpassthrough" in plan
+    assert "hashpartitioning" not in plan
