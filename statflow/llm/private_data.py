@@ -34,8 +34,9 @@ ACCEPT, ROUNDS = 0.9, 12
 AHEAD = 32
 
 # The base patterns. A run of one class is read as a whole and only from its start
-# (or where the match before ended), so the time is linear in the text.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# (or where the match before ended), so the time is linear in the text. Groups repeat possessively:
+# Java loops over those, but calls itself for each round of others, until its stack is full.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 DIGITS = r"[0-9][0-9 -]*+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
@@ -182,28 +183,27 @@ def estimate(rows: list[tuple[str, int]]) -> dict[str, float]:
     """Posterior of each vote pattern, by expectation-maximisation over counts.
 
     Model: a span is personal data with a probability of its kind; each labeler, where it speaks,
-    is right with a probability of its own.  Labelers start better than chance."""
-    right = dict.fromkeys(LABELERS, 0.8)
+    is right with a probability of its own for each kind.  Labelers start better than chance."""
     prior = {key.split()[0]: 0.5 for key, _ in rows}
+    right = {(kind, labeler): 0.8 for kind in prior for labeler in LABELERS}
     posterior: dict[str, float] = {}
     for _ in range(ROUNDS):
-        agreed, spoken = dict.fromkeys(LABELERS, 1.6), dict.fromkeys(LABELERS, 2.0)
+        agreed, spoken = dict.fromkeys(right, 1.6), dict.fromkeys(right, 2.0)
         mass, total = dict.fromkeys(prior, 1.0), dict.fromkeys(prior, 2.0)
         for key, count in rows:
             kind, votes = key.split()
+            spoke = [((kind, labeler), vote) for labeler, vote in zip(LABELERS, votes) if vote != "0"]
             yes, no = prior[kind], 1 - prior[kind]
-            for labeler, vote in zip(LABELERS, votes):
-                if vote != "0":
-                    yes *= right[labeler] if vote == "+" else 1 - right[labeler]
-                    no *= right[labeler] if vote == "-" else 1 - right[labeler]
+            for of, vote in spoke:
+                yes *= right[of] if vote == "+" else 1 - right[of]
+                no *= right[of] if vote == "-" else 1 - right[of]
             posterior[key] = yes / (yes + no)
             mass[kind] += count * posterior[key]
             total[kind] += count
-            for labeler, vote in zip(LABELERS, votes):
-                if vote != "0":
-                    spoken[labeler] += count
-                    agreed[labeler] += count * (posterior[key] if vote == "+" else 1 - posterior[key])
-        right = {labeler: min(0.98, max(0.55, agreed[labeler] / spoken[labeler])) for labeler in LABELERS}
+            for of, vote in spoke:
+                spoken[of] += count
+                agreed[of] += count * (posterior[key] if vote == "+" else 1 - posterior[key])
+        right = {of: min(0.98, max(0.55, agreed[of] / spoken[of])) for of in right}
         prior = {kind: min(0.98, max(0.02, mass[kind] / total[kind])) for kind in prior}
     return posterior
 
