@@ -93,8 +93,9 @@ def _dictionary(documents: list[list[bytes]]) -> bytes:
 
 
 def encoded(text: str) -> bytes:
-    """The distinct lower-case words of a text, in order."""
-    return " ".join(word for word in dict.fromkeys(_NO_WORD.split(text.lower())) if word).encode()
+    """The distinct lower-case words of a text, in order; a word has a letter (numerals like ² are none)."""
+    words = dict.fromkeys(_NO_WORD.split(text.lower()))
+    return " ".join(word for word in words if word.isalpha() or any(map(str.isalpha, word))).encode()
 
 
 class Judge:
