@@ -339,11 +339,12 @@ class _Shard:
             terms = terms[self.idf[terms] > 0]
         else:
             terms = self.own[self.edges[at] : self.edges[at + 1]]
-        first = self.bounds[terms]
-        size = self.bounds[terms + 1] - first
-        after = np.cumsum(size)
-        places = np.repeat(first - after + size, size) + np.arange(size.sum())
-        scores = np.bincount(self.posted[places], self.weight[places], len(self.unused))
+        lists = list(zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist()))
+        if not lists:
+            return
+        # whole postings lists, one after the other: cheaper than single entries
+        posted = np.concatenate([self.posted[a:b] for a, b in lists])
+        scores = np.bincount(posted, np.concatenate([self.weight[a:b] for a, b in lists]), len(self.unused))
         scores[~self.unused] = 0
         while scores[best := int(np.argmax(scores))] > 0:
             scores[best] = 0
