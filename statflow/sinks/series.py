@@ -23,8 +23,9 @@ def series_layout(
     """Rows ordered for the declared access paths: by day, then key, newest first.
 
     The range partitioning uses the whole sort order and all other plain columns, so a day, a
-    key or an instant with very many rows is spread over tasks, and min/max statistics of the
-    row groups prune on the key.
+    key or an instant with very many rows is spread over tasks.  The day is a column of the files, not a
+    folder: there are as many files as ranges, however many days a run has, and min/max statistics of
+    files and row groups prune on the day and, within it, on the key.
     """
     dated = df.withColumn(date, utc_date(F.col(time)))
     order = [F.col(date), F.col(key), F.col(time).desc()]
@@ -51,6 +52,7 @@ def read_series(
     date: str = "scraped_date",
 ) -> DataFrame:
     """The series, or only the rows of one run, of which only its folder is listed."""
+    # the day is stored, the run is the name of the folder
     parts = [T.StructField(date, T.DateType()), T.StructField(RUN, T.StringType())]
     reader = spark.read.schema(T.StructType([*schema.fields, *parts])).option("basePath", path)
     if as_of is None:
@@ -76,16 +78,14 @@ def append_series(
     date: str = "scraped_date",
     partitions: int | None = None,
 ) -> int:
-    """Adds the rows of one run, in a folder of its own with one below it per day.
+    """Adds the rows of one run, in a folder of its own: one file, or more, for each range of days and keys.
 
     Returns their number.  A repeated run replaces the folder as a whole, also with fewer days
     or no rows: ``df`` must hold all rows of the run.
     """
     laid_out = series_layout(df, time, key, date, partitions)
     folder = f"{path}/{RUN}={run_name(as_of)}"
-    return write_counted(
-        laid_out, lambda rows: rows.write.mode("overwrite").partitionBy(date).parquet(folder)
-    )
+    return write_counted(laid_out, lambda rows: rows.write.mode("overwrite").parquet(folder))
 
 
 def append_trends(
