@@ -9,7 +9,7 @@ import pytest
 from helpers import TEXTS, documents, hits, personal
 from tokenizers import Tokenizer
 
-from statflow.llm import decontaminate, grammar, html_text, language_id, packing, private_data, secrets, tokens
+from statflow.llm import decontaminate, grammar, html_text, language_id, packing, private_data, queries, secrets, tokens
 from statflow.llm.secrets import trigram_query
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -262,3 +262,45 @@ def test_crc_is_that_of_zlib(spark):
     ids = np.array([1, 2, 70_000], "<u4").tobytes()
     row = spark.createDataFrame([(bytearray(ids),)], "ids binary").selectExpr("crc32(ids) as c").first()
     assert row.c == zlib.crc32(ids)
+
+
+def test_private_data_of_very_long_domains(spark):
+    """Patterns must not call themselves once for each label: that ended the executor."""
+    labels = "x." * 1_000_000 + "org"
+    texts = [f"write to a@{labels} now", f"a@{'y-' * 30_000}.de..c@d.e", "a@b..c@d.e f@.g h@i. j@k.l.", "1." * 30_000]
+    found = private_data.annotate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    places = {row.doc_id: [(span.kind, span.start, span.end) for span in row.base] for row in found}
+    assert places[0] == [("email", 9, 11 + len(labels))]
+    assert places[1] == [("email", 0, 60_005), ("email", 60_005, 60_012)] and [len(places[3]), sum(row.n_email for row in found)] == [7500, 5]
+    assert [("email", a, b) for a, b in personal(texts[2])["email"]] == places[2]
+    masked = private_data.redact(private_data.annotate(spark.createDataFrame([(texts[0],)], "text string"))).first().text
+    assert masked == "write to <EMAIL> now"
+
+
+def test_private_data_query_by_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {row.doc_id: row.text for row in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = queries.op3_private_data(spark, folder).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        want = personal(texts[row.doc_id])
+        listed = [f"{kind}:{a}:{b}" for kind in private_data.BASE for a, b in want[kind]]
+        assert [row[f"n_{kind}"] for kind in private_data.BASE] == [len(want[kind]) for kind in private_data.BASE]
+        assert row.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(listed) <= set(row.spans.split(",")) | {""}
+
+
+def test_reliabilities_belong_to_a_kind():
+    """A labeler that is right on one kind and wrong on another is believed on the first alone."""
+    rows = [("ssn ++00sn", 400), ("ssn --00sn", 400), ("person +-+0sn", 300), ("person -+-0sn", 300), ("person +++0sn", 9)]
+    posterior = private_data.estimate(rows)
+    assert posterior["ssn ++00sn"] > 0.9 > 0.1 > posterior["ssn --00sn"]
+    assert posterior["person +-+0sn"] > 0.7
+
+
+def test_texts_without_letters_have_no_language(spark):
+    texts = ["²½", "Ⅷ", "12 345", "---", "② _", "ab ²"]
+    learning = spark.createDataFrame([(1, "one two ab three", "en"), (2, "un deux trois", "fr")], "doc_id long, text string, lang string")
+    model = language_id.learn(learning)
+    found = language_id.predict(spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "doc_id long, text string"), model)
+    assert [row.lang_pred == "und" for row in sorted(found.collect())] == [True] * 5 + [False]
