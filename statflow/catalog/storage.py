@@ -13,7 +13,7 @@ from statflow.catalog.registry import Tables, query
 from statflow.functions.instants import instant
 from statflow.operators.merge import upsert_queue
 from statflow.operators.parse import wire_frame
-from statflow.plans.jobs import collect_snapshots, collect_trends, refresh_channels
+from statflow.plans.jobs import collect_snapshots, collect_trends, in_chunks, refresh_channels
 from statflow.plans.publish import VersionedTable
 from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.session import scratch_path
@@ -168,6 +168,33 @@ def collected_queue(t: Tables):
     return table.read()
 
 
+@query(
+    "flow3_collect_chunks",
+    cte("videos")
+    + f""", due as (select video_id, (row_number() over (order by next_poll_at, video_id) - 1) // 50 as chunk,
+        next_poll_at from videos where next_poll_at <= {RUN_SQL}),
+    asked as (select video_id, count(*) over w as size, first_value(video_id) over (partition by chunk order by next_poll_at, video_id) as head
+      from due window w as (partition by chunk))
+    select video_id, {RUN_SQL} as scraped_at, size as view_count, cast(head as bigint) as like_count,
+      cast(video_id as bigint) as comment_count
+    from asked v where {_MEASURED}""",
+)
+def collected_chunks(t: Tables):
+    """Requests of fifty in due order; each answer says how many were asked with it, and which came first."""
+
+    class Counting:
+        def fetch(self, keys):
+            return [
+                {"video_id": key, "view_count": len(keys), "like_count": int(keys[0]), "comment_count": int(key)}
+                for key in keys
+                if int(key) % 13
+            ]
+
+    table, path = _video_queue(t), scratch_path(t.spark, "series")
+    collect_snapshots(table, in_chunks(Counting, senders=5), path, RUN)
+    return read_series(t.spark, path, VIEW_TIMESERIES, RUN).select(*VIEW_TIMESERIES.names)
+
+
 _ANSWERED = "(cast(v.video_id as bigint) % 5 <> 0 or cast(v.video_id as bigint) % 13 <> 0)"
 
 

@@ -6,7 +6,7 @@ import sys
 import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
-from itertools import chain, islice
+from itertools import chain, groupby, islice
 from typing import Any, Protocol
 
 import pyarrow as pa
@@ -139,9 +139,55 @@ def enrich_batches(
 ) -> DataFrame:
     """Details for each key from an outside service, ``batch`` keys per request.
 
-    One client per partition.  A batch that is refused or keeps failing is skipped: its keys come back
-    with ``ok`` false and the error.  Keys the service does not know give no row.
+    One client per partition, whose last request may be short.  A batch that is refused or keeps failing is
+    skipped: its keys come back with ``ok`` false and the error.  Keys the service does not know give no row.
     """
+
+    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+        keys = chain.from_iterable(b.column(0).to_pylist() for b in batches)
+        while chunk := list(islice(keys, batch)):
+            yield chunk
+
+    return _asked(df.select(F.col(key).cast("string")), key, requests, client_factory, result, sleep)
+
+
+def enrich_chunks(
+    chunks: DataFrame,
+    key: str,
+    client_factory: Callable[[], Client],
+    result: T.StructType,
+    senders: int | None = None,
+    number: str = "batch_no",
+    place: str = "pos_in_batch",
+    sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """Details for numbered chunks (``queue.chunk_due``), one request for each, in their order.
+
+    The number of a chunk names its task, so every chunk is sent whole, by one of ``senders`` tasks with a
+    client each, and every task begins with its earliest chunk: if keys run out, what is left unasked is
+    what was due last.  Refused and unknown keys are as in ``enrich_batches``.  A task that Spark
+    repeats asks again for its chunks.
+    """
+    senders = senders or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task = F.pmod(F.col(number), F.lit(senders)).cast("int")
+    dealt = chunks.repartitionById(senders, task).sortWithinPartitions(number, place)
+
+    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+        rows = chain.from_iterable(zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches)
+        for _, chunk in groupby(rows, key=lambda row: row[1]):
+            yield [name for name, _ in chunk]
+
+    return _asked(dealt.select(F.col(key).cast("string"), number), key, requests, client_factory, result, sleep)
+
+
+def _asked(
+    df: DataFrame,
+    key: str,
+    requests: Callable[[Iterator[pa.RecordBatch]], Iterator[list[str]]],
+    client_factory: Callable[[], Client],
+    result: T.StructType,
+    sleep: Callable[[float], None],
+) -> DataFrame:
     fields = [T.StructField(key, T.StringType()), *(f for f in result.fields if f.name != key)]
     out = T.StructType(
         [*fields, T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())]
@@ -151,10 +197,10 @@ def enrich_batches(
     def failed(keys: list[str], error: str) -> list[dict[str, Any]]:
         return [{key: k, "ok": False, "error": error} for k in keys]
 
-    def answers(keys: Iterator[str]) -> Iterator[list[dict[str, Any]]]:
+    def answers(chunks: Iterator[list[str]]) -> Iterator[list[dict[str, Any]]]:
         client: Client | None = None
         spent: str | None = None
-        while chunk := list(islice(keys, batch)):
+        for chunk in chunks:
             client = client or client_factory()
             if spent is not None:
                 yield failed(chunk, spent)
@@ -169,9 +215,8 @@ def enrich_batches(
                 yield failed(chunk, spent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = chain.from_iterable(b.column(0).to_pylist() for b in batches)
         rows: list[dict[str, Any]] = []
-        for answer in answers(keys):
+        for answer in answers(requests(batches)):
             rows += answer
             if len(rows) >= _ROWS_PER_ARROW_BATCH:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
@@ -182,6 +227,6 @@ def enrich_batches(
     # sent with the task, so that executors need no copy of this package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     try:
-        return df.select(F.col(key).cast("string")).mapInArrow(run, out)
+        return df.mapInArrow(run, out)
     finally:
         cloudpickle.unregister_pickle_by_value(sys.modules[__name__])

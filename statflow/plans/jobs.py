@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statflow.functions.instants import instant
 from statflow.operators import enrich, lookup, merge, parse, quality, queue
@@ -121,6 +122,22 @@ def ingest_uploads(
         checked.unpersist()
 
 
+def in_chunks(
+    client_factory: Callable[[], lookup.Client], size: int = lookup.BATCH_SIZE, senders: int | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """A ``measure`` for ``collect_snapshots``: due videos in queue order, ``size`` of them in each request.
+
+    The order is that of the whole queue, so only the very last request is short.  Videos whose request
+    failed have no answer and stay due."""
+    counters = T.StructType([f for f in VIEW_TIMESERIES.fields if f.name not in ("video_id", "scraped_at")])
+
+    def measure(due: DataFrame) -> DataFrame:
+        chunks = queue.chunk_due(due, size)
+        return lookup.enrich_chunks(chunks, "video_id", client_factory, counters, senders).where("ok")
+
+    return measure
+
+
 def collect_snapshots(
     table: VersionedTable,
     measure: Callable[[DataFrame], DataFrame],
@@ -130,7 +147,7 @@ def collect_snapshots(
 ) -> int:
     """Measures the due videos, stores the snapshots, and sets the next poll times.
 
-    ``measure`` takes the due rows and returns video id and counters of those it could read.
+    ``measure`` takes the due rows (video id, publication and poll time; see ``in_chunks``) and returns video id and counters of those it could read.
     Its answers are landed as they come, below a name that belongs to the series and the run.
     A run that is repeated asks only for what has no answer yet, writes the series of the run
     from all answers, those of earlier attempts included, and moves the videos in it: nothing is
@@ -144,7 +161,7 @@ def collect_snapshots(
     earlier = read_series(spark, series_path, VIEW_TIMESERIES, as_of).select(*VIEW_TIMESERIES.names)
     if not landing.attempts() and not earlier.isEmpty():
         landing.add(earlier)  # the run ended well before; its folder is going to be replaced
-    due = queue.due_videos(waiting, as_of, only_active).select("video_id", "published_at")
+    due = queue.due_videos(waiting, as_of, only_active).select("video_id", "published_at", "next_poll_at")
     known = landing.answers()
     asked = due.join(known.select("video_id").distinct(), "video_id", "left_anti")
     counters = (F.col(name).cast("bigint").alias(name) for name in VIEW_TIMESERIES.names[2:])

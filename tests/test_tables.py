@@ -478,6 +478,32 @@ def test_a_client_is_asked_once_per_batch(spark, path):
     assert [r.video_id for r in waiting] == ["007"]
 
 
+def test_chunks_are_sent_whole_and_in_due_order(spark, path):
+    due = [(f"{i:03d}", "c", T0, "active", None, T0 + timedelta(minutes=i * 37 % 430), 6, T0) for i in range(430)]
+    table, log = video_table(spark, path, *due), path("requests")
+
+    class Client:
+        def fetch(self, keys):
+            with open(log, "a") as out:
+                out.write(f"{id(self)} " + " ".join(keys) + "\n")
+            if keys[0] == order[100]:
+                raise lookup.QuotaExhausted("no key left")
+            return [{"video_id": k, "view_count": 1, "like_count": 2, "comment_count": 3} for k in keys]
+
+    order = [row[0] for row in sorted(due, key=lambda row: (row[5], row[0]))]
+    assert jobs.collect_snapshots(table, jobs.in_chunks(Client, senders=2), path("s"), T1) == 430 - 3 * 50 - 30
+    with open(log) as lines:
+        sent = [line.split() for line in lines]
+    # chunks 0, 2, 4 ... belong to one client, which ran out at chunk 2; 1, 3 ... to the other
+    chunks = [order[at : at + 50] for at in range(0, 430, 50)]
+    by_client = {}
+    for client, *keys in sent:
+        by_client.setdefault(client, []).append(keys)
+    assert sorted(by_client.values()) == sorted([[chunks[0], chunks[2]], chunks[1::2]])
+    left = {r.video_id for r in queue.due_videos(table.read(), T1).collect()}
+    assert left == {key for chunk in chunks[2::2] for key in chunk}
+
+
 def test_trends_of_nothing(spark, path):
     empty = spark.createDataFrame([], VIDEO_TRENDS)
     assert series.append_trends(empty, path("t"), T0) == {"inserted_videos": 0}
