@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from statflow.operators.merge import Policy, fold_batch
 from statflow.sinks.metrics import write_counted
+from statflow.sinks.series import indexed
 
 # parts of a table with a key; at scale, so many that one is a few hundred MB
 BUCKETS = 32
@@ -56,7 +57,8 @@ class VersionedTable:
     """A published table.  Without a ``key`` it has one bucket.
 
     ``sorted_by`` orders the rows inside each file, so that scans with a filter on the first
-    of these columns skip most row groups.  ``buckets`` counts when the table is first published.
+    of these columns skip most row groups; ``indexes`` are columns with Bloom filters, for equality on
+    others.  ``buckets`` counts when the table is first published.
     """
 
     def __init__(
@@ -67,9 +69,10 @@ class VersionedTable:
         key: str | None = None,
         buckets: int = BUCKETS,
         sorted_by: Sequence[str] = (),
+        indexes: Sequence[str] = (),
     ) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.sorted_by = key, tuple(sorted_by)
+        self.key, self.sorted_by, self.indexes = key, tuple(sorted_by), tuple(indexes)
         self.buckets = buckets if key is not None else 1
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
@@ -165,7 +168,7 @@ class VersionedTable:
             laid_out = laid_out.where(outside.isNull())
         laid_out = laid_out.sortWithinPartitions(_BUCKET, *self.sorted_by)
         path = f"{self.root}/{folder}"
-        rows = write_counted(laid_out, lambda rows: rows.write.partitionBy(_BUCKET).parquet(path))
+        rows = write_counted(laid_out, lambda rows: indexed(rows.write, self.indexes).partitionBy(_BUCKET).parquet(path))
         found = (status.getPath().getName() for status in self._fs.listStatus(self._path(path)))
         return {name.removeprefix(f"{_BUCKET}="): folder for name in found if name.startswith(_BUCKET)}, rows
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,7 +85,7 @@ def append_series(
     """
     laid_out = series_layout(df, time, key, date, partitions)
     folder = f"{path}/{RUN}={run_name(as_of)}"
-    return write_counted(laid_out, lambda rows: rows.write.mode("overwrite").parquet(folder))
+    return write_counted(laid_out, lambda rows: indexed(rows.write, [key]).mode("overwrite").parquet(folder))
 
 
 def append_trends(
@@ -96,6 +96,11 @@ def append_trends(
     return {"inserted_videos": rows, "captured_at": as_of} if rows else {"inserted_videos": 0}
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: Sequence[str]) -> None:
-    """A catalog table bucketed by key: joins and merges on the key need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort).saveAsTable(table)
+def indexed(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWriter:
+    """A writer whose Parquet files carry Bloom filters of ``columns``.
+
+    For equality on columns that the sort order doesn't serve: a row group that can't hold the value
+    is not read."""
+    for name in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    return writer
