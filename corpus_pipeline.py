@@ -21,7 +21,9 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told, learning from the labelled ones among them."""
+    """Drops documents whose language can't be told, NULL texts and those without a letter among them.
+
+    Learns from the labelled documents that are not held out."""
     small_batches(spark)
     model = language_id.learn(docs.where(~language_id.held_out()))
     return language_id.predict(docs, model).where("not rejected").select(docs.columns)
