@@ -64,7 +64,7 @@ def made(seed, count):
         yield (text + " 12-3", draw.choice(["en", "fr", None, ""]), draw.choice(["s1", "s2", "s3", None]))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_all_values(spark, seed):
     rows = [*made(seed, 120), ("only here", "xx", "s1"), ("", "xx", "s2"), (None, "xx", None), ("a a a", "one", "s")]
     found = divergence.audit(frame(spark, rows), ranks=7).collect()
