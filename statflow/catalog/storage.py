@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statflow.catalog.figures import PLAIN_SQL
 from statflow.catalog.fixtures import OBSERVED, OBSERVED_SQL, RUN, RUN_SQL, cte, fixture
@@ -19,7 +20,7 @@ from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEO_TRENDS, VIDE
 from statflow.session import scratch_path
 from statflow.sinks.series import TREND_DATE, append_series, read_series
 from statflow.sources.events import as_event_frame, read_event_files
-from statflow.streaming import run
+from statflow.streaming import late, run
 from statflow.streaming.sinks import AppendSink, FolderStore
 from statflow.streaming.state import read_state, start_state
 
@@ -392,12 +393,48 @@ def stream_late_rows(t: Tables):
     frame = as_event_frame(_sent(t), "key", "value", "at")
     source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
     sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "snapshots", "late")
-    late = 0
+    dropped = 0
     for half in (F.dayofmonth("timestamp") > 15, F.dayofmonth("timestamp") <= 15):
         frame.where(half).write.mode("append").parquet(source)
         distinct = run.snapshots(read_event_files(t.spark, source))
         started = run.start(distinct, sink, checkpoint, trigger=None)
         started.awaitTermination()
-        late += run.late_rows(json.loads(p.json) for p in started.recentProgress)
+        dropped += run.late_rows(json.loads(p.json) for p in started.recentProgress)
     stored = sink.read(t.spark, distinct.schema).select("channel_id", "processed_at")
-    return stored.withColumn("late", F.lit(late).cast("bigint"))
+    return stored.withColumn("late", F.lit(dropped).cast("bigint"))
+
+
+_FIRST_HALF_LATE = """select channel_id, processed_at, total_views,
+      (select epoch_us(max(processed_at)) // 1000 - 600000 from channel_obs where dayofmonth(processed_at) > 15)
+        - epoch_us(processed_at) // 1000 as late_ms
+    from channel_obs where dayofmonth(processed_at) <= 15"""
+
+
+def _halves(t: Tables):
+    """The second half of the month first, then all of it: half of that is late, half is delivered again."""
+    frame = as_event_frame(_sent(t), "key", "value", "at")
+    source, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "checkpoint")
+    sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "snapshots", "halves")
+    for delivery in (F.dayofmonth("timestamp") > 15, F.lit(True)):
+        frame.where(delivery).write.mode("append").parquet(source)
+        rows = late.snapshots_with_candidates(read_event_files(t.spark, source))
+        run.start(rows, late.keeping_late(sink, checkpoint), checkpoint, trigger=None).awaitTermination()
+    kept = T.StructType([f for f in rows.schema.fields if f.name != late.CANDIDATE])
+    return sink.read(t.spark, kept.add(late.LATE_MS, T.LongType()))
+
+
+@query("t6_late_table", cte("channel_obs") + _FIRST_HALF_LATE)
+def late_table(t: Tables):
+    """Every late snapshot with its distance to the watermark of its batch; redelivered ones are not among them."""
+    return late.lost(_halves(t)).select("channel_id", "processed_at", "total_views", late.LATE_MS)
+
+
+@query(
+    "t6_late_completed",
+    cte("channel_obs") + "select channel_id, processed_at, total_views from channel_obs",
+)
+def late_completed(t: Tables):
+    """What came on time and what came only late are the whole series."""
+    stored = _halves(t)
+    columns = ("channel_id", "processed_at", "total_views")
+    return late.on_time(stored).select(*columns).unionByName(late.lost(stored).select(*columns))
