@@ -19,6 +19,7 @@ from statflow.plans.publish import VersionedTable
 from statflow.schemas import CHANNEL_STATS, CHANNEL_STATS_V1, VIDEO_TRENDS, VIDEOS, VIEW_TIMESERIES
 from statflow.session import scratch_path
 from statflow.sinks.series import TREND_DATE, append_series, read_series
+from statflow.sources import landing
 from statflow.sources.events import as_event_frame, read_event_files
 from statflow.streaming import late, run
 from statflow.streaming.sinks import AppendSink, FolderStore
@@ -438,3 +439,51 @@ def late_completed(t: Tables):
     stored = _halves(t)
     columns = ("channel_id", "processed_at", "total_views")
     return late.on_time(stored).select(*columns).unionByName(late.lost(stored).select(*columns))
+
+
+# the API object of an order, and what the second delivery adds to it
+_OBJECT = "'id', o_orderkey, 'snippet', named_struct('title', concat('Ü ', o_orderstatus), 'publishedAt', cast(o_orderdate as string){more})"
+_ADDED = ", 'audience', named_struct('paid', o_totalprice, 'segment', o_orderpriority)"
+
+
+def _landed(t: Tables):
+    """Replies of one customer each, in two deliveries; the second has one more object in each snippet."""
+    zone, checkpoint = scratch_path(t.spark, "landing"), scratch_path(t.spark, "checkpoint")
+    sink = AppendSink(FolderStore(scratch_path(t.spark, "sink")), "items", "landing")
+    orders = t.raw("orders")
+    for odd in (0, 1):
+        made = f"named_struct({_OBJECT.format(more=_ADDED if odd else '')})"
+        items = orders.where(F.col("o_orderkey") % 2 == odd).groupBy("o_custkey").agg(F.collect_list(F.expr(made)).alias("items"))
+        replies = items.select(F.to_json(F.struct("items")).alias("value"))
+        broken = items.where("o_custkey % 10 = 0").select(F.concat(F.lit('{"items": ['), F.col("o_custkey").cast("string")))
+        replies.union(broken).write.mode("append").text(zone)
+        landed = landing.landed_items(landing.stream_replies(t.spark, zone))
+        run.start(landed, sink, checkpoint, trigger=None).awaitTermination()
+    return sink.read(t.spark, landing.LANDED)
+
+
+@query(
+    "s4_landed_items",
+    """select cast(o_orderkey as varchar) as id, concat('Ü ', o_orderstatus) as title, cast(o_orderdate as date) as day,
+      case when o_orderkey % 2 = 1 then o_totalprice end as paid,
+      case when o_orderkey % 2 = 1 then o_orderpriority end as segment
+    from orders""",
+)
+def landed_fields(t: Tables):
+    """Each object once, with fields that only the second delivery has."""
+    fields = {
+        "title": ("$.snippet.title", "string"),
+        "day": ("$.snippet.publishedAt", "date"),
+        "paid": ("$.snippet.audience.paid", "double"),
+        "segment": ("$.snippet.audience.segment", "string"),
+    }
+    return landing.typed(_landed(t), fields).drop(landing.FILE)
+
+
+@query(
+    "s4_landed_field_names",
+    """select 'title' as name, count(*) as n from orders union all select 'publishedAt', count(*) from orders
+    union all select 'audience', count(*) from orders where o_orderkey % 2 = 1 having count(*) > 0""",
+)
+def landed_field_names(t: Tables):
+    return landing.field_names(_landed(t), "$.snippet").select("name", "n")
