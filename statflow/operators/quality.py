@@ -17,33 +17,50 @@ def _named(condition: Column, rule: str) -> Column:
     return F.when(condition, F.lit(rule))
 
 
-def range_rules(table: str) -> list[Column]:
+def _ranges(table: str) -> dict[str, Column]:
     """A null passes, as in a SQL CHECK."""
-    bounds = LOWER_BOUND.get(table, {})
-    return [_named(F.col(c) < bound, f"{c}:range") for c, bound in bounds.items()]
+    return {f"{c}:range": F.col(c) < bound for c, bound in LOWER_BOUND.get(table, {}).items()}
+
+
+def _domains(table: str) -> dict[str, Column]:
+    return {f"{c}:domain": ~F.col(c).isin(*values) for c, values in DOMAIN.get(table, {}).items()}
+
+
+def _nulls(table: str) -> dict[str, Column]:
+    return {f"{c}:not_null": F.col(c).isNull() for c in NOT_NULL.get(table, ())}
+
+
+def _lengths(table: str) -> dict[str, Column]:
+    return {f"{c}:length": F.char_length(c) > limit for c, limit in MAX_LENGTH.get(table, {}).items()}
+
+
+def row_conditions(table: str) -> dict[str, Column]:
+    """When a row breaks which rule."""
+    return {**_ranges(table), **_domains(table), **_nulls(table), **_lengths(table)}
+
+
+def _rules(conditions: dict[str, Column]) -> list[Column]:
+    return [_named(condition, rule) for rule, condition in conditions.items()]
+
+
+def range_rules(table: str) -> list[Column]:
+    return _rules(_ranges(table))
 
 
 def domain_rules(table: str) -> list[Column]:
-    domains = DOMAIN.get(table, {})
-    return [_named(~F.col(c).isin(*values), f"{c}:domain") for c, values in domains.items()]
+    return _rules(_domains(table))
 
 
 def null_rules(table: str) -> list[Column]:
-    return [_named(F.col(c).isNull(), f"{c}:not_null") for c in NOT_NULL.get(table, ())]
+    return _rules(_nulls(table))
 
 
 def length_rules(table: str) -> list[Column]:
-    limits = MAX_LENGTH.get(table, {})
-    return [_named(F.char_length(c) > limit, f"{c}:length") for c, limit in limits.items()]
+    return _rules(_lengths(table))
 
 
 def row_rules(table: str) -> list[Column]:
-    return [
-        *range_rules(table),
-        *domain_rules(table),
-        *null_rules(table),
-        *length_rules(table),
-    ]
+    return _rules(row_conditions(table))
 
 
 def check_rows(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
@@ -103,33 +120,30 @@ def violation_report(
 ) -> DataFrame:
     """Rule, key and number of rows, over row rules, key uniqueness and the foreign key.
 
-    The rows are read once and counted before the parents are looked up.
+    Keys and child columns are counted in their own types, with nothing beside them in the shuffle; only
+    rows that break a row rule become texts.  Both counts combine before the shuffle, and the second one
+    before the parents are looked up.  Each of the three parts reads just the columns it needs.
 
     ``parent`` is (child column, parent table, parent key).
     """
     column, parents, parent_key = parent or (key, None, key)
     same = df.schema[key].dataType == df.schema[column].dataType
-    value = F.col if same else lambda name: F.col(name).cast("string")
 
-    def tag(rule: Column, name: str) -> Column:
-        return F.struct(rule.alias("rule"), value(name).alias("key"))
+    def told(rule: Column, name: str) -> list[Column]:
+        value = F.col(name) if same else F.col(name).cast("string")
+        return [rule.alias("rule"), value.alias("key"), F.col("n")]
 
-    # every row says what it breaks, and the values that are to be counted or looked up
-    tags = [F.transform(VIOLATED, lambda rule: tag(rule, key))]
-    unique_rule, parent_rule = f"{key}:unique", f"{column}:parent"
-    if unique:
-        tags.append(F.array(F.when(F.col(key).isNotNull(), tag(F.lit(unique_rule), key))))
-    if parents is not None:
-        tags.append(F.array(F.when(F.col(column).isNotNull(), tag(F.lit(parent_rule), column))))
-    told = check_rows(df, row_rules(table)).select(F.explode(F.array_compact(F.concat(*tags))).alias("tag"))
-    counted = told.groupBy("tag.rule", "tag.key").agg(F.count("*").alias("n"))
+    rules = row_rules(table)
+    broken = df.where(F.coalesce(*rules).isNotNull())
+    broken = violations(broken, key, rules).groupBy("rule", F.col("key").alias(key)).agg(F.count("*").alias("n"))
+    report = broken.select(*told(F.col("rule"), key))
     if unique:
-        counted = counted.where((F.col("rule") != unique_rule) | (F.col("n") > 1))
+        repeated = duplicate_keys(df.where(F.col(key).isNotNull()), key)
+        report = report.union(repeated.select(*told(F.lit(f"{key}:unique"), key)))
     if parents is not None:
-        known = parents.select(F.col(parent_key).alias("__parent")).distinct()
-        found = (F.col("rule") == parent_rule) & (F.col("key") == F.col("__parent"))
-        counted = counted.join(known, found, "left_anti")
-    return counted
+        missing = orphan_counts(df.where(F.col(column).isNotNull()), column, parents, parent_key)
+        report = report.union(missing.select(*told(F.lit(f"{column}:parent"), column)))
+    return report
 
 
 def with_all_violations(
