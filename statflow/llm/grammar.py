@@ -6,8 +6,12 @@ neighbouring symbols are replaced by nonterminals, round after round, each round
 pay.  Pairs never cross documents, and a shard stores the rules and the expansion length of each
 nonterminal, so any range of ids of any document can be decoded alone.
 
+Rounds go on until one saves less than ``GAIN`` of the symbols.  A rule costs two symbols and a length, so a
+pair pays from ``LEAST`` occurrences on; while the vocabulary leaves room in 16 bits, rules stay within it, because
+wider symbols would double the stream.
+
 A shard is one row of a Parquet table (Spark's writer commits it, so a lost executor leaves
-nothing half-written): ``part, shard, first, keys, sizes, symbols, stream, width, rules, lengths``.
+nothing half-written): ``part, shard, first, keys, sizes, symbols, vocabulary, stream, width, rules, lengths``.
 ``keys`` are the documents in order, ``sizes`` their ids, ``symbols`` their symbols; ``stream`` has
 the symbols of ``width`` bytes; ``rules`` are pairs of 32-bit symbols; the nonterminal of rule n is
 the vocabulary's size plus n, and ``lengths`` counts the ids it stands for.  ``first`` is the
@@ -29,47 +33,60 @@ from pyspark.sql import functions as F
 
 from statflow.llm import tokens
 
-END_ID, SHARD_TOKENS, VOCABULARY = 2, 1 << 20, 50_257
-#: Rounds of replacement, least occurrences of a pair, and rules so that symbols fit into 16 bits.
-ROUNDS, LEAST = 3, 8
+END_ID, SHARD_TOKENS = 2, 1 << 20
+#: The share of the symbols that a round must save for another one, and the least occurrences of a pair.
+GAIN, LEAST = 0.01, 8
 _SLOT_BITS = 17
 SHARD = (
-    "part int, shard int, first long, {key} array<{kind}>, sizes array<int>, symbols array<int>, width int, "
+    "part int, shard int, first long, {key} array<{kind}>, sizes array<int>, symbols array<int>, vocabulary int, width int, "
     "stream binary, rules binary, lengths binary"
 )
 
 
-def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``stream, symbols of each document, rules, lengths`` of documents that lie one after the other."""
     stream = ids.astype(np.int64)
     ends = np.cumsum(sizes)
     rules: list[np.ndarray] = []
     lengths = [np.ones(vocabulary, np.int64)]
     room = max(0, (1 << 16) - vocabulary) if vocabulary < 1 << 16 else 1 << 20
-    for turn in range(ROUNDS):
+    saved = GAIN
+    while saved >= GAIN and len(stream) > 1:
         keys = stream[:-1] << 32 | stream[1:]
         keys[ends[:-1] - 1] = -1  # pairs that cross documents
-        chosen, rank = _frequent(keys, room // (ROUNDS - turn))
+        chosen, rank = _frequent(keys, (room + 1) // 2)
         if not len(chosen):
             break
-        # the most frequent of overlapping pairs, the first of equal ones
-        left, right = np.append(len(chosen), rank[:-1]), np.append(rank[1:], len(chosen))
-        at = np.flatnonzero((rank < len(chosen)) & (rank < left) & (rank <= right))
+        at = _without_overlap(rank, len(chosen))
+        used = np.bincount(rank[at], minlength=len(chosen)) >= LEAST  # others lost too many places to them
+        if not used.any():
+            break
+        at, number = at[used[rank[at]]], np.cumsum(used) - 1
         base = vocabulary + sum(map(len, rules))
+        chosen = chosen[used]
         pairs = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
         rules.append(pairs)
         known = np.concatenate(lengths)
         lengths.append(known[pairs[:, 0]] + known[pairs[:, 1]])
         room -= len(chosen)
-        stream[at] = base + rank[at]
+        stream[at] = base + number[rank[at]]
         kept = np.ones(len(stream), bool)
         kept[at + 1] = False
         ends = np.cumsum(kept)[ends - 1]
+        saved = len(at) / len(stream)
         stream = stream[kept]
     found = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return stream, np.diff(ends, prepend=0), found, np.concatenate(lengths)[vocabulary:]
 
 
+def _without_overlap(rank: np.ndarray, none: int) -> np.ndarray:
+    """Places to replace: of overlapping pairs the most frequent, and every second one in a run of one id."""
+    places = np.arange(len(rank))
+    left, right = np.append(none, rank[:-1]), np.append(rank[1:], none)
+    begin = np.maximum.accumulate(np.where(rank == left, 0, places))
+    return np.flatnonzero((rank < none) & (rank <= left) & (rank <= right) & ((places - begin) % 2 == 0))
+
+
 def _frequent(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """At most ``most`` pairs with at least ``LEAST`` occurrences, most frequent first, and for each
     key its place among them (their number for the others).  One pair for each slot of a hash table
@@ -86,7 +103,7 @@ def _frequent(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return holder[often], np.where(own, place[slots], len(often))
 
 
-def expand(stream: np.ndarray, rules: np.ndarray, lengths: np.ndarray, vocabulary: int = VOCABULARY) -> np.ndarray:
+def expand(stream: np.ndarray, rules: np.ndarray, lengths: np.ndarray, vocabulary: int) -> np.ndarray:
     """The ids that symbols stand for."""
     if not len(rules):
         return stream.astype(np.int64)
@@ -101,7 +118,7 @@ def expand(stream: np.ndarray, rules: np.ndarray, lengths: np.ndarray, vocabular
     return flat[np.repeat(bounds[stream] - after + size, size) + np.arange(size.sum())]
 
 
-def decode_range(stream: np.ndarray, rules: np.ndarray, lengths: np.ndarray, start: int, stop: int, vocabulary: int = VOCABULARY) -> np.ndarray:
+def decode_range(stream: np.ndarray, rules: np.ndarray, lengths: np.ndarray, start: int, stop: int, vocabulary: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a document, decoded from the symbols that cover them alone."""
     size = np.append(np.ones(vocabulary, np.int64), lengths)[stream]
     after = np.cumsum(size)
@@ -118,25 +135,26 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = tokens.encoder(tokenizer), TaskContext.get().partitionId()
+        vocabulary = 1 + max(end_id, *encode.tokenizer.get_vocab().values())
         names, held, shard, first = [], [], 0, 0
         for batch in batches:
             kind = batch.schema.field(key).type
             names += batch[key].to_pylist()
             held += [np.append(ids, end_id) for ids in encode([one or "" for one in batch[text].to_pylist()])]
             if sum(map(len, held)) >= SHARD_TOKENS:
-                yield _row(part, shard, first, key, kind, names, held)
+                yield _row(part, shard, first, key, kind, names, held, vocabulary)
                 first, shard, names, held = first + sum(map(len, held)), shard + 1, [], []
         if held:
-            yield _row(part, shard, first, key, kind, names, held)
+            yield _row(part, shard, first, key, kind, names, held, vocabulary)
 
     schema = SHARD.format(key=f"`{key}`", kind=docs.schema[key].dataType.simpleString())
     laid.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
 
 
-def _row(part: int, shard: int, first: int, key: str, kind: pa.DataType, names: list, held: list) -> pa.RecordBatch:
+def _row(part: int, shard: int, first: int, key: str, kind: pa.DataType, names: list, held: list, vocabulary: int) -> pa.RecordBatch:
     sizes = np.array([len(ids) for ids in held])
-    stream, symbols, rules, lengths = compress(np.concatenate(held), sizes)
-    width = 2 if VOCABULARY + len(rules) <= 1 << 16 else 4
+    stream, symbols, rules, lengths = compress(np.concatenate(held), sizes, vocabulary)
+    width = 2 if vocabulary + len(rules) <= 1 << 16 else 4
     return pa.RecordBatch.from_pydict(
         {
             "part": pa.array([part], pa.int32()),
@@ -145,6 +163,7 @@ def _row(part: int, shard: int, first: int, key: str, kind: pa.DataType, names:
             key: pa.array([names], pa.list_(kind)),
             "sizes": pa.array([sizes], pa.list_(pa.int32())),
             "symbols": pa.array([symbols], pa.list_(pa.int32())),
+            "vocabulary": pa.array([vocabulary], pa.int32()),
             "width": pa.array([width], pa.int32()),
             "stream": pa.array([stream.astype(f"<u{width}").tobytes()], pa.binary()),
             "rules": pa.array([rules.astype("<u4").tobytes()], pa.binary()),
@@ -168,10 +187,10 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
-                shard = {name: row[name][0].as_py() for name in ("part", "first", "width", "stream", "rules", "lengths")}
+                shard = {name: row[name][0].as_py() for name in ("part", "first", "vocabulary", "width", "stream", "rules", "lengths")}
                 stream = np.frombuffer(shard["stream"], f"<u{shard['width']}")
                 rules, lengths = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2), np.frombuffer(shard["lengths"], "<u4")
-                data = memoryview(expand(stream, rules, lengths.astype(np.int64)).astype("<u4").tobytes())
+                data = memoryview(expand(stream, rules, lengths.astype(np.int64), shard["vocabulary"]).astype("<u4").tobytes())
                 sizes = np.array(row["sizes"][0].values)
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_pydict(
@@ -183,5 +202,5 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
                     }
                 )
 
-    columns = files.select("part", "first", "width", "stream", "rules", "lengths", "sizes", key)
+    columns = files.select("part", "first", "vocabulary", "width", "stream", "rules", "lengths", "sizes", key)
     return columns.mapInArrow(run, f"`{key}` {kind}, start long, n_tokens long, ids binary")

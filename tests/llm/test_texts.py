@@ -150,14 +150,45 @@ def test_grammar_round_trip():
     random = np.random.default_rng(1)
     sizes = random.integers(1, 400, 60)
     ids = random.choice([7, 8, 9, 50_256], int(sizes.sum()), p=[0.5, 0.3, 0.1, 0.1])
-    stream, symbols, rules, lengths = grammar.compress(ids, sizes)
+    stream, symbols, rules, lengths = grammar.compress(ids, sizes, 50_257)
     assert len(stream) < len(ids) / 2 and symbols.sum() == len(stream)
-    assert (grammar.expand(stream, rules, lengths) == ids).all()
+    assert (grammar.expand(stream, rules, lengths, 50_257) == ids).all()
     first, start = np.cumsum(symbols) - symbols, np.cumsum(sizes) - sizes
     for at in range(0, 60, 7):
         own = stream[first[at] : first[at] + symbols[at]]
         for a, b in ((0, sizes[at]), (sizes[at] // 3, sizes[at] // 2), (0, 1), (sizes[at] - 1, sizes[at]), (0, 0)):
-            assert (grammar.decode_range(own, rules, lengths, a, b) == ids[start[at] + a : start[at] + b]).all()
+            assert (grammar.decode_range(own, rules, lengths, a, b, 50_257) == ids[start[at] + a : start[at] + b]).all()
+
+
+def test_grammar_goes_on_until_no_pair_pays():
+    one = np.random.default_rng(2).integers(0, 50_000, 4_000)
+    ids, sizes = np.tile(one, 40), np.full(40, 4_000)
+    stream, symbols, rules, lengths = grammar.compress(ids, sizes, 50_257)
+    # a text that is there forty times is a few symbols, and the rules are about one for each of its ids
+    assert len(stream) < 40 * 8 and len(rules) < 4_400 and lengths.max() > 500
+    assert symbols.sum() == len(stream) and symbols.tolist() == [symbols[0]] * 40
+    assert (grammar.expand(stream, rules, lengths, 50_257) == ids).all()
+    assert (grammar.decode_range(stream[: symbols[0]], rules, lengths, 1_234, 3_456, 50_257) == one[1_234:3_456]).all()
+
+
+@pytest.mark.parametrize("vocabulary", [5, 60_001, 65_535, 65_536, 200_000])
+def test_grammar_of_other_vocabularies(vocabulary):
+    ids = np.random.default_rng(3).choice([0, 2, 3, vocabulary - 1], 5_000)
+    sizes = np.array([1, 2, 0, 4_990, 7])
+    stream, symbols, rules, lengths = grammar.compress(ids, sizes, vocabulary)
+    assert (grammar.expand(stream, rules, lengths, vocabulary) == ids).all()
+    assert vocabulary >= 1 << 16 or vocabulary + len(rules) <= 1 << 16
+
+
+def test_grammar_of_runs():
+    ids, sizes = np.full(5_000, 3), np.array([4_999, 1])
+    stream, symbols, rules, lengths = grammar.compress(ids, sizes, 5)
+    assert len(stream) < 30 and (grammar.expand(stream, rules, lengths, 5) == ids).all()
+
+
+def test_grammar_of_one_id():
+    stream, symbols, rules, lengths = grammar.compress(np.array([2]), np.array([1]), 3)
+    assert stream.tolist() == [2] and symbols.tolist() == [1] and not len(rules) and not len(lengths)
 
 
 def test_packing(docs, tokenizer):
