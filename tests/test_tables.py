@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statflow import session
-from statflow.operators import boards, lookup, merge, queue
+from statflow.operators import boards, lookup, merge, quality, queue
 from statflow.operators.merge import Policy
 from statflow.plans import jobs, publish
 from statflow.plans.publish import PublishConflict, VersionedTable, merge_into
@@ -514,3 +514,21 @@ def test_chunks_are_sent_whole_and_in_due_order(spark, path):
 def test_trends_of_nothing(spark, path):
     empty = spark.createDataFrame([], VIDEO_TRENDS)
     assert series.append_trends(empty, path("t"), T0) == {"inserted_videos": 0}
+
+
+def test_violation_report_of_other_key_types(spark):
+    """Keys of two types come out as text; null keys are no duplicates, null parents are not looked up."""
+    columns = "video_id bigint, channel_id string, published_at timestamp, status string, current_interval_hours int"
+    rows = [(1, "a", T0, "active", 6), (1, "b", T0, "odd", 0), (None, None, T0, "active", 6), (None, "b", T0, "active", 6)]
+    videos = spark.createDataFrame(rows, columns).withColumn("created_at", F.col("published_at"))
+    parents = spark.createDataFrame([("a",), ("a",), (None,)], "channel_id string")
+
+    def report(df):
+        found = quality.violation_report(df, "videos", "video_id", unique=True, parent=("channel_id", parents, "channel_id"))
+        assert found.columns == ["rule", "key", "n"]
+        return sorted((tuple(row) for row in found.collect()), key=str)
+
+    none = [("channel_id:not_null", None, 1), ("video_id:not_null", None, 2)]
+    want = [("channel_id:parent", "b", 2), ("current_interval_hours:range", "1", 1), ("status:domain", "1", 1), ("video_id:unique", "1", 2)]
+    assert report(videos) == sorted(none + want, key=str)
+    assert report(videos.limit(0)) == []
