@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statflow.operators.skew import heavy_keys, join_unique
 from statflow.schemas import DOMAIN, LOWER_BOUND, MAX_LENGTH, NOT_NULL
 
 VIOLATED = "violated"
@@ -167,14 +168,14 @@ def with_all_violations(
         place = F.struct(*order)
         holders = (
             checked.where(F.size(VIOLATED) == 0)
-            .groupBy(F.col(key).alias("__key"))
+            .groupBy(F.col(key).alias("__held"))
             .agg(F.min(place).alias("__holder"), F.count("*").alias("__n"))
             .where("__n > 1")
             .drop("__n")
         )
-        checked = checked.join(holders, F.col(key) == F.col("__key"), "left_outer")
+        checked = join_unique(checked, key, holders, "__held", "left_outer", heavy_keys(df, key))
         later = (F.size(VIOLATED) == 0) & F.coalesce(place > F.col("__holder"), F.lit(False))
-        checked = _add_violation(checked, later, f"{key}:unique").drop("__key", "__holder")
+        checked = _add_violation(checked, later, f"{key}:unique").drop("__holder")
     return checked
 
 
