@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from statflow.operators.skew import heavy_keys, join_unique
 from statflow.schemas import BATCH_SIZE
 
 
@@ -56,9 +57,12 @@ def lookup_chain(
 
 
 def first_page(uploads: DataFrame, asked: DataFrame, limit: int = BATCH_SIZE) -> DataFrame:
-    """The first ``limit`` uploads of the lists in ``asked``; other lists are not ranked."""
-    lists = asked.select("uploads_playlist_id").distinct()
-    wanted = uploads.join(lists, "uploads_playlist_id", "left_semi")
+    """The first ``limit`` uploads of the lists in ``asked``; other lists are not ranked.
+
+    A long list is dealt over many tasks, each of which passes on at most ``limit`` of its rows."""
+    key = "uploads_playlist_id"
+    lists = asked.select(key).distinct()
+    wanted = join_unique(uploads, key, lists, key, "left_semi", heavy_keys(uploads, key))
     return first_per_key(wanted, "uploads_playlist_id", ["position", "video_id"], limit)
 
 
