@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +20,9 @@ _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 _ISO_SQL = "'%Y-%m-%dT%H:%M:%S.%f+00:00'"
 
 
-def messages(t: Tables):
+def messages(observed: DataFrame):
     """Wire messages, six tenths good; the others broken in one way each."""
-    rows = fixture(t, "channel_obs").withColumn("kind", F.col("event_id") % 10)
+    rows = observed.withColumn("kind", F.col("event_id") % 10)
     record = F.struct(
         F.when(F.col("kind") != 8, F.col("channel_id")).alias("channel_id"),
         "channel_title",
@@ -70,7 +71,7 @@ _LOST = "event_id % 10 in (3, 4)"
     from channel_obs""",
 )
 def parse_messages(t: Tables):
-    return parse.parse_messages(messages(t))
+    return parse.parse_messages(messages(fixture(t, "channel_obs")))
 
 
 @query(
@@ -81,7 +82,7 @@ def parse_messages(t: Tables):
     from channel_obs where event_id % 10 in (0, 1, 2, 9)""",
 )
 def usable(t: Tables):
-    return parse.usable(parse.parse_checked(messages(t)))
+    return parse.usable(parse.parse_checked(messages(fixture(t, "channel_obs"))))
 
 
 @query(
@@ -93,7 +94,7 @@ def usable(t: Tables):
     from channel_obs where event_id % 10 in (3, 4, 5, 6, 7, 8)""",
 )
 def rejected(t: Tables):
-    return parse.rejected(parse.parse_checked(messages(t))).drop("message")
+    return parse.rejected(parse.parse_checked(messages(fixture(t, "channel_obs")))).drop("message")
 
 
 @query(

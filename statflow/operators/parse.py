@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -70,8 +71,10 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.col(REASON).isNotNull()).select("kafka_timestamp", REASON, "message")
 
 
-def wire_frame(df: DataFrame, key: str = "channel_id") -> DataFrame:
-    """Rows as keyed JSON messages.  Nulls are written out; an empty key is no key."""
+def wire_frame(df: DataFrame, key: str = "channel_id", carry: Sequence[Column] = ()) -> DataFrame:
+    """Rows as keyed JSON messages.  Nulls are written out; an empty key is no key.
+
+    ``carry`` columns come last, beside the message."""
     columns: list[Column] = [
         iso_text(F.col(field.name)).alias(field.name)
         if isinstance(field.dataType, T.TimestampType)
@@ -81,6 +84,7 @@ def wire_frame(df: DataFrame, key: str = "channel_id") -> DataFrame:
     return df.select(
         F.nullif(F.col(key).cast("string"), F.lit("")).alias("key"),
         F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"),
+        *carry,
     )
 
 

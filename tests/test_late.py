@@ -113,3 +113,30 @@ def test_empty_batches(spark, tmp_path):
     stream = Run(spark, str(tmp_path)).feed(message("a", 0)).feed()
     assert told(stream.stored()) == [("a", 0)]
     assert late.lost(stream.stored()).count() == 0
+
+
+def test_a_span_of_time_is_dealt_over_all_tasks(spark, tmp_path):
+    from statflow.catalog import fixtures, parsing, registry, storage
+
+    # a table in the order of time, ten days a file
+    events = spark.range(0, 3000, numPartitions=3).selectExpr(
+        "id as event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, id * 14) as ts",
+        "id % 7 as user_id", "'view' as event_type", "double(id) as value", "'' as props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    t = registry.Tables(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, sent in (("sent", storage._sent(t)), ("messages", parsing.messages(storage._dealt(t)))):
+            time = "at" if name == "sent" else "timestamp"
+            day = F.dayofmonth(time)
+            sent.where(day <= 10).write.parquet(str(tmp_path / name))
+            landed = spark.read.parquet(str(tmp_path / name))
+            per_file = [r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()]
+            assert sum(per_file) == sum(1 for n in range(3000) if n * 14 < 10 * 24 * 60)
+            assert max(per_file) < sum(per_file) / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = F.get_json_object("value", "$.processed_at").cast("timestamp")
+    sent = storage._sent(t)
+    assert sent.where(written == F.col("at")).count() == fixtures.fixture(t, "channel_obs").count() == 3000
