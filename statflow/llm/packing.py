@@ -46,6 +46,9 @@ TASK_TOKENS = 1 << 21
 K1, B = 1.2, 0.75
 #: Left out of the index: terms of more than this share of the documents.
 COMMON = 0.25
+#: A term in at least one of so many unused documents of a shard has a row of weights instead of a postings
+#: list: to sum rows costs less an entry than to gather lists, and rows hold at most so many times the entries.
+DENSE = 8
 #: Cells of a sketch; documents that the tree is grown on, its branches, rounds, and the least of a node.
 CELLS, SAMPLE, BRANCHES, ROUNDS, LEAST = 256, 20_000, 8, 8, 16
 _ARROW = {"start": pa.int64(), "length": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "ids": pa.binary()}
@@ -308,7 +311,9 @@ class _Packer:
 
 
 class _Shard:
-    """A BM25 inverted index over the documents of a block, weighted as in ``corpus``, by default the block."""
+    """A BM25 inverted index over the documents of a block, weighted as in ``corpus``, by default the block.
+
+    Used documents are left out of it whenever a quarter of those in it have been used."""
 
     def __init__(self, documents: list[np.ndarray], corpus: _Corpus | None = None) -> None:
         count = self.left = len(documents)
@@ -316,10 +321,32 @@ class _Shard:
         if corpus is None:
             corpus = _Corpus.of(np.bincount(_terms(documents)[0]), count, sum(map(len, documents)))
         self.idf = corpus.idf
-        terms, self.posted, self.weight = _weighted(documents, corpus)
-        self.bounds = np.searchsorted(terms, np.arange(len(self.idf) + 1))
-        order = np.argsort(self.posted, kind="stable")
-        self.own, self.edges = terms[order], np.searchsorted(self.posted[order], np.arange(count + 1))
+        terms, posted, weight = _weighted(documents, corpus)
+        new = np.append(1, np.diff(terms))[: len(terms)] > 0
+        self.names, terms = terms[new], np.cumsum(new) - 1
+        order = np.argsort(posted, kind="stable")
+        self.own, self.edges = terms[order], np.searchsorted(posted[order], np.arange(count + 1))
+        self.live = np.arange(count)
+        self._lay(terms, posted, weight)
+
+    def _lay(self, terms: np.ndarray, posted: np.ndarray, weight: np.ndarray) -> None:
+        """``posted`` are numbers in ``live``."""
+        self.entries = terms, posted, weight
+        size = np.bincount(terms, minlength=len(self.names))
+        self.bounds = np.append(0, np.cumsum(size))
+        often = np.flatnonzero(size * DENSE >= len(self.live))
+        self.row = np.full(len(self.names), -1)
+        self.row[often] = np.arange(len(often))
+        inside = self.row[terms] >= 0
+        self.rows = np.zeros((len(often), len(self.live)))
+        self.rows[self.row[terms[inside]], posted[inside]] = weight[inside]
+
+    def _shrink(self) -> None:
+        terms, posted, weight = self.entries
+        unused = self.unused[self.live]
+        kept, number = unused[posted], np.cumsum(unused) - 1
+        self.live = self.live[unused]
+        self._lay(terms[kept], number[posted[kept]], weight[kept])
 
     def take(self, at: int) -> None:
         self.unused[at] = False
@@ -334,21 +361,25 @@ class _Shard:
     def neighbours(self, ids: np.ndarray, at: int | None = None) -> Iterator[int]:
         """Documents that share terms with ``ids``, those of document ``at`` if it is of this shard, best
         first; the caller skips used ones."""
-        if at is None:
-            terms = np.unique(ids[ids < len(self.idf)])
-            terms = terms[self.idf[terms] > 0]
-        else:
-            terms = self.own[self.edges[at] : self.edges[at + 1]]
-        lists = list(zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist()))
-        if not lists:
+        if self.left <= 0.75 * len(self.live):
+            self._shrink()
+        terms = np.flatnonzero(np.isin(self.names, ids)) if at is None else self.own[self.edges[at] : self.edges[at + 1]]
+        rows = self.row[terms]
+        scores = np.take(self.rows, rows[rows >= 0], axis=0).sum(axis=0)
+        terms = terms[(rows < 0) & (self.bounds[terms + 1] > self.bounds[terms])]
+        if len(terms):
+            # whole postings lists, one after the other: cheaper than single entries
+            lists = list(zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist()))
+            _, posted, weight = self.entries
+            found = np.concatenate([posted[a:b] for a, b in lists])
+            scores += np.bincount(found, np.concatenate([weight[a:b] for a, b in lists]), len(scores))
+        if not len(scores):
             return
-        # whole postings lists, one after the other: cheaper than single entries
-        posted = np.concatenate([self.posted[a:b] for a, b in lists])
-        scores = np.bincount(posted, np.concatenate([self.weight[a:b] for a, b in lists]), len(self.unused))
-        scores[~self.unused] = 0
+        live = self.live
+        scores[~self.unused[live]] = 0
         while scores[best := int(np.argmax(scores))] > 0:
             scores[best] = 0
-            yield best
+            yield int(live[best])
 
 
 def padding(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:

@@ -3,7 +3,7 @@
 The vocabularies are byte-level BPE, which cuts a text into pieces (words with the space before
 them, numbers, punctuation, white space) and merges inside each piece only.  Pieces repeat, so a
 block of texts is cut by array operations, and the tokenizer's model encodes each distinct piece
-once; a bounded table in the Python worker keeps pieces over blocks.  Texts that hold a special
+once; a bounded hash table in the Python worker keeps pieces over blocks.  Texts that hold a special
 token, or characters that the Unicode tables of Python don't know, are encoded whole.
 """
 
@@ -14,6 +14,8 @@ import re
 import sys
 import unicodedata
 from functools import cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import xxhash
@@ -23,8 +25,10 @@ from tokenizers.pre_tokenizers import ByteLevel
 from statflow.llm.common import blocks
 from statflow.llm.words import mix
 
-#: Characters encoded together, and pieces that a worker keeps before it starts anew.
-BLOCK, KEPT_PIECES = 1 << 19, 600_000
+#: Characters encoded together, and pieces that a worker keeps before it starts anew; a block has fewer.
+BLOCK, KEPT_PIECES = 1 << 19, 1 << 20
+#: Slots of the table are 2 to this power: twice the pieces that are kept.
+SLOT_BITS = 21
 LETTER, NUMBER, SPACE, OTHER, EDGE, UNKNOWN = range(6)
 #: A longer piece is not looked up.
 LONGEST = 64
@@ -63,8 +67,9 @@ class Encoder:
         self.up, self.down = self._powers(size)
 
     def _forget(self) -> None:
-        self.known, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, their places
-        self.bounds, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)  # ids of each place
+        self.known = np.zeros(1 << SLOT_BITS, np.uint64)  # hashes by slot, 0 in a free one
+        self.numbers = np.zeros(1 << SLOT_BITS, np.int32)  # their places
+        self.kept, self.bounds, self.flat = 0, np.zeros(KEPT_PIECES + 1, np.int64), np.zeros(1 << 16, np.uint32)  # ids of each place
 
     @staticmethod
     def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +108,9 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         inside = kinds[starts] != EDGE
         starts, ends = starts[inside], ends[inside]
-        hashes, places, codes = np.unique(
-            self._hashes(joined, points, starts, ends), return_index=True, return_inverse=True
-        )
-        numbers = self._numbers(hashes, joined, starts[places], ends[places])
-        first = self.bounds[numbers][codes]
-        size = self.bounds[numbers + 1][codes] - first
+        numbers = self._numbers(self._hashes(joined, points, starts, ends), points, starts, ends)
+        first = self.bounds[numbers]
+        size = self.bounds[numbers + 1] - first
         after = np.cumsum(size)
         ids = self.flat[np.repeat(first - after + size, size) + np.arange(size.sum())].astype(np.int64)
         cuts = np.append(0, after)[np.searchsorted(starts, edges)]
@@ -124,44 +126,82 @@ class Encoder:
         hashes = mix((total[ends] - total[starts]) * self.down[starts]) ^ (ends - starts).astype(np.uint64)
         for at in np.flatnonzero(ends - starts > LONGEST).tolist():  # sums of powers are weak for long ones
             hashes[at] = xxhash.xxh3_64_intdigest(joined[starts[at] : ends[at]])
-        return hashes
+        return np.maximum(hashes, np.uint64(1))
 
-    def _numbers(self, hashes: np.ndarray, joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Places of pieces in the table, which takes up new ones; ``hashes`` are in order."""
-        if len(self.known) + len(hashes) > KEPT_PIECES:
-            self._forget()
-        spot = np.searchsorted(self.known, hashes)
-        old = np.zeros(len(hashes), bool)
-        if len(self.known):
-            old = self.known[np.minimum(spot, len(self.known) - 1)] == hashes
-        numbers = np.empty(len(hashes), np.int64)
-        numbers[old] = self.numbers[spot[old]]
-        if old.all():
+    def _numbers(self, hashes: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of pieces in the table, which takes up new ones."""
+        numbers = self._found(hashes)
+        fresh = np.flatnonzero(numbers < 0)
+        if not len(fresh):
             return numbers
-        fresh = ~old
-        ids, sizes = [], []
-        for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist()):
-            letters = joined[a:b].encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = self.tokenizer.model.tokenize(letters)
-            ids += [token.id for token in found]
-            sizes.append(len(found))
-        numbers[fresh] = len(self.bounds) - 1 + np.arange(len(sizes))
-        self.known = np.insert(self.known, spot[fresh], hashes[fresh])
-        self.numbers = np.insert(self.numbers, spot[fresh], numbers[fresh])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+        new, at, codes = np.unique(hashes[fresh], return_index=True, return_inverse=True)
+        if self.kept and self.kept + len(new) > KEPT_PIECES:
+            self._forget()
+            return self._numbers(hashes, points, starts, ends)
+        numbers[fresh] = self._learn(new, points, starts[fresh[at]], ends[fresh[at]])[codes]
+        return numbers
+
+    @staticmethod
+    def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First slots, and steps to the following ones."""
+        low = hashes & np.uint64((1 << SLOT_BITS) - 1)
+        return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64), low.astype(np.int64) | 1
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of pieces, -1 for unknown ones."""
+        slot, step = self._slots(hashes)
+        held = self.known[slot]
+        numbers = np.where(held == hashes, self.numbers[slot], -1).astype(np.int64)
+        waiting = np.flatnonzero((held != hashes) & (held != 0))
+        while len(waiting):
+            slot[waiting] = (slot[waiting] + step[waiting]) % (1 << SLOT_BITS)
+            held = self.known[slot[waiting]]
+            same = held == hashes[waiting]
+            numbers[waiting[same]] = self.numbers[slot[waiting[same]]]
+            waiting = waiting[~same & (held != 0)]
+        return numbers
+
+    def _learn(self, hashes: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of pieces that are not in the table yet, each given once."""
+        size = ends - starts
+        after = np.cumsum(size)
+        inside = points[np.repeat(starts - after + size, size) + np.arange(after[-1])]
+        letters = _LETTERS[np.frombuffer(inside.tobytes().decode("utf-32-le").encode(), np.uint8)].tobytes().decode("utf-16-le")
+        cuts = np.append(0, np.cumsum(1 + (inside > 0x7F) + (inside > 0x7FF) + (inside > 0xFFFF)))[after].tolist()
+        tokenize = self.tokenizer.model.tokenize
+        found = [tokenize(letters[a:b]) for a, b in zip([0, *cuts], cuts)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32, int(sizes.sum()))
+        kept, used = self.kept, int(self.bounds[self.kept])
+        if used + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat[:used], np.zeros(used + len(ids), np.uint32))
+        self.bounds[kept + 1 : kept + len(found) + 1] = used + np.cumsum(sizes)
+        self.flat[used : used + len(ids)] = ids
+        self.kept += len(found)
+        numbers = np.arange(kept, self.kept)
+        slot, step = self._slots(hashes)
+        waiting = np.arange(len(hashes))
+        while len(waiting):
+            free = waiting[self.known[slot[waiting]] == 0]
+            self.known[slot[free]] = hashes[free]  # of several for one slot the last one stays
+            there = self.known[slot[waiting]] == hashes[waiting]
+            self.numbers[slot[waiting[there]]] = numbers[waiting[there]]
+            waiting = waiting[~there]
+            slot[waiting] = (slot[waiting] + step[waiting]) % (1 << SLOT_BITS)
         return numbers
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> np.ndarray:
     """The letters by which byte-level vocabularies write bytes: visible Latin-1 characters stand for
     themselves, the others take the next characters beyond, in order."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = [n for n in range(256) if n not in visible]
-    return {n: chr(256 + at) for at, n in enumerate(hidden)}
+    letters = np.arange(256, dtype="<u2")
+    letters[hidden] = 256 + np.arange(len(hidden))
+    return letters
 
 
-_BYTE_LETTERS = _byte_letters()
+_LETTERS = _byte_letters()
 
 
 def _piece_starts(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:

@@ -132,6 +132,22 @@ def test_token_ids(tokenizer):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_token_table(tokenizer, monkeypatch):
+    # few slots, so that pieces collide, and few pieces kept, so that the table starts anew
+    for name, value in (("BLOCK", 100), ("KEPT_PIECES", 120), ("SLOT_BITS", 7)):
+        monkeypatch.setattr(tokens, name, value)
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice(list("aeinst  ßñ€😀\n7'"), int(draw.integers(0, 90)))) for _ in range(400)]
+    encode = tokens.Encoder(PATH)
+    kept = []
+    for first in range(0, 400, 4):
+        for text, ids in zip(texts[first : first + 4], encode(texts[first : first + 4])):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+        kept.append(encode.kept)
+    assert any(a > b for a, b in zip(kept, kept[1:])) and 0 < max(kept) <= 120
+    assert np.count_nonzero(encode.known) == encode.kept
+
+
 def test_token_files(spark, docs, tokenizer, path):
     grammar.write(docs, path("shards"), PATH, parts=3)
     rows = sorted(grammar.read(spark, path("shards")).collect(), key=lambda row: row.start)
@@ -265,6 +281,30 @@ def test_packing_looks_up_all_terms_of_a_seed():
     assert next(shard.neighbours(texts[0], 0)) in (33, 34, 35)
 
 
+def test_packing_ranks_unused_documents():
+    draw = np.random.default_rng(4)
+    texts = [draw.zipf(1.3, 60).clip(1, 400) for _ in range(120)]
+    corpus = packing._Corpus.of(np.bincount(packing._terms(texts)[0]), len(texts), sum(map(len, texts)))
+    shard = packing._Shard(texts, corpus)
+    whole = shard.bounds[-1]
+
+    def score(seed, at):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(texts[at]) / corpus.mean)
+        times = {term: np.sum(texts[at] == term) for term in set(seed.tolist()) if term < len(corpus.idf)}
+        return sum(n * (packing.K1 + 1) / (n + norm) * corpus.idf[term] for term, n in times.items())
+
+    for at in draw.permutation(120).tolist()[:110]:
+        shard.take(at)
+        unused = np.flatnonzero(shard.unused).tolist()
+        for seed, own in ((texts[at], at), (np.append(texts[at], 10_000), None)):
+            found = list(shard.neighbours(seed, own))
+            assert sorted(found) == [one for one in unused if score(seed, one) > 0]
+            scores = [score(seed, one) for one in found]
+            assert np.allclose(scores, sorted(scores, reverse=True))
+    # what is looked up shrinks with the documents that are left
+    assert shard.bounds[-1] < whole / 6
+
+
 def test_trigram_queries():
     assert trigram_query("AKIA[A-Z0-9]+") == [{"aki", "kia"}]
     assert trigram_query("[0-9a-f]{32,}") == [frozenset()]
